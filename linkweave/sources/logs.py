@@ -30,13 +30,23 @@ def scan_logs(spark: SparkSession, path: str, pattern: str = ".*tsv") -> DataFra
     Spark itself hides names that start with `_` or `.`.
     """
     lines = spark.read.option("recursiveFileLookup", True).text(path)
-    name, full = F.col("_metadata.file_name"), F.col("_metadata.file_path")
-    named_itself = full.endswith("/" + path.rstrip("/").split("/")[-1]) & full.endswith(
-        path.rstrip("/")
+    # Below a directory no file has the path of the directory itself.
+    named_itself = F.col("_metadata.file_path").endswith(path.rstrip("/"))
+    return _placed(
+        lines.where(name_matches(F.col("_metadata.file_name"), pattern) | named_itself)
     )
-    return lines.where(name_matches(name, pattern) | named_itself).select(
-        name.alias("file_name"),
-        full.alias("src_file"),
+
+
+def scan_files(spark: SparkSession, files: list[str]) -> DataFrame:
+    """Lines of files given one by one, whatever their names."""
+    return _placed(spark.read.text(files))
+
+
+def _placed(lines: DataFrame) -> DataFrame:
+    """Lines with their file and an order key within the log."""
+    return lines.select(
+        F.col("_metadata.file_name").alias("file_name"),
+        F.col("_metadata.file_path").alias("src_file"),
         F.col("_metadata.file_block_start").alias("src_block"),
         F.monotonically_increasing_id().alias("src_line"),
         "value",
