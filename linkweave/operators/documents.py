@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from linkweave.operators.ids import decode
 from linkweave.operators.ranking import group_ranks
-from linkweave.operators.skew import with_group_size
+from linkweave.operators.skew import largest_group, with_group_size
 
 # Links in one document row.
 PART_LINKS = 100_000
@@ -39,10 +39,15 @@ def decode_links(
 
 
 def with_parts(links: DataFrame, part_links: int = PART_LINKS) -> DataFrame:
-    """Add the document part each link belongs to."""
+    """Add the document part each link belongs to.
+
+    `links` is best a written table: its largest document is looked up first.
+    """
     part = F.floor((F.col("rank") - 1) / F.lit(part_links)).cast("int")
     if "rank" in links.columns:
         return links.withColumn("part", part).drop("rank")
+    if largest_group(links, "id") <= part_links:
+        return links.withColumn("part", F.lit(0))
     sized = with_group_size(links, "id", ["other_int"], "__links")
     short = sized.where(F.col("__links") <= part_links).withColumn("part", F.lit(0))
     long = sized.where(F.col("__links") > part_links)

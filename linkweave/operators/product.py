@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from linkweave.operators.skew import SPREAD, bucket_of, group_sizes
+from linkweave.operators.skew import SPREAD, bucket_of, group_sizes, largest_group
 
 # Entries of one row that stay together.
 TILE = 1_024
@@ -34,9 +34,8 @@ def _chunks(size: str, tile: int) -> Column:
     return F.coalesce(F.ceil(F.col(size) / F.lit(tile)), F.lit(1)).cast("bigint")
 
 
-def _long_rows(df: DataFrame, shared: str, entry: str, size: str, tile: int) -> DataFrame:
-    """Sizes of the rows that need more than one chunk; usually few or none."""
-    return group_sizes(df, shared, [entry], size).where(F.col(size) > tile)
+def _entries(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    return df.select(*[column.alias(name) for name, column in columns.items()])
 
 
 def pair_counts(
@@ -48,54 +47,53 @@ def pair_counts(
 ) -> DataFrame:
     """Count, for each two items, the shared rows that hold both.
 
-    `entries` has each (shared, item) once. The result has each pair once, as (low,
-    high, n_both) with low < high. With `item_size`, a column that is constant per item,
-    also (n_low, n_high).
+    `entries` has each (shared, item) once, and is best a written table: the longest row
+    is looked up first. The result has each pair once, as (low, high, n_both) with
+    low < high. With `item_size`, a column that is constant per item, also (n_low, n_high).
     """
-    sizes = _long_rows(entries, shared, item, "__size", tile)
-    n_chunks = _chunks("__size", tile)
-    carried = F.col(item_size) if item_size else F.lit(None).cast("bigint")
-    chunked = (
-        entries.withColumn("__bucket", bucket_of([item], SPREAD))
-        .join(sizes, [shared, "__bucket"], "left")
-        .select(
-            F.col(shared).alias("__shared"),
-            F.col(item).alias("__item"),
-            carried.alias("__n"),
-            n_chunks.alias("__chunks"),
-            bucket_of([item], n_chunks).alias("__chunk"),
-        )
-    )
-    keys = ["__shared", "__a", "__b"]
+    columns = {"__shared": F.col(shared), "__item": F.col(item)}
+    if item_size:
+        columns["__n"] = F.col(item_size)
+    rows = _entries(entries, columns)
     tasks = _tasks(entries)
-    left = chunked.select(
-        "__shared",
-        F.col("__chunk").alias("__a"),
-        F.explode(F.sequence(F.col("__chunk"), F.col("__chunks") - 1)).alias("__b"),
-        F.col("__item").alias("__x"),
-        F.col("__n").alias("__nx"),
-    ).repartition(tasks, *keys)
-    right = chunked.select(
-        "__shared",
-        F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("__chunk"))).alias("__a"),
-        F.col("__chunk").alias("__b"),
-        F.col("__item").alias("__y"),
-        F.col("__n").alias("__ny"),
-    ).repartition(tasks, *keys)
-    pairs = left.join(right.hint("merge"), keys).where(
-        (F.col("__a") != F.col("__b")) | (F.col("__x") < F.col("__y"))
-    )
-    in_order = F.col("__x") < F.col("__y")
-    oriented = pairs.select(
-        F.least("__x", "__y").alias("low"),
-        F.greatest("__x", "__y").alias("high"),
-        F.when(in_order, F.col("__nx")).otherwise(F.col("__ny")).alias("__n_low"),
-        F.when(in_order, F.col("__ny")).otherwise(F.col("__nx")).alias("__n_high"),
-    )
+    keys = ["__shared"]
+    left = right = rows
+    if largest_group(entries, shared) > tile:
+        keys = ["__shared", "__a", "__b"]
+        left, right = _pair_tiles(rows, tile)
+    names = [c for c in ("__item", "__n") if c in rows.columns]
+    left = left.select(*keys, *[F.col(c).alias(f"{c}_x") for c in names])
+    right = right.select(*keys, *[F.col(c).alias(f"{c}_y") for c in names])
+
+    in_order = F.col("__item_x") < F.col("__item_y")
+    once = in_order if len(keys) == 1 else in_order | (F.col("__a") != F.col("__b"))
+    pairs = left.repartition(tasks, *keys).join(right.repartition(tasks, *keys), keys).where(once)
     totals = [F.count(F.lit(1)).alias("n_both")]
     if item_size:
-        totals += [F.max("__n_low").alias("n_low"), F.max("__n_high").alias("n_high")]
-    return oriented.groupBy("low", "high").agg(*totals)
+        n_low = F.when(in_order, F.col("__n_x")).otherwise(F.col("__n_y"))
+        n_high = F.when(in_order, F.col("__n_y")).otherwise(F.col("__n_x"))
+        totals += [F.max(n_low).alias("n_low"), F.max(n_high).alias("n_high")]
+    return pairs.groupBy(
+        F.least("__item_x", "__item_y").alias("low"),
+        F.greatest("__item_x", "__item_y").alias("high"),
+    ).agg(*totals)
+
+
+def _pair_tiles(rows: DataFrame, tile: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides of a self-join by tiles (__a, __b) with __a <= __b."""
+    sizes = group_sizes(rows, "__shared", ["__item"], "__size").where(F.col("__size") > tile)
+    n_chunks = _chunks("__size", tile)
+    chunked = (
+        rows.withColumn("__bucket", bucket_of(["__item"], SPREAD))
+        .join(sizes, ["__shared", "__bucket"], "left")
+        .withColumn("__chunks", n_chunks)
+        .withColumn("__chunk", bucket_of(["__item"], F.col("__chunks")))
+    )
+    onward = F.sequence(F.col("__chunk"), F.col("__chunks") - 1)
+    back = F.sequence(F.lit(0).cast("bigint"), F.col("__chunk"))
+    left = chunked.withColumn("__a", F.col("__chunk")).withColumn("__b", F.explode(onward))
+    right = chunked.withColumn("__b", F.col("__chunk")).withColumn("__a", F.explode(back))
+    return left, right
 
 
 def matrix_product(
@@ -111,56 +109,68 @@ def matrix_product(
     """Sum of products over the shared dimension, as (row, col, value, n_terms).
 
     `left` has each (shared, row) once and `right` each (shared, col). A side without a
-    value column counts as 1 per entry.
+    value column counts as 1 per entry. Both are best written tables: their longest rows
+    are looked up first.
     """
     one = F.lit(1).cast("bigint")
-    lhs = left.select(
-        F.col(shared).alias("__shared"),
-        F.col(row).alias("__row"),
-        (F.col(left_value) if left_value else one).alias("__v"),
+    lhs = _entries(
+        left,
+        {
+            "__shared": F.col(shared),
+            "__row": F.col(row),
+            "__v": F.col(left_value) if left_value else one,
+        },
+    )
+    rhs = _entries(
+        right,
+        {
+            "__shared": F.col(shared),
+            "__col": F.col(col),
+            "__w": F.col(right_value) if right_value else one,
+        },
     )
-    rhs = right.select(
-        F.col(shared).alias("__shared"),
-        F.col(col).alias("__col"),
-        (F.col(right_value) if right_value else one).alias("__w"),
+    keys = ["__shared"]
+    if max(largest_group(left, shared), largest_group(right, shared)) > tile:
+        keys = ["__shared", "__a", "__b"]
+        lhs, rhs = _product_tiles(lhs, rhs, tile)
+    tasks = _tasks(left)
+    return (
+        lhs.repartition(tasks, *keys)
+        .join(rhs.repartition(tasks, *keys), keys)
+        .groupBy(F.col("__row").alias(row), F.col("__col").alias(col))
+        .agg(
+            F.sum(F.col("__v") * F.col("__w")).alias("value"),
+            F.count(F.lit(1)).alias("n_terms"),
+        )
     )
+
+
+def _product_tiles(
+    lhs: DataFrame, rhs: DataFrame, tile: int
+) -> tuple[DataFrame, DataFrame]:
+    """Both sides cut by tiles (__a, __b): a chunk of the left and one of the right."""
     # Either side needs to know into how many chunks the other one is cut.
     sizes = _both_sizes(lhs, rhs, tile)
     left_chunks, right_chunks = _chunks("__left", tile), _chunks("__right", tile)
-    keys = ["__shared", "__a", "__b"]
-    tasks = _tasks(left)
     zero = F.lit(0).cast("bigint")
-    lhs_tiles = (
-        lhs.withColumn("__bucket", bucket_of(["__row"], SPREAD))
-        .join(sizes, ["__shared", "__bucket"], "left")
-        .select(
+    on = ["__shared", "__bucket"]
+    left = lhs.withColumn("__bucket", bucket_of(["__row"], SPREAD)).join(sizes, on, "left")
+    right = rhs.withColumn("__bucket", bucket_of(["__col"], SPREAD)).join(sizes, on, "left")
+    return (
+        left.select(
             "__shared",
             "__row",
             "__v",
             bucket_of(["__row"], left_chunks).alias("__a"),
             F.explode(F.sequence(zero, right_chunks - 1)).alias("__b"),
-        )
-        .repartition(tasks, *keys)
-    )
-    rhs_tiles = (
-        rhs.withColumn("__bucket", bucket_of(["__col"], SPREAD))
-        .join(sizes, ["__shared", "__bucket"], "left")
-        .select(
+        ),
+        right.select(
             "__shared",
             "__col",
             "__w",
             F.explode(F.sequence(zero, left_chunks - 1)).alias("__a"),
             bucket_of(["__col"], right_chunks).alias("__b"),
-        )
-        .repartition(tasks, *keys)
-    )
-    return (
-        lhs_tiles.join(rhs_tiles.hint("merge"), keys)
-        .groupBy(F.col("__row").alias(row), F.col("__col").alias(col))
-        .agg(
-            F.sum(F.col("__v") * F.col("__w")).alias("value"),
-            F.count(F.lit(1)).alias("n_terms"),
-        )
+        ),
     )
 
 

@@ -84,7 +84,8 @@ def query_category(
     each user once. The categories join the links and the histories, which are smaller than
     the matches, and travel along in the ids.
     """
-    tagged_links = lookup(links, categories, "item_id", ["other_item_id"], "left").select(
+    # An item has at most k links, so its category needs no care for frequent keys.
+    tagged_links = links.join(categories, "item_id", "left").select(
         F.struct("item_id", "category").alias("item_id"), "other_item_id"
     )
     tagged_history = lookup(
@@ -108,15 +109,12 @@ def query_cold_start(
     `links` has a score; the result is (seed_item_id, item_id, score, rank).
     """
     shown = links.join(seeds.select("item_id").distinct(), "item_id", "left_semi")
-    shown = lookup(
-        shown.select(F.col("item_id").alias("seed_item_id"), "other_item_id", "score"),
-        categories.select(
-            F.col("item_id").alias("seed_item_id"), F.col("category").alias("__seed")
-        ),
-        "seed_item_id",
-        ["other_item_id"],
-        "left",
+    shown = shown.select(F.col("item_id").alias("seed_item_id"), "other_item_id", "score")
+    # A seed has at most k links; an item can be linked from any number of seeds.
+    own = categories.select(
+        F.col("item_id").alias("seed_item_id"), F.col("category").alias("__seed")
     )
+    shown = shown.join(own, "seed_item_id", "left")
     shown = lookup(
         shown,
         categories.select(

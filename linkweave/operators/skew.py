@@ -44,6 +44,21 @@ def with_group_size(df: DataFrame, key: str, spread: list[str], name: str) -> Da
     )
 
 
+def largest_group(df: DataFrame, key: str) -> int:
+    """Rows of the most frequent key. Runs a job that counts before it shuffles."""
+    sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("__rows"))
+    return sizes.agg(F.max("__rows")).first()[0] or 0
+
+
+def frequent_keys(df: DataFrame, key: str, hot_rows: int, hot_keys: int) -> list:
+    """The keys with more than `hot_rows` rows, at most `hot_keys` of them."""
+    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(
+        F.count(F.lit(1)).alias("__rows")
+    )
+    hot = counts.where(F.col("__rows") > hot_rows).orderBy(F.desc("__rows"), key)
+    return [row[0] for row in hot.select(key).limit(hot_keys).collect()]
+
+
 def lookup(
     df: DataFrame,
     table: DataFrame,
@@ -55,32 +70,20 @@ def lookup(
 ) -> DataFrame:
     """Join `df` to a table that has each `on` once.
 
-    Rows of hot keys are dealt over SPREAD buckets and the table repeats only those
-    keys. The list of hot keys is limited to `hot_keys` rows, so it may be broadcast;
-    which keys are in it changes the work, never the result.
+    A first job counts the keys of `df`, which is best a written table. Rows of hot keys
+    are dealt over SPREAD buckets, and the table repeats only those keys. Which keys are
+    taken as hot changes the work, never the result.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"how must be inner or left, not {how!r}")
-    hot = F.broadcast(
-        df.groupBy(on)
-        .agg(F.count(F.lit(1)).alias("__rows"))
-        .where((F.col("__rows") > hot_rows) & F.col(on).isNotNull())
-        .orderBy(F.desc("__rows"), on)
-        .limit(hot_keys)
-        .select(on, F.lit(SPREAD).alias("__copies"))
-    )
-    left = df.join(hot, on, "left").withColumn(
-        "__bucket",
-        F.when(F.col("__copies").isNotNull(), bucket_of(spread, SPREAD)).otherwise(F.lit(0)),
-    )
-    right = table.join(hot, on, "left").withColumn(
-        "__bucket",
-        F.explode(
-            F.sequence(F.lit(0).cast("bigint"), F.coalesce(F.col("__copies"), F.lit(1)) - 1)
-        ),
-    )
-    return (
-        left.drop("__copies")
-        .join(right.drop("__copies"), [on, "__bucket"], how)
-        .drop("__bucket")
+    hot = frequent_keys(df, on, hot_rows, hot_keys)
+    if not hot:
+        return df.join(table, on, how)
+    is_hot = F.coalesce(F.col(on).isin(hot), F.lit(False))
+    zero = F.lit(0).cast("bigint")
+    left = df.withColumn(
+        "__bucket", F.when(is_hot, bucket_of(spread, SPREAD)).otherwise(zero)
     )
+    copies = F.when(is_hot, F.lit(SPREAD - 1).cast("bigint")).otherwise(zero)
+    right = table.withColumn("__bucket", F.explode(F.sequence(zero, copies)))
+    return left.join(right, [on, "__bucket"], how).drop("__bucket")

@@ -10,16 +10,9 @@ from pyspark.sql import functions as F
 from linkweave.functions.text import action_dir_name
 from linkweave.operators import documents, ids, prefs, recommend, search, similar, vectors
 from linkweave.operators.skew import lookup
-from linkweave.plans.inputs import (
-    EVENT_ROLES,
-    ORDER_ROLES,
-    event_history,
-    event_log,
-    order_history,
-    order_log,
-    part_brands,
-)
-from linkweave.session import scratch_path
+from linkweave.plans import inputs
+from linkweave.plans.inputs import EVENT_ROLES, ORDER_ROLES, event_log, order_log, part_brands
+from linkweave.session import scratch_path, settled
 from linkweave.sources import logs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +27,17 @@ def query(function: Query) -> Query:
     return function
 
 
+# Tables that several steps read are settled first, as the model update writes them.
+
+
+def event_history(spark: SparkSession, sf_dir: str, action: str = EVENT_ROLES[0]) -> DataFrame:
+    return settled(inputs.event_history(spark, sf_dir, action))
+
+
+def order_history(spark: SparkSession, sf_dir: str, action: str = ORDER_ROLES[0]) -> DataFrame:
+    return settled(inputs.order_history(spark, sf_dir, action))
+
+
 # Sources
 
 
@@ -127,12 +131,12 @@ def other_actions(spark, sf_dir):
 
 @query
 def min_prefs_filter(spark, sf_dir):
-    return prefs.min_prefs(order_history(spark, sf_dir), 10)
+    return prefs.min_prefs(inputs.order_history(spark, sf_dir), 10)
 
 
 @query
 def downsample_prefs(spark, sf_dir):
-    return prefs.downsample_prefs(order_history(spark, sf_dir), 5, [F.col("item_id")])
+    return prefs.downsample_prefs(inputs.order_history(spark, sf_dir), 5, [F.col("item_id")])
 
 
 @query
@@ -188,19 +192,19 @@ def decode_matrix(spark, sf_dir):
 
 @query
 def user_vectors(spark, sf_dir):
-    packed = vectors.user_vectors(event_history(spark, sf_dir))
+    packed = vectors.user_vectors(inputs.event_history(spark, sf_dir))
     return packed.withColumn("items", F.array_join(F.col("items").cast("array<string>"), " "))
 
 
 @query
 def item_vectors(spark, sf_dir):
-    packed = vectors.item_vectors(event_history(spark, sf_dir))
+    packed = vectors.item_vectors(inputs.event_history(spark, sf_dir))
     return packed.withColumn("users", F.array_join(F.col("users").cast("array<string>"), " "))
 
 
 @query
 def transpose(spark, sf_dir):
-    matrix = event_history(spark, sf_dir).select(
+    matrix = inputs.event_history(spark, sf_dir).select(
         F.col("user_id").alias("row_id"), F.col("item_id").alias("col_id"), F.lit(1.0).alias("value")
     )
     return vectors.transpose(matrix)
@@ -208,7 +212,7 @@ def transpose(spark, sf_dir):
 
 @query
 def active_user_counts(spark, sf_dir):
-    return vectors.active_user_counts(*(event_history(spark, sf_dir, a) for a in EVENT_ROLES))
+    return vectors.active_user_counts(*(inputs.event_history(spark, sf_dir, a) for a in EVENT_ROLES))
 
 
 # Similarity
@@ -239,23 +243,21 @@ def sim_threshold(spark, sf_dir):
     ).drop("n_both")
 
 
-def _order_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = similar.item_similarity(order_history(spark, sf_dir))
-    return similar.top_similar(scored, TOP).drop("n_both")
+def _links(history: DataFrame) -> DataFrame:
+    return similar.top_similar(similar.item_similarity(history), TOP).drop("n_both")
 
 
-def _event_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = similar.item_similarity(event_history(spark, sf_dir))
-    return similar.top_similar(scored, TOP).drop("n_both")
+def _cross(primary: DataFrame, secondary: DataFrame) -> DataFrame:
+    return settled(similar.cross_cooccurrence(primary, secondary))
 
 
-def _event_cross(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return similar.cross_cooccurrence(*(event_history(spark, sf_dir, a) for a in EVENT_ROLES))
+def _event_histories(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    return [event_history(spark, sf_dir, action) for action in EVENT_ROLES]
 
 
 @query
 def top_k_similar(spark, sf_dir):
-    return _order_links(spark, sf_dir)
+    return _links(order_history(spark, sf_dir))
 
 
 @query
@@ -271,32 +273,35 @@ def top_k_cross(spark, sf_dir):
 # Recommendations
 
 
+def _cross_recs(spark: SparkSession, sf_dir: str, n: int | None) -> DataFrame:
+    bought, viewed = _event_histories(spark, sf_dir)
+    return recommend.cross_recs(_cross(bought, viewed), viewed, n)
+
+
 @query
 def cross_recs(spark, sf_dir):
-    return recommend.cross_recs(
-        _event_cross(spark, sf_dir), event_history(spark, sf_dir, EVENT_ROLES[1])
-    )
+    return _cross_recs(spark, sf_dir, None)
 
 
 @query
 def top_n_cross_recs(spark, sf_dir):
-    return recommend.cross_recs(
-        _event_cross(spark, sf_dir), event_history(spark, sf_dir, EVENT_ROLES[1]), TOP
-    )
+    return _cross_recs(spark, sf_dir, TOP)
+
+
+def _primary_recs(spark: SparkSession, sf_dir: str, score_mode: str) -> DataFrame:
+    history = event_history(spark, sf_dir)
+    links = settled(_links(history))
+    return recommend.primary_recs(links, history, TOP, score_mode, known=history)
 
 
 @query
 def primary_recs(spark, sf_dir):
-    history = event_history(spark, sf_dir)
-    return recommend.primary_recs(_event_links(spark, sf_dir), history, TOP, known=history)
+    return _primary_recs(spark, sf_dir, "sum")
 
 
 @query
 def primary_recs_weighted_average(spark, sf_dir):
-    history = event_history(spark, sf_dir)
-    return recommend.primary_recs(
-        _event_links(spark, sf_dir), history, TOP, "weighted_average", history
-    )
+    return _primary_recs(spark, sf_dir, "weighted_average")
 
 
 @query
@@ -318,16 +323,16 @@ def _numbered_histories(spark, sf_dir):
         )
         for action in EVENT_ROLES
     ]
-    return users, items, *coded
+    return users, items, *map(settled, coded)
 
 
 def _own_links(primary: DataFrame, items: DataFrame) -> DataFrame:
-    links = similar.top_similar(similar.item_similarity(primary), DOCUMENT_LINKS)
+    links = settled(similar.top_similar(similar.item_similarity(primary), DOCUMENT_LINKS))
     return documents.decode_links(links, "item_id", "other_item_id", "score", items, items)
 
 
 def _cross_links(primary: DataFrame, secondary: DataFrame, items: DataFrame) -> DataFrame:
-    cross = similar.cross_cooccurrence(primary, secondary)
+    cross = _cross(primary, secondary)
     return documents.decode_links(cross, "item_id", "other_item_id", "n_users", items, items)
 
 
@@ -386,60 +391,62 @@ def user_history_docs_single(spark, sf_dir):
 @query
 def similar_items(spark, sf_dir):
     requests = part_brands(spark, sf_dir).select("item_id")
-    return search.similar_items(requests, _order_links(spark, sf_dir))
+    return search.similar_items(requests, _links(order_history(spark, sf_dir)))
 
 
-def _event_cross_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return similar.top_similar(_event_cross(spark, sf_dir), TOP, "n_users")
+def _cross_top(bought: DataFrame, viewed: DataFrame) -> DataFrame:
+    cross = similar.cross_cooccurrence(bought, viewed)
+    return settled(similar.top_similar(cross, TOP, "n_users"))
 
 
 @query
 def query_history_primary(spark, sf_dir):
-    return search.query_history([(event_history(spark, sf_dir), _event_links(spark, sf_dir))], TOP)
+    bought = event_history(spark, sf_dir)
+    return search.query_history([(bought, settled(_links(bought)))], TOP)
 
 
 @query
 def query_history_cross(spark, sf_dir):
-    viewed = event_history(spark, sf_dir, EVENT_ROLES[1])
-    return search.query_history([(viewed, _event_cross_links(spark, sf_dir))], TOP)
+    bought, viewed = _event_histories(spark, sf_dir)
+    return search.query_history([(viewed, _cross_top(bought, viewed))], TOP)
 
 
 @query
 def query_history_both(spark, sf_dir):
-    bought, viewed = (event_history(spark, sf_dir, a) for a in EVENT_ROLES)
-    fields = [
-        (bought, _event_links(spark, sf_dir)),
-        (viewed, _event_cross_links(spark, sf_dir)),
-    ]
+    bought, viewed = _event_histories(spark, sf_dir)
+    fields = [(bought, settled(_links(bought))), (viewed, _cross_top(bought, viewed))]
     return search.query_history(fields, TOP)
 
 
 @query
 def query_history_idf(spark, sf_dir):
-    fields = [(event_history(spark, sf_dir), _event_links(spark, sf_dir))]
-    return search.query_history(fields, TOP, idf=True)
+    bought = event_history(spark, sf_dir)
+    return search.query_history([(bought, settled(_links(bought)))], TOP, idf=True)
 
 
 @query
 def query_adhoc_history(spark, sf_dir):
     clicked = event_history(spark, sf_dir, "click")
-    return search.query_history([(clicked, _event_links(spark, sf_dir))], TOP)
+    links = settled(_links(event_history(spark, sf_dir)))
+    return search.query_history([(clicked, links)], TOP)
 
 
 @query
 def query_category_boost(spark, sf_dir):
     brands = part_brands(spark, sf_dir)
+    history = order_history(spark, sf_dir)
     bought = order_log(spark, sf_dir).where(F.col("action") == ORDER_ROLES[0])
-    latest = bought.groupBy("user_id").agg(F.max(F.struct("ts", "item_id")).alias("__last"))
+    latest = settled(
+        bought.groupBy("user_id").agg(F.max(F.struct("ts", "item_id")).alias("__last"))
+    )
     preferred = lookup(
         latest.select("user_id", "__last.item_id"), brands, "item_id", ["user_id"]
     ).select("user_id", "category")
-    return search.query_category(
-        order_history(spark, sf_dir), _order_links(spark, sf_dir), brands, preferred, n=TOP
-    )
+    return search.query_category(history, settled(_links(history)), brands, preferred, n=TOP)
 
 
 @query
 def query_cold_start(spark, sf_dir):
     brands = part_brands(spark, sf_dir)
-    return search.query_cold_start(brands, _order_links(spark, sf_dir), brands, n=TOP)
+    links = settled(_links(order_history(spark, sf_dir)))
+    return search.query_cold_start(brands, links, brands, n=TOP)
