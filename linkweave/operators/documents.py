@@ -1,9 +1,9 @@
 """Link and history documents: one text field of ordered ids per action.
 
-The input of a field is (id, other_int, other_id, weight): the original id of the row,
-and the number, original id and weight of the linked one. A table that was cut to the
-top k also has `rank`. Documents are (id, part, fields). The part is 0 unless an id
-has more than `part_links` links; the links then go on, in order, in parts 1, 2, ...
+The input of a field is (id, part, other_int, other_id, weight): the original id of the
+row, and the number, original id and weight of each linked one. Documents are (id, part,
+fields). The part is 0 unless an id has more than `part_links` links; the links then
+go on, in order, in parts 1, 2, ...
 """
 
 from __future__ import annotations
@@ -21,40 +21,47 @@ from linkweave.operators.skew import largest_group, with_group_size
 PART_LINKS = 100_000
 
 
+def with_parts(links: DataFrame, key: str, part_links: int = PART_LINKS) -> DataFrame:
+    """Add the document part of each link; links are ordered by weight, then number.
+
+    `links` is (key, other_int, weight), with `rank` if it was cut to the top k. It is best
+    a written table: its largest document is looked up first.
+    """
+    part = F.floor((F.col("rank") - 1) / F.lit(part_links)).cast("int")
+    if "rank" in links.columns:
+        return links.withColumn("part", part).drop("rank")
+    if largest_group(links, key) <= part_links:
+        return links.withColumn("part", F.lit(0))
+    sized = with_group_size(links, key, ["other_int"], "__links")
+    short = sized.where(F.col("__links") <= part_links).withColumn("part", F.lit(0))
+    long = sized.where(F.col("__links") > part_links)
+    ranked = group_ranks(long, key, "weight", "other_int").withColumn("part", part)
+    return short.drop("__links").unionByName(ranked.drop("__links", "rank"))
+
+
 def decode_links(
-    matrix: DataFrame, row: str, col: str, weight: str, rows: DataFrame, cols: DataFrame
+    matrix: DataFrame,
+    row: str,
+    col: str,
+    weight: str,
+    rows: DataFrame,
+    cols: DataFrame,
+    part_links: int = PART_LINKS,
 ) -> DataFrame:
     """Field input from a numbered matrix and the dictionaries of its two sides."""
-    kept = [c for c in ("rank",) if c in matrix.columns]
     numbered = matrix.select(
         F.col(row).alias("__row"),
         F.col(col).alias("other_int"),
         F.col(weight).cast("double").alias("weight"),
-        *kept,
+        *[c for c in ("rank",) if c in matrix.columns],
     )
-    named = decode(numbered, rows, "__row", "id", ["other_int"])
+    parts = with_parts(numbered, "__row", part_links)
+    named = decode(parts, rows, "__row", "id", ["other_int"])
     return decode(named, cols, "other_int", "other_id", ["id"]).select(
-        "id", "other_int", "other_id", "weight", *kept
+        "id", "part", "other_int", "other_id", "weight"
     )
 
 
-def with_parts(links: DataFrame, part_links: int = PART_LINKS) -> DataFrame:
-    """Add the document part each link belongs to.
-
-    `links` is best a written table: its largest document is looked up first.
-    """
-    part = F.floor((F.col("rank") - 1) / F.lit(part_links)).cast("int")
-    if "rank" in links.columns:
-        return links.withColumn("part", part).drop("rank")
-    if largest_group(links, "id") <= part_links:
-        return links.withColumn("part", F.lit(0))
-    sized = with_group_size(links, "id", ["other_int"], "__links")
-    short = sized.where(F.col("__links") <= part_links).withColumn("part", F.lit(0))
-    long = sized.where(F.col("__links") > part_links)
-    ranked = group_ranks(long, "id", "weight", "other_int").withColumn("part", part)
-    return short.drop("__links").unionByName(ranked.drop("__links", "rank"))
-
-
 def ordered_links(field: Column) -> Column:
     """Aggregate: links by weight and then number, both descending."""
     return F.sort_array(F.collect_list(field), asc=False)
@@ -68,7 +75,6 @@ def documents(
     fields: dict[str, DataFrame],
     how: str = "inner",
     delim: str = " ",
-    part_links: int = PART_LINKS,
 ) -> DataFrame:
     """Documents with one text column per field.
 
@@ -82,7 +88,7 @@ def documents(
     rows = reduce(
         DataFrame.unionByName,
         [
-            with_parts(fields[name], part_links).select(
+            fields[name].select(
                 "id", "part", F.lit(number).alias("__field"), entry.alias("__entry")
             )
             for number, name in enumerate(names)
