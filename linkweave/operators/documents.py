@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from linkweave.operators.ids import decode
 from linkweave.operators.ranking import group_ranks
-from linkweave.operators.skew import largest_group, with_group_size
+from linkweave.operators.skew import group_summary, with_group_size
 
 # Links in one document row.
 PART_LINKS = 100_000
@@ -30,7 +30,7 @@ def with_parts(links: DataFrame, key: str, part_links: int = PART_LINKS) -> Data
     part = F.floor((F.col("rank") - 1) / F.lit(part_links)).cast("int")
     if "rank" in links.columns:
         return links.withColumn("part", part).drop("rank")
-    if largest_group(links, key) <= part_links:
+    if group_summary(links, key)[1] <= part_links:
         return links.withColumn("part", F.lit(0))
     sized = with_group_size(links, key, ["other_int"], "__links")
     short = sized.where(F.col("__links") <= part_links).withColumn("part", F.lit(0))

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from linkweave.operators.skew import SPREAD, bucket_of, group_sizes, largest_group
+from linkweave.operators.skew import SPREAD, bucket_of, group_sizes, group_summary
 
 # Entries of one row that stay together.
 TILE = 1_024
@@ -43,12 +43,13 @@ def pair_counts(
     shared: str,
     item: str,
     item_size: str | None = None,
+    longest: int | None = None,
     tile: int = TILE,
 ) -> DataFrame:
     """Count, for each two items, the shared rows that hold both.
 
-    `entries` has each (shared, item) once, and is best a written table: the longest row
-    is looked up first. The result has each pair once, as (low, high, n_both) with
+    `entries` has each (shared, item) once, and is best a written table: unless `longest`
+    tells the length of the longest row, a job looks it up first. The result has each pair once, as (low, high, n_both) with
     low < high. With `item_size`, a column that is constant per item, also (n_low, n_high).
     """
     columns = {"__shared": F.col(shared), "__item": F.col(item)}
@@ -58,7 +59,9 @@ def pair_counts(
     tasks = _tasks(entries)
     keys = ["__shared"]
     left = right = rows
-    if largest_group(entries, shared) > tile:
+    if longest is None:
+        longest = group_summary(entries, shared)[1]
+    if longest > tile:
         keys = ["__shared", "__a", "__b"]
         left, right = _pair_tiles(rows, tile)
     names = [c for c in ("__item", "__n") if c in rows.columns]
@@ -66,17 +69,29 @@ def pair_counts(
     right = right.select(*keys, *[F.col(c).alias(f"{c}_y") for c in names])
 
     in_order = F.col("__item_x") < F.col("__item_y")
-    once = in_order if len(keys) == 1 else in_order | (F.col("__a") != F.col("__b"))
-    pairs = left.repartition(tasks, *keys).join(right.repartition(tasks, *keys), keys).where(once)
+    pairs = left.repartition(tasks, *keys).join(right.repartition(tasks, *keys), keys)
+    ends = {
+        "low": F.col("__item_x"),
+        "high": F.col("__item_y"),
+        "n_low": F.col("__n_x") if item_size else None,
+        "n_high": F.col("__n_y") if item_size else None,
+    }
+    if longest <= tile:
+        pairs = pairs.where(in_order)
+    else:
+        # Two different chunks meet once only, with their items in either order.
+        pairs = pairs.where(in_order | (F.col("__a") != F.col("__b")))
+        ends["low"], ends["high"] = _oriented(in_order, ends["low"], ends["high"])
+        if item_size:
+            ends["n_low"], ends["n_high"] = _oriented(in_order, ends["n_low"], ends["n_high"])
     totals = [F.count(F.lit(1)).alias("n_both")]
     if item_size:
-        n_low = F.when(in_order, F.col("__n_x")).otherwise(F.col("__n_y"))
-        n_high = F.when(in_order, F.col("__n_y")).otherwise(F.col("__n_x"))
-        totals += [F.max(n_low).alias("n_low"), F.max(n_high).alias("n_high")]
-    return pairs.groupBy(
-        F.least("__item_x", "__item_y").alias("low"),
-        F.greatest("__item_x", "__item_y").alias("high"),
-    ).agg(*totals)
+        totals += [F.max(ends[c]).alias(c) for c in ("n_low", "n_high")]
+    return pairs.groupBy(ends["low"].alias("low"), ends["high"].alias("high")).agg(*totals)
+
+
+def _oriented(in_order: Column, x: Column, y: Column) -> tuple[Column, Column]:
+    return F.when(in_order, x).otherwise(y), F.when(in_order, y).otherwise(x)
 
 
 def _pair_tiles(rows: DataFrame, tile: int) -> tuple[DataFrame, DataFrame]:
@@ -130,7 +145,7 @@ def matrix_product(
         },
     )
     keys = ["__shared"]
-    if max(largest_group(left, shared), largest_group(right, shared)) > tile:
+    if any(group_summary(side, shared)[1] > tile for side in (left, right)):
         keys = ["__shared", "__a", "__b"]
         lhs, rhs = _product_tiles(lhs, rhs, tile)
     tasks = _tasks(left)

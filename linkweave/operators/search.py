@@ -89,7 +89,7 @@ def query_category(
         F.struct("item_id", "category").alias("item_id"), "other_item_id"
     )
     tagged_history = lookup(
-        history.select("user_id", "item_id").distinct(), preferred, "user_id", ["item_id"], "left"
+        history.select("user_id", "item_id"), preferred, "user_id", ["item_id"], "left"
     ).select(F.struct("user_id", "category").alias("user_id"), "item_id")
     found = matches(tagged_history, tagged_links)
     same = F.col("user_id.category") == F.col("item_id.category")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from linkweave.functions.similarity import Measure, resolve, rounded
 from linkweave.operators.product import matrix_product, pair_counts
 from linkweave.operators.ranking import top_k
-from linkweave.operators.skew import with_group_size
+from linkweave.operators.skew import group_summary, with_group_size
 
 
 def _both_ways(pairs: DataFrame, *carried: str) -> DataFrame:
@@ -32,18 +32,20 @@ def item_similarity(
 ) -> DataFrame:
     """Score of each pair with a common user: (item_id, other_item_id, n_both, score).
 
-    The users per item travel with the entries, since joining them to the pairs later
-    would shuffle the far larger table. Scores of zero are dropped.
+    `history` is best a written table: its users are counted first. The users per item
+    travel with the entries, since joining them to the pairs later would shuffle the far
+    larger table. Scores of zero are dropped.
     """
     score = resolve(measure)
+    n_users, longest = group_summary(history, "user_id")
     sized = with_group_size(history, "item_id", ["user_id"], "__users")
-    pairs = pair_counts(sized, "user_id", "item_id", "__users")
-    n_users = history.agg(F.countDistinct("user_id")).scalar()
+    pairs = pair_counts(sized, "user_id", "item_id", "__users", longest)
+    counts = (F.col(c) for c in ("n_both", "n_low", "n_high"))
+    value = rounded(score(*counts, F.lit(n_users)))
+    # As a generated column the score is computed once: a filter on a plain one would be
+    # pushed below it and compute it again.
     scored = pairs.select(
-        "low",
-        "high",
-        "n_both",
-        rounded(score(F.col("n_both"), F.col("n_low"), F.col("n_high"), n_users)).alias("score"),
+        "low", "high", "n_both", F.explode(F.array(value)).alias("score")
     ).where(F.col("score") > 0)
     if threshold is not None:
         scored = scored.where(F.col("score") >= threshold)

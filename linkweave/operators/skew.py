@@ -44,10 +44,14 @@ def with_group_size(df: DataFrame, key: str, spread: list[str], name: str) -> Da
     )
 
 
-def largest_group(df: DataFrame, key: str) -> int:
-    """Rows of the most frequent key. Runs a job that counts before it shuffles."""
+def group_summary(df: DataFrame, key: str) -> tuple[int, int]:
+    """Number of keys, and rows of the most frequent one.
+
+    Runs a job that counts before it shuffles.
+    """
     sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("__rows"))
-    return sizes.agg(F.max("__rows")).first()[0] or 0
+    keys, largest = sizes.agg(F.count(key), F.max("__rows")).first()
+    return keys, largest or 0
 
 
 def frequent_keys(df: DataFrame, key: str, hot_rows: int, hot_keys: int) -> list:
