@@ -6,16 +6,22 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Characters up to U+0020 count as blanks when an id is trimmed.
-BLANKS = r"^[\x00-\x20]+|[\x00-\x20]+$"
+BLANKS = "".join(map(chr, range(0x21)))
 
 
 def trim_blanks(value: Column) -> Column:
-    return F.regexp_replace(value, BLANKS, "")
+    return F.trim(value, F.lit(BLANKS))
 
 
-def line_fields(line: Column, delim: str) -> Column:
-    """Fields of a line split on a regex, without empty fields at the end."""
-    return F.split(F.regexp_replace(line, f"(?:{delim})+$", ""), delim)
+def field_at(fields: Column, position: int) -> Column:
+    """A field of a split line, trimmed; null if the line ends before it.
+
+    Empty fields at the end of a line do not count as fields.
+    """
+    value = F.get(fields, F.lit(position))
+    rest = F.slice(fields, position + 1, F.size(fields))
+    present = (value != "") | F.exists(rest, lambda field: field != "")
+    return trim_blanks(F.when(present, value))
 
 
 def action_dir_name(action: Column) -> Column:

@@ -30,7 +30,7 @@ def with_parts(links: DataFrame, key: str, part_links: int = PART_LINKS) -> Data
     part = F.floor((F.col("rank") - 1) / F.lit(part_links)).cast("int")
     if "rank" in links.columns:
         return links.withColumn("part", part).drop("rank")
-    if group_summary(links, key)[1] <= part_links:
+    if group_summary(links, key).largest <= part_links:
         return links.withColumn("part", F.lit(0))
     sized = with_group_size(links, key, ["other_int"], "__links")
     short = sized.where(F.col("__links") <= part_links).withColumn("part", F.lit(0))

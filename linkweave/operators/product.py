@@ -8,26 +8,40 @@ each task adds up its terms by cell before the shuffle to the result.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from linkweave.operators.skew import SPREAD, bucket_of, group_sizes, group_summary
+from linkweave.operators.skew import (
+    SPREAD,
+    GroupSummary,
+    bucket_of,
+    group_sizes,
+    group_summary,
+)
 
 # Entries of one row that stay together.
 TILE = 1_024
 
 
-def _tasks(df: DataFrame) -> int:
-    """Partitions for the tiles.
+# Terms that one task should add up, and the most tasks for one product.
+TASK_TERMS = 20_000_000
+MAX_TASKS = 100_000
+
+
+def _tasks(df: DataFrame, terms: float) -> int:
+    """Partitions for a join that yields about `terms` rows.
 
-    Their input is small next to what they produce, so the number is set here instead
-    of being merged by input size.
+    Its input is small next to what it yields, so the number is set here instead of
+    being merged by input size.
     """
     spark = df.sparkSession
-    return max(
+    at_least = max(
         int(spark.conf.get("spark.sql.shuffle.partitions")),
         spark.sparkContext.defaultParallelism,
     )
+    return max(at_least, min(MAX_TASKS, math.ceil(terms / TASK_TERMS)))
 
 
 def _chunks(size: str, tile: int) -> Column:
@@ -43,25 +57,24 @@ def pair_counts(
     shared: str,
     item: str,
     item_size: str | None = None,
-    longest: int | None = None,
+    summary: GroupSummary | None = None,
     tile: int = TILE,
 ) -> DataFrame:
     """Count, for each two items, the shared rows that hold both.
 
-    `entries` has each (shared, item) once, and is best a written table: unless `longest`
-    tells the length of the longest row, a job looks it up first. The result has each pair once, as (low, high, n_both) with
+    `entries` has each (shared, item) once, and is best a written table: unless the
+    `summary` of its rows is given, a job looks it up first. The result has each pair once, as (low, high, n_both) with
     low < high. With `item_size`, a column that is constant per item, also (n_low, n_high).
     """
     columns = {"__shared": F.col(shared), "__item": F.col(item)}
     if item_size:
         columns["__n"] = F.col(item_size)
     rows = _entries(entries, columns)
-    tasks = _tasks(entries)
+    summary = summary or group_summary(entries, shared)
+    tasks = _tasks(entries, summary.squares / 2)
     keys = ["__shared"]
     left = right = rows
-    if longest is None:
-        longest = group_summary(entries, shared)[1]
-    if longest > tile:
+    if summary.largest > tile:
         keys = ["__shared", "__a", "__b"]
         left, right = _pair_tiles(rows, tile)
     names = [c for c in ("__item", "__n") if c in rows.columns]
@@ -76,7 +89,7 @@ def pair_counts(
         "n_low": F.col("__n_x") if item_size else None,
         "n_high": F.col("__n_y") if item_size else None,
     }
-    if longest <= tile:
+    if summary.largest <= tile:
         pairs = pairs.where(in_order)
     else:
         # Two different chunks meet once only, with their items in either order.
@@ -124,8 +137,8 @@ def matrix_product(
     """Sum of products over the shared dimension, as (row, col, value, n_terms).
 
     `left` has each (shared, row) once and `right` each (shared, col). A side without a
-    value column counts as 1 per entry. Both are best written tables: their longest rows
-    are looked up first.
+    value column counts as 1 per entry. Both are best written tables: the sizes of their
+    rows are looked up first.
     """
     one = F.lit(1).cast("bigint")
     lhs = _entries(
@@ -145,10 +158,12 @@ def matrix_product(
         },
     )
     keys = ["__shared"]
-    if any(group_summary(side, shared)[1] > tile for side in (left, right)):
+    sizes = [group_summary(side, shared) for side in (left, right)]
+    if any(size.largest > tile for size in sizes):
         keys = ["__shared", "__a", "__b"]
         lhs, rhs = _product_tiles(lhs, rhs, tile)
-    tasks = _tasks(left)
+    # No more than this many terms, by the Cauchy-Schwarz inequality.
+    tasks = _tasks(left, math.sqrt(sizes[0].squares * sizes[1].squares))
     return (
         lhs.repartition(tasks, *keys)
         .join(rhs.repartition(tasks, *keys), keys)

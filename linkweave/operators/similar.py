@@ -37,11 +37,11 @@ def item_similarity(
     larger table. Scores of zero are dropped.
     """
     score = resolve(measure)
-    n_users, longest = group_summary(history, "user_id")
+    summary = group_summary(history, "user_id")
     sized = with_group_size(history, "item_id", ["user_id"], "__users")
-    pairs = pair_counts(sized, "user_id", "item_id", "__users", longest)
+    pairs = pair_counts(sized, "user_id", "item_id", "__users", summary)
     counts = (F.col(c) for c in ("n_both", "n_low", "n_high"))
-    value = rounded(score(*counts, F.lit(n_users)))
+    value = rounded(score(*counts, F.lit(summary.keys)))
     # As a generated column the score is computed once: a filter on a plain one would be
     # pushed below it and compute it again.
     scored = pairs.select(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -44,14 +46,21 @@ def with_group_size(df: DataFrame, key: str, spread: list[str], name: str) -> Da
     )
 
 
-def group_summary(df: DataFrame, key: str) -> tuple[int, int]:
-    """Number of keys, and rows of the most frequent one.
+class GroupSummary(NamedTuple):
+    """Number of keys, rows of the most frequent one, and the sum of squared rows."""
 
-    Runs a job that counts before it shuffles.
-    """
-    sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("__rows"))
-    keys, largest = sizes.agg(F.count(key), F.max("__rows")).first()
-    return keys, largest or 0
+    keys: int
+    largest: int
+    squares: float
+
+
+def group_summary(df: DataFrame, key: str) -> GroupSummary:
+    """Sizes of the groups of `key`, from a job that counts before it shuffles."""
+    sizes = df.groupBy(key).agg(F.count(F.lit(1)).cast("double").alias("__rows"))
+    row = sizes.agg(
+        F.count(key), F.max("__rows"), F.sum(F.col("__rows") * F.col("__rows"))
+    ).first()
+    return GroupSummary(row[0], int(row[1] or 0), row[2] or 0.0)
 
 
 def frequent_keys(df: DataFrame, key: str, hot_rows: int, hot_keys: int) -> list:

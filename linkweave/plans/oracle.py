@@ -141,7 +141,7 @@ SQL: dict[str, str] = {
         """SELECT CASE action WHEN 'purchase' THEN 'primary' WHEN 'view' THEN 'secondary'
         ELSE 'other' END AS role, user_id, item_id, CAST(1 AS DOUBLE) AS weight FROM ev""",
     ),
-    "action_dir_names": _with(
+    "action_dir_name": _with(
         EVENTS,
         "t AS (SELECT DISTINCT action FROM ev)",
         "s AS (SELECT action FROM t UNION ALL SELECT upper(action) || '_X Y' FROM t)",

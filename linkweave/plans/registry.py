@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkweave.functions.text import action_dir_name
+from linkweave.functions import text
 from linkweave.operators import documents, ids, prefs, recommend, search, similar, vectors
 from linkweave.operators.skew import lookup
 from linkweave.plans import inputs
@@ -104,11 +104,11 @@ def split_actions(spark, sf_dir):
 
 
 @query
-def action_dir_names(spark, sf_dir):
+def action_dir_name(spark, sf_dir):
     actions = event_log(spark, sf_dir).select("action").distinct()
     marked = actions.select(F.concat(F.upper("action"), F.lit("_X Y")).alias("action"))
     return actions.unionAll(marked).select(
-        "action", action_dir_name(F.col("action")).alias("dir_name")
+        "action", text.action_dir_name(F.col("action")).alias("dir_name")
     )
 
 

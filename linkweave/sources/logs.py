@@ -7,7 +7,7 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkweave.functions.text import line_fields, trim_blanks
+from linkweave.functions.text import field_at
 
 # Columns that give the place of a line in its log.
 LINE_ORDER = ("src_file", "src_block", "src_line")
@@ -62,15 +62,19 @@ def _parsed(
     ts_col: int,
     keep_empty_ids: bool,
 ) -> DataFrame:
-    fields = line_fields(F.col("value"), delim)
     wanted = {"user_id": user_col, "action": action_col, "item_id": item_col}
     if ts_col >= 0:
         wanted["ts"] = ts_col
     order = [c for c in LINE_ORDER if c in lines.columns]
-    rows = lines.select(
-        *[trim_blanks(F.get(fields, F.lit(k))).alias(name) for name, k in wanted.items()],
+    # As a generated column the split is done once, not again in the filter for bad lines.
+    split = lines.select(
         *order,
         F.col("value").alias("raw"),
+        F.explode(F.array(F.split("value", delim))).alias("__fields"),
+    )
+    fields = F.col("__fields")
+    rows = split.select(
+        *[field_at(fields, k).alias(name) for name, k in wanted.items()], *order, "raw"
     )
     bad = F.lit(False)
     for name in wanted:

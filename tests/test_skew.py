@@ -99,8 +99,9 @@ def test_group_size(spark, entries):
     assert {tuple(r) for r in sized.select("user_id", "item_id", "n").collect()} == {
         (u, i, sizes[u]) for u, i in entries
     }
-    assert skew.group_summary(df, "user_id") == (len(sizes), max(sizes.values()))
-    assert skew.group_summary(df.where("false"), "user_id") == (0, 0)
+    squares = sum(n * n for n in sizes.values())
+    assert skew.group_summary(df, "user_id") == (len(sizes), max(sizes.values()), squares)
+    assert skew.group_summary(df.where("false"), "user_id") == (0, 0, 0)
 
 
 def weighted_rows(seed, n=300):
