@@ -35,7 +35,7 @@ def log_likelihood(both: Column, n_i: Column, n_j: Column, n_users: Column) -> C
 
 
 def cosine(both: Column, n_i: Column, n_j: Column, n_users: Column) -> Column:
-    return both / F.sqrt(n_i * n_j)
+    return both / F.sqrt(n_i.cast("double") * n_j)
 
 
 def tanimoto(both: Column, n_i: Column, n_j: Column, n_users: Column) -> Column:

@@ -56,10 +56,8 @@ def decode_links(
         *[c for c in ("rank",) if c in matrix.columns],
     )
     parts = with_parts(numbered, "__row", part_links)
-    named = decode(parts, rows, "__row", "id", ["other_int"])
-    return decode(named, cols, "other_int", "other_id", ["id"]).select(
-        "id", "part", "other_int", "other_id", "weight"
-    )
+    named = decode(parts, {"__row": ("id", rows), "other_int": ("other_id", cols)})
+    return named.select("id", "part", "other_int", "other_id", "weight")
 
 
 def ordered_links(field: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from linkweave.operators.skew import lookup
+from linkweave.operators.skew import frequent_keys, lookup
 from linkweave.session import settled
 
 # monotonically_increasing_id() keeps the partition above bit 33.
@@ -53,32 +53,41 @@ def matrix_dims(log: DataFrame) -> DataFrame:
 
 
 def encode(prefs: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame:
-    """Replace the ids by their numbers, as (user_int, item_int, ...)."""
+    """Replace the ids by their numbers, as (user_int, item_int, ...).
+
+    `prefs` is best a written table: its frequent ids are looked up first.
+    """
     rest = [c for c in prefs.columns if c not in ("user_id", "item_id")]
+    hot_users, hot_items = (frequent_keys(prefs, c) for c in ("user_id", "item_id"))
     coded = lookup(
         prefs,
         users.select(F.col("ext_id").alias("user_id"), F.col("int_id").alias("user_int")),
         "user_id",
         ["item_id"],
+        hot=hot_users,
     )
     coded = lookup(
         coded,
         items.select(F.col("ext_id").alias("item_id"), F.col("int_id").alias("item_int")),
         "item_id",
         ["user_int"],
+        hot=hot_items,
     )
     return coded.select("user_int", "item_int", *rest)
 
 
 def decode(
     matrix: DataFrame,
-    dictionary: DataFrame,
-    int_col: str,
-    ext_col: str,
-    spread: list[str],
+    sides: dict[str, tuple[str, DataFrame]],
 ) -> DataFrame:
-    """Add the original id of a numbered column."""
-    names = dictionary.select(
-        F.col("int_id").alias(int_col), F.col("ext_id").alias(ext_col)
-    )
-    return lookup(matrix, names, int_col, spread)
+    """Add the original ids of numbered columns.
+
+    `sides` gives, for each of two numbered columns, the name of the column to add and the
+    dictionary. `matrix` is best a written table: its frequent ids are looked up first.
+    """
+    hot = {column: frequent_keys(matrix, column) for column in sides}
+    for column, (name, dictionary) in sides.items():
+        names = dictionary.select(F.col("int_id").alias(column), F.col("ext_id").alias(name))
+        spread = [other for other in sides if other != column]
+        matrix = lookup(matrix, names, column, spread, hot=hot[column])
+    return matrix

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 # Tasks that share the rows of one key.
 SPREAD = 512
 
-# A key becomes "hot" for `lookup` above HOT_ROWS rows. At most HOT_KEYS keys are
-# treated so: any further key has less than 1/HOT_KEYS of the rows.
+# A key is frequent above HOT_ROWS rows. At most HOT_KEYS keys are treated so: any further
+# key has less than 1/HOT_KEYS of the rows.
 HOT_ROWS = 100_000
 HOT_KEYS = 1_000
 
@@ -63,10 +63,12 @@ def group_summary(df: DataFrame, key: str) -> GroupSummary:
     return GroupSummary(row[0], int(row[1] or 0), row[2] or 0.0)
 
 
-def frequent_keys(df: DataFrame, key: str, hot_rows: int, hot_keys: int) -> list:
+def frequent_keys(
+    df: DataFrame, key: str, hot_rows: int = HOT_ROWS, hot_keys: int = HOT_KEYS
+) -> list:
     """The keys with more than `hot_rows` rows, at most `hot_keys` of them."""
-    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(
-        F.count(F.lit(1)).alias("__rows")
+    counts = (
+        df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("__rows"))
     )
     hot = counts.where(F.col("__rows") > hot_rows).orderBy(F.desc("__rows"), key)
     return [row[0] for row in hot.select(key).limit(hot_keys).collect()]
@@ -78,18 +80,19 @@ def lookup(
     on: str,
     spread: list[str],
     how: str = "inner",
-    hot_rows: int = HOT_ROWS,
-    hot_keys: int = HOT_KEYS,
+    hot: list | None = None,
 ) -> DataFrame:
     """Join `df` to a table that has each `on` once.
 
-    A first job counts the keys of `df`, which is best a written table. Rows of hot keys
-    are dealt over SPREAD buckets, and the table repeats only those keys. Which keys are
-    taken as hot changes the work, never the result.
+    Rows of the keys in `hot` are dealt over SPREAD buckets, and the table repeats only
+    those keys. Unless the list is given, a first job finds the frequent keys of `df`,
+    which is then best a written table. Which keys are taken as hot changes the work,
+    never the result.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"how must be inner or left, not {how!r}")
-    hot = frequent_keys(df, on, hot_rows, hot_keys)
+    if hot is None:
+        hot = frequent_keys(df, on)
     if not hot:
         return df.join(table, on, how)
     is_hot = F.coalesce(F.col(on).isin(hot), F.lit(False))

@@ -151,7 +151,7 @@ def recent_history(spark, sf_dir):
 def _dictionaries(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     log = event_log(spark, sf_dir)
     order = F.col("event_id")
-    return ids.assign_ids(log, "user_id", order), ids.assign_ids(log, "item_id", order)
+    return tuple(ids.assign_ids(log, column, order) for column in ("user_id", "item_id"))
 
 
 @query
@@ -181,10 +181,8 @@ def decode_matrix(spark, sf_dir):
     coded = ids.encode(
         prefs.primary_prefs(event_log(spark, sf_dir), EVENT_ROLES[0]), users, items
     )
-    named = ids.decode(coded, users, "user_int", "user_id", ["item_int"])
-    return ids.decode(named, items, "item_int", "item_id", ["user_int"]).select(
-        "user_id", "item_id", "weight"
-    )
+    sides = {"user_int": ("user_id", users), "item_int": ("item_id", items)}
+    return ids.decode(settled(coded), sides).select("user_id", "item_id", "weight")
 
 
 # Matrices
@@ -316,12 +314,11 @@ def blended_recs(spark, sf_dir):
 
 def _numbered_histories(spark, sf_dir):
     users, items = _dictionaries(spark, sf_dir)
-    log = event_log(spark, sf_dir)
     coded = [
-        ids.encode(prefs.history_matrix(prefs.primary_prefs(log, action)), users, items).select(
+        ids.encode(history, users, items).select(
             F.col("user_int").alias("user_id"), F.col("item_int").alias("item_id")
         )
-        for action in EVENT_ROLES
+        for history in _event_histories(spark, sf_dir)
     ]
     return users, items, *map(settled, coded)
 
