@@ -10,7 +10,12 @@ from linkweave.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(8, **{"spark.sql.shuffle.partitions": "4"})
+    # Many short jobs: few partitions, and no generated code (the oracle check runs with it).
+    settings = {
+        "spark.sql.shuffle.partitions": "4",
+        "spark.sql.codegen.wholeStage": "false",
+    }
+    session = local_session(8, **settings)
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
