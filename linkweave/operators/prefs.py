@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linkweave.operators.ranking import top_k
-from linkweave.operators.skew import with_group_size
+from linkweave.operators.skew import group_sizes, lookup
 
 PRIMARY, SECONDARY, OTHER = "primary", "secondary", "other"
 
@@ -46,11 +46,14 @@ def history_matrix(prefs: DataFrame) -> DataFrame:
 
 
 def min_prefs(history: DataFrame, at_least: int) -> DataFrame:
-    """Keep the users with at least so many distinct items."""
+    """Keep the users with at least so many distinct items.
+
+    `history` is best a written table: its frequent users are looked up first.
+    """
     if at_least <= 1:
         return history
-    sized = with_group_size(history, "user_id", ["item_id"], "__items")
-    return sized.where(F.col("__items") >= at_least).drop("__items")
+    enough = group_sizes(history, "user_id", "__items").where(F.col("__items") >= at_least)
+    return lookup(history, enough, "user_id", ["item_id"]).drop("__items")
 
 
 def downsample_prefs(

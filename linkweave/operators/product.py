@@ -10,15 +10,15 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linkweave.operators.skew import (
-    SPREAD,
     GroupSummary,
     bucket_of,
     group_sizes,
     group_summary,
+    lookup,
 )
 
 # Entries of one row that stay together.
@@ -109,12 +109,10 @@ def _oriented(in_order: Column, x: Column, y: Column) -> tuple[Column, Column]:
 
 def _pair_tiles(rows: DataFrame, tile: int) -> tuple[DataFrame, DataFrame]:
     """Both sides of a self-join by tiles (__a, __b) with __a <= __b."""
-    sizes = group_sizes(rows, "__shared", ["__item"], "__size").where(F.col("__size") > tile)
-    n_chunks = _chunks("__size", tile)
+    sizes = group_sizes(rows, "__shared", "__size").where(F.col("__size") > tile)
     chunked = (
-        rows.withColumn("__bucket", bucket_of(["__item"], SPREAD))
-        .join(sizes, ["__shared", "__bucket"], "left")
-        .withColumn("__chunks", n_chunks)
+        lookup(rows, sizes, "__shared", ["__item"], "left")
+        .withColumn("__chunks", _chunks("__size", tile))
         .withColumn("__chunk", bucket_of(["__item"], F.col("__chunks")))
     )
     onward = F.sequence(F.col("__chunk"), F.col("__chunks") - 1)
@@ -183,9 +181,8 @@ def _product_tiles(
     sizes = _both_sizes(lhs, rhs, tile)
     left_chunks, right_chunks = _chunks("__left", tile), _chunks("__right", tile)
     zero = F.lit(0).cast("bigint")
-    on = ["__shared", "__bucket"]
-    left = lhs.withColumn("__bucket", bucket_of(["__row"], SPREAD)).join(sizes, on, "left")
-    right = rhs.withColumn("__bucket", bucket_of(["__col"], SPREAD)).join(sizes, on, "left")
+    left = lookup(lhs, sizes, "__shared", ["__row"], "left")
+    right = lookup(rhs, sizes, "__shared", ["__col"], "left")
     return (
         left.select(
             "__shared",
@@ -205,29 +202,12 @@ def _product_tiles(
 
 
 def _both_sizes(lhs: DataFrame, rhs: DataFrame, tile: int) -> DataFrame:
-    """(__shared, __bucket, __left, __right) for rows that are long on either side."""
-    entries = lhs.select(
-        "__shared",
-        bucket_of(["__row"], SPREAD).alias("__bucket"),
-        F.lit(1).alias("__l"),
-        F.lit(0).alias("__r"),
-    ).unionAll(
-        rhs.select(
-            "__shared",
-            bucket_of(["__col"], SPREAD).alias("__bucket"),
-            F.lit(0).alias("__l"),
-            F.lit(1).alias("__r"),
-        )
+    """(__shared, __left, __right) for the rows that are long on either side."""
+    entries = lhs.select("__shared", F.lit(1).alias("__l"), F.lit(0).alias("__r")).unionAll(
+        rhs.select("__shared", F.lit(0).alias("__l"), F.lit(1).alias("__r"))
     )
-    per_key = Window.partitionBy("__shared")
     return (
-        entries.groupBy("__shared", "__bucket")
-        .agg(F.sum("__l").alias("__l"), F.sum("__r").alias("__r"))
-        .select(
-            "__shared",
-            "__bucket",
-            F.sum("__l").over(per_key).alias("__left"),
-            F.sum("__r").over(per_key).alias("__right"),
-        )
+        entries.groupBy("__shared")
+        .agg(F.sum("__l").alias("__left"), F.sum("__r").alias("__right"))
         .where((F.col("__left") > tile) | (F.col("__right") > tile))
     )

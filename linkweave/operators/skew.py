@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Tasks that share the rows of one key.
+# Buckets over which the rows of one frequent key are dealt.
 SPREAD = 512
 
 # A key is frequent above HOT_ROWS rows. At most HOT_KEYS keys are treated so: any further
@@ -22,30 +22,6 @@ def bucket_of(columns: list[str], buckets: int | Column) -> Column:
     return F.pmod(F.xxhash64(*columns), count)
 
 
-def group_sizes(df: DataFrame, key: str, spread: list[str], name: str) -> DataFrame:
-    """Rows per key as (key, __bucket, name): one row for each bucket the key fills.
-
-    A key has at most SPREAD rows here, however many it has in `df`.
-    """
-    partial = (
-        df.select(key, bucket_of(spread, SPREAD).alias("__bucket"))
-        .groupBy(key, "__bucket")
-        .agg(F.count(F.lit(1)).alias("__rows"))
-    )
-    total = F.sum("__rows").over(Window.partitionBy(key))
-    return partial.select(key, "__bucket", total.alias(name))
-
-
-def with_group_size(df: DataFrame, key: str, spread: list[str], name: str) -> DataFrame:
-    """`df` with the number of rows of its key, joined per bucket of the key."""
-    sizes = group_sizes(df, key, spread, name)
-    return (
-        df.withColumn("__bucket", bucket_of(spread, SPREAD))
-        .join(sizes, [key, "__bucket"])
-        .drop("__bucket")
-    )
-
-
 class GroupSummary(NamedTuple):
     """Number of keys, rows of the most frequent one, and the sum of squared rows."""
 
@@ -103,3 +79,13 @@ def lookup(
     copies = F.when(is_hot, F.lit(SPREAD - 1).cast("bigint")).otherwise(zero)
     right = table.withColumn("__bucket", F.explode(F.sequence(zero, copies)))
     return left.join(right, [on, "__bucket"], how).drop("__bucket")
+
+
+def group_sizes(df: DataFrame, key: str, name: str) -> DataFrame:
+    """Rows per key, as (key, name). Tasks count before they shuffle."""
+    return df.groupBy(key).agg(F.count(F.lit(1)).alias(name))
+
+
+def with_group_size(df: DataFrame, key: str, spread: list[str], name: str) -> DataFrame:
+    """`df` with the number of rows of its key. It is best a written table."""
+    return lookup(df, group_sizes(df, key, name), key, spread)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkweave.operators.skew import bucket_of, with_group_size
+from linkweave.operators.skew import bucket_of, group_summary, with_group_size
 
 # Entries of a packed row. A longer vector continues in further parts.
 PART_ENTRIES = 100_000
@@ -29,12 +29,16 @@ def pack_vectors(
     """One array per key and part, ordered by entry: (key, part, name, count).
 
     Vectors over `part_entries` are cut by a hash of the entry into parts of about that
-    size, so that no task ever holds the whole of a very long one.
+    size, so that no task ever holds the whole of a very long one. `entries` is best a
+    written table: its longest vector is looked up first.
     """
-    sized = with_group_size(entries.select(key, entry), key, [entry], "__size")
-    parts = F.ceil(F.col("__size") / F.lit(part_entries))
+    rows = entries.select(key, entry, F.lit(0).alias("part"))
+    if group_summary(entries, key).largest > part_entries:
+        sized = with_group_size(entries.select(key, entry), key, [entry], "__size")
+        parts = F.ceil(F.col("__size") / F.lit(part_entries))
+        rows = sized.withColumn("part", bucket_of([entry], parts).cast("int"))
     return (
-        sized.groupBy(key, bucket_of([entry], parts).cast("int").alias("part"))
+        rows.groupBy(key, "part")
         .agg(F.sort_array(F.collect_list(entry)).alias(name))
         .withColumn(count, F.size(name).cast("bigint"))
     )

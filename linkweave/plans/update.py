@@ -13,6 +13,7 @@ from linkweave.config import UpdateConfig
 from linkweave.functions.text import action_dir_name
 from linkweave.operators import documents as docs
 from linkweave.operators import ids, prefs, recommend, similar
+from linkweave.session import settled
 from linkweave.sources import logs, tables
 
 
@@ -69,12 +70,15 @@ def split_log(spark: SparkSession, config: UpdateConfig) -> dict[str, DataFrame]
     return result
 
 
-def role_history(numbered: DataFrame, role: str, config: UpdateConfig) -> DataFrame:
+def role_history(numbered: DataFrame, role: str, config: UpdateConfig, path: str) -> DataFrame:
     """Distinct numbered (user_id, item_id) of one role, for users with enough of them."""
     chosen = numbered.where(F.col("role") == role).select(
         F.col("user_int").alias("user_id"), F.col("item_int").alias("item_id")
     )
-    return prefs.min_prefs(prefs.history_matrix(chosen), config.min_prefs_per_user)
+    history = prefs.history_matrix(chosen)
+    if config.min_prefs_per_user > 1:
+        history = prefs.min_prefs(settled(history), config.min_prefs_per_user)
+    return tables.write_table(history, path)
 
 
 def capped(history: DataFrame, cap: int | None) -> DataFrame:
@@ -101,9 +105,7 @@ def primary_model(
 ) -> dict[str, DataFrame]:
     """History, similar items and recommendations of the primary action."""
     out = config.output.rstrip("/")
-    history = tables.write_table(
-        role_history(numbered, prefs.PRIMARY, config), f"{out}/actions/p-action"
-    )
+    history = role_history(numbered, prefs.PRIMARY, config, f"{out}/actions/p-action")
     scored = similar.item_similarity(
         capped(history, config.max_prefs_similarity), config.similarity, config.threshold
     )
@@ -129,9 +131,7 @@ def cross_model(
 ) -> dict[str, DataFrame]:
     """Secondary history, cross co-occurrence and cross recommendations."""
     out = config.output.rstrip("/")
-    history = tables.write_table(
-        role_history(numbered, prefs.SECONDARY, config), f"{out}/actions/s-action"
-    )
+    history = role_history(numbered, prefs.SECONDARY, config, f"{out}/actions/s-action")
     cross = similar.cross_cooccurrence(
         capped(primary, config.max_prefs_similarity),
         capped(history, config.max_prefs_similarity),
