@@ -63,8 +63,9 @@ def pair_counts(
     """Count, for each two items, the shared rows that hold both.
 
     `entries` has each (shared, item) once, and is best a written table: unless the
-    `summary` of its rows is given, a job looks it up first. The result has each pair once, as (low, high, n_both) with
-    low < high. With `item_size`, a column that is constant per item, also (n_low, n_high).
+    `summary` of its rows is given, a job looks it up first. The result has each pair once,
+    as (low, high, n_both) with low < high. With `item_size`, a column that is constant per
+    item, also (n_low, n_high).
     """
     columns = {"__shared": F.col(shared), "__item": F.col(item)}
     if item_size:

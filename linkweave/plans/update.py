@@ -56,7 +56,12 @@ def split_log(spark: SparkSession, config: UpdateConfig) -> dict[str, DataFrame]
     )
     rest = ["ts"] if "ts" in log.columns else []
     wanted = log.where(F.col("role") != prefs.OTHER).select(
-        "user_id", "item_id", "weight", *rest, "role", action_dir_name(F.col("action")).alias("action_dir")
+        "user_id",
+        "item_id",
+        "weight",
+        *rest,
+        "role",
+        action_dir_name(F.col("action")).alias("action_dir"),
     )
     numbered = tables.write_table(
         ids.encode(wanted, users, items), f"{out}/prefs/numbered", partition_by="role"
