@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from linkweave.operators.skew import frequent_keys, lookup
+from linkweave.operators.skew import hot_keys, lookup
 from linkweave.session import settled
 
 # monotonically_increasing_id() keeps the partition above bit 33.
@@ -58,7 +58,7 @@ def encode(prefs: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame:
     `prefs` is best a written table: its frequent ids are looked up first.
     """
     rest = [c for c in prefs.columns if c not in ("user_id", "item_id")]
-    hot_users, hot_items = (frequent_keys(prefs, c) for c in ("user_id", "item_id"))
+    hot_users, hot_items = (hot_keys(prefs, c) for c in ("user_id", "item_id"))
     coded = lookup(
         prefs,
         users.select(F.col("ext_id").alias("user_id"), F.col("int_id").alias("user_int")),
@@ -85,7 +85,7 @@ def decode(
     `sides` gives, for each of two numbered columns, the name of the column to add and the
     dictionary. `matrix` is best a written table: its frequent ids are looked up first.
     """
-    hot = {column: frequent_keys(matrix, column) for column in sides}
+    hot = {column: hot_keys(matrix, column) for column in sides}
     for column, (name, dictionary) in sides.items():
         names = dictionary.select(F.col("int_id").alias(column), F.col("ext_id").alias(name))
         spread = [other for other in sides if other != column]

@@ -5,12 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from linkweave.operators.skew import SPREAD, bucket_of
+from linkweave.operators.skew import bucket_of
 
 # Fixed value: up to this rank Spark filters each task's rows before the shuffle
 # (the default of spark.sql.optimizer.windowGroupLimitThreshold).
 PRUNED_RANK = 1_000
 
+# Buckets of a key within which a large k is cut first.
+BUCKETS = 512
+
 # Numeric ids per block in `group_ranks`.
 ID_BLOCK = 65_536
 
@@ -31,7 +34,7 @@ def top_k(
     if k > PRUNED_RANK:
         within = Window.partitionBy(key, "__bucket").orderBy(*order)
         df = (
-            df.withColumn("__bucket", bucket_of(spread, SPREAD))
+            df.withColumn("__bucket", bucket_of(spread, BUCKETS))
             .withColumn("__rank", F.row_number().over(within))
             .where(F.col("__rank") <= k)
             .drop("__bucket", "__rank")

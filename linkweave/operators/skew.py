@@ -7,13 +7,14 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Buckets over which the rows of one frequent key are dealt.
-SPREAD = 512
+from linkweave.session import settled
 
-# A key is frequent above HOT_ROWS rows. At most HOT_KEYS keys are treated so: any further
-# key has less than 1/HOT_KEYS of the rows.
+# Hot keys that are sent to all tasks: some megabytes at most.
+MAX_SENT_KEYS = 100_000
+
+# Rows of one key that may stay together. A key with more is dealt over as many buckets
+# as give each about this number.
 HOT_ROWS = 100_000
-HOT_KEYS = 1_000
 
 
 def bucket_of(columns: list[str], buckets: int | Column) -> Column:
@@ -39,15 +40,19 @@ def group_summary(df: DataFrame, key: str) -> GroupSummary:
     return GroupSummary(row[0], int(row[1] or 0), row[2] or 0.0)
 
 
-def frequent_keys(
-    df: DataFrame, key: str, hot_rows: int = HOT_ROWS, hot_keys: int = HOT_KEYS
-) -> list:
-    """The keys with more than `hot_rows` rows, at most `hot_keys` of them."""
-    counts = (
-        df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("__rows"))
+def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """(key, __buckets) of every key with more than `hot_rows` rows, written once.
+
+    The table has at most rows / hot_rows keys, so that it is tiny next to `df`.
+    """
+    return settled(
+        df.where(F.col(key).isNotNull())
+        .groupBy(key)
+        .agg(F.count(F.lit(1)).alias("__rows"))
+        .where(F.col("__rows") > hot_rows)
+        .select(key, F.ceil(F.col("__rows") / F.lit(hot_rows)).cast("bigint").alias("__buckets")),
+        "hot-keys",
     )
-    hot = counts.where(F.col("__rows") > hot_rows).orderBy(F.desc("__rows"), key)
-    return [row[0] for row in hot.select(key).limit(hot_keys).collect()]
 
 
 def lookup(
@@ -56,29 +61,41 @@ def lookup(
     on: str,
     spread: list[str],
     how: str = "inner",
-    hot: list | None = None,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Join `df` to a table that has each `on` once.
 
-    Rows of the keys in `hot` are dealt over SPREAD buckets, and the table repeats only
-    those keys. Unless the list is given, a first job finds the frequent keys of `df`,
-    which is then best a written table. Which keys are taken as hot changes the work,
-    never the result.
+    Rows of each frequent key are dealt over buckets by the values of `spread`, as many
+    as the key's rows ask for, and the table repeats only those keys. Unless `hot_keys` of
+    `df` are given, a first job finds them, and `df` is then best a written table. How
+    keys are dealt changes the work, never the result.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"how must be inner or left, not {how!r}")
     if hot is None:
-        hot = frequent_keys(df, on)
-    if not hot:
+        hot = hot_keys(df, on)
+    n_hot = hot.count()
+    if not n_hot:
         return df.join(table, on, how)
-    is_hot = F.coalesce(F.col(on).isin(hot), F.lit(False))
+    # The hot keys are few by their definition; Spark sends a small table to all tasks.
+    # Beyond that, its rows meet those of `df` key by key, which adaptive execution splits.
+    if n_hot <= MAX_SENT_KEYS:
+        hot = F.broadcast(hot)
     zero = F.lit(0).cast("bigint")
-    left = df.withColumn(
-        "__bucket", F.when(is_hot, bucket_of(spread, SPREAD)).otherwise(zero)
+    one = F.lit(1).cast("bigint")
+    left = df.join(hot, on, "left").withColumn(
+        "__bucket",
+        F.when(F.col("__buckets").isNull(), zero).otherwise(
+            bucket_of(spread, F.col("__buckets"))
+        ),
     )
-    copies = F.when(is_hot, F.lit(SPREAD - 1).cast("bigint")).otherwise(zero)
-    right = table.withColumn("__bucket", F.explode(F.sequence(zero, copies)))
-    return left.join(right, [on, "__bucket"], how).drop("__bucket")
+    last = F.coalesce(F.col("__buckets"), one) - one
+    right = table.join(hot, on, "left").withColumn(
+        "__bucket", F.explode(F.sequence(zero, last))
+    )
+    return left.drop("__buckets").join(
+        right.drop("__buckets"), [on, "__bucket"], how
+    ).drop("__bucket")
 
 
 def group_sizes(df: DataFrame, key: str, name: str) -> DataFrame:
@@ -86,6 +103,8 @@ def group_sizes(df: DataFrame, key: str, name: str) -> DataFrame:
     return df.groupBy(key).agg(F.count(F.lit(1)).alias(name))
 
 
-def with_group_size(df: DataFrame, key: str, spread: list[str], name: str) -> DataFrame:
+def with_group_size(
+    df: DataFrame, key: str, spread: list[str], name: str
+) -> DataFrame:
     """`df` with the number of rows of its key. It is best a written table."""
     return lookup(df, group_sizes(df, key, name), key, spread)

@@ -1,12 +1,14 @@
-"""Session for local runs, and the place where intermediate tables are kept."""
+"""Session for local runs, and the shared place where intermediate tables are kept."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Scratch folder of each Spark application that this process has seen.
+_ROOTS: dict[str, str] = {}
+
 
 def local_session(cpus: int | str = "*", **settings: str) -> SparkSession:
     """A session for tests and the bench; a cluster brings its own."""
@@ -25,29 +27,55 @@ def local_session(cpus: int | str = "*", **settings: str) -> SparkSession:
     return builder.getOrCreate()
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder for checkpoints, as the cluster names it.
+def shared_dir(spark: SparkSession) -> str:
+    """The shared folder for intermediate data, as spark.checkpoint.dir names it.
 
-    Only a local session without the setting gets a folder of its own.
+    Where that is unset, a local session uses a folder of its warehouse; any other raises
+    an error.
     """
-    context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    current = context.getCheckpointDir()
-    if current is None:
-        if configured is None:
-            if not context.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-            configured = tempfile.mkdtemp(prefix="linkweave-")
-        context.setCheckpointDir(configured)
-    return configured or current
+    if configured is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        configured = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
+    return configured.rstrip("/")
+
+
+def _folder(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
 
 
-def settled(df: DataFrame) -> DataFrame:
-    """Write `df` to the checkpoint folder once, so that later jobs see the same rows."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+def scratch_root(spark: SparkSession) -> str:
+    """The folder of this application below the shared one; it goes when the session ends."""
+    application = spark.sparkContext.applicationId
+    if application not in _ROOTS:
+        root = f"{shared_dir(spark)}/linkweave-{uuid.uuid4().hex}"
+        files, target = _folder(spark, root)
+        files.mkdirs(target)
+        files.deleteOnExit(target)
+        _ROOTS[application] = root
+    return _ROOTS[application]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the checkpoint folder."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the scratch folder."""
+    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this library has written."""
+    files, target = _folder(spark, path)
+    files.delete(target, True)
+
+
+def settled(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write `df` to the scratch folder once and read it back.
+
+    Later jobs see the same rows and read only the columns they need, and a lost
+    executor takes nothing with it.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

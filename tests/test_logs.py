@@ -8,7 +8,7 @@ from linkweave.config import UpdateConfig
 from linkweave.functions.text import action_dir_name, extension_for
 from linkweave.operators import ids, prefs
 from linkweave.plans.update import update
-from linkweave.session import checkpoint_dir
+from linkweave.session import scratch_root, shared_dir
 from linkweave.sources import logs, tables
 
 
@@ -150,8 +150,8 @@ def test_empty_matrix_is_an_error(spark, tmp_path):
         tables.read_matrix(spark, path)
 
 
-def test_checkpoint_dir_is_taken_from_the_session(spark):
-    assert checkpoint_dir(spark) in spark.sparkContext.getCheckpointDir()
+def test_scratch_is_below_the_shared_folder(spark):
+    assert scratch_root(spark).startswith(shared_dir(spark))
 
 
 def test_update_options(spark, tmp_path):

@@ -8,6 +8,8 @@ from oracle_check import compare, connect
 
 import __spark_entry__ as entry
 from linkweave.operators import product, skew
+from linkweave.plans.oracle import SQL
+from linkweave.plans.registry import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 needs_tables = pytest.mark.skipif(not pathlib.Path(SF_DIR).exists(), reason="no test tables")
@@ -19,11 +21,12 @@ def connection():
 
 
 def test_each_query_has_sql():
-    assert entry.queries().keys() == entry.oracle_sql().keys()
+    assert QUERIES.keys() == SQL.keys()
+    assert QUERIES.keys() <= entry.queries().keys()
 
 
 @needs_tables
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, connection, name):
     result = compare(
         spark, connection, name, entry.queries()[name], entry.oracle_sql()[name], SF_DIR
@@ -68,7 +71,7 @@ def test_skewed_tables(spark, skewed, monkeypatch, name):
     """Small tiles and low limits, so that the tables take the paths for hot keys."""
     monkeypatch.setattr(product.pair_counts, "__defaults__", (None, None, 16))
     monkeypatch.setattr(product.matrix_product, "__defaults__", (None, None, 16))
-    monkeypatch.setattr(skew.frequent_keys, "__defaults__", (20, 10))
+    monkeypatch.setattr(skew.hot_keys, "__defaults__", (20,))
     result = compare(
         spark, connect(skewed), name, entry.queries()[name], entry.oracle_sql()[name], skewed
     )

@@ -75,9 +75,11 @@ def test_matrix_product(spark, entries, tile):
 def test_lookup(spark, entries, hot_rows, how):
     names = [(i, i * 10) for i in range(0, 40, 2)]
     df = frame(spark, [*entries, (99, None)])
-    hot = skew.frequent_keys(df, "item_id", hot_rows, 3)
+    hot = skew.hot_keys(df, "item_id", hot_rows)
     counts = collections.Counter(i for _, i in entries)
-    assert len(hot) == min(3, sum(n > hot_rows for n in counts.values()))
+    assert {r.item_id: r["__buckets"] for r in hot.collect()} == {
+        i: -(-n // hot_rows) for i, n in counts.items() if n > hot_rows
+    }
     found = skew.lookup(
         df, frame(spark, names, ("item_id", "name")), "item_id", ["user_id"], how, hot
     )
