@@ -40,17 +40,22 @@ def group_summary(df: DataFrame, key: str) -> GroupSummary:
     return GroupSummary(row[0], int(row[1] or 0), row[2] or 0.0)
 
 
-def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+def _names(key: str | list[str]) -> list[str]:
+    return [key] if isinstance(key, str) else list(key)
+
+
+def hot_keys(df: DataFrame, key: str | list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
     """(key, __buckets) of every key with more than `hot_rows` rows, written once.
 
     The table has at most rows / hot_rows keys, so that it is tiny next to `df`.
     """
+    keys = _names(key)
     return settled(
-        df.where(F.col(key).isNotNull())
-        .groupBy(key)
+        df.dropna(subset=keys)
+        .groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("__rows"))
         .where(F.col("__rows") > hot_rows)
-        .select(key, F.ceil(F.col("__rows") / F.lit(hot_rows)).cast("bigint").alias("__buckets")),
+        .select(*keys, F.ceil(F.col("__rows") / F.lit(hot_rows)).cast("bigint").alias("__buckets")),
         "hot-keys",
     )
 
@@ -58,7 +63,7 @@ def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
 def lookup(
     df: DataFrame,
     table: DataFrame,
-    on: str,
+    on: str | list[str],
     spread: list[str],
     how: str = "inner",
     hot: DataFrame | None = None,
@@ -94,7 +99,7 @@ def lookup(
         "__bucket", F.explode(F.sequence(zero, last))
     )
     return left.drop("__buckets").join(
-        right.drop("__buckets"), [on, "__bucket"], how
+        right.drop("__buckets"), [*_names(on), "__bucket"], how
     ).drop("__bucket")
 
 
