@@ -189,7 +189,10 @@ def keep_good(docs: DataFrame, trusted: DataFrame, **options) -> DataFrame:
     """The documents that quality_rules keeps, with the columns of `docs`."""
     packed = docs.select("doc_id", "text", F.struct(*docs.columns).alias("__row"))
     judged = quality_rules(packed, trusted, **options)
-    return judged.where("kept").select("__row.*")
+    # A filter would be pushed below the steps of the counts and repeat them all; rows are
+    # generated from the verdict instead.
+    row = F.explode(F.when(F.col("kept"), F.array("__row")))
+    return judged.select(row.alias("__row")).select("__row.*")
 
 
 def trusted_documents(labels: DataFrame) -> DataFrame:
