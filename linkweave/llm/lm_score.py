@@ -29,19 +29,23 @@ from linkweave.llm.text import CACHED_WORDS, GOLDEN, WordHashes, mix, record_bat
 from linkweave.session import scratch_path, settled
 
 # Leaves, in classes of equal size. Leaf 0 is the end of a text; the upper half are endings.
-CLASSES = 32
+CLASSES = 16
 PER_CLASS = 32
 LEAVES = CLASSES * PER_CLASS
 ENDINGS = LEAVES // 2
 
-# Rows of weights for classes and for leaves, and features of a token.
-CLASS_ROWS = 1 << 13
-LEAF_ROWS = 1 << 14
+# Rows of weights for classes and for leaves, at most 2**16 each, and features of a token.
+# Both tables fit into a core's cache.
+CLASS_ROWS = 1 << 12
+LEAF_ROWS = 1 << 13
 FEATURES = 3
 
 ROUNDS = 2
 STEP = 0.3
-BATCH = 1 << 13
+BATCH = 1 << 12
+
+# Tokens that are prepared together.
+SLICE = 1 << 15
 
 # Documents that share a dictionary of their words' counts.
 CHUNK_BITS = 11
@@ -70,6 +74,14 @@ class WordCodes(WordHashes):
         return value
 
 
+_CODES = WordCodes()
+
+
+def shared_codes() -> WordCodes:
+    """The word cache of this worker process; it outlives a task."""
+    return _CODES
+
+
 def token_codes(text: str | None, codes: WordCodes) -> np.ndarray:
     """Codes of the words, A-Z in lower case, and of the end."""
     words = text.encode().lower().split() if text else []
@@ -135,21 +147,26 @@ class Weights:
 
 
 def features(codes: np.ndarray, leaf: np.ndarray) -> np.ndarray:
-    """Hashes of each token's features, one column each; before a text come ends."""
-    def back(values: np.ndarray, steps: int, fill: int) -> np.ndarray:
-        # A text longer than the reach keeps its length.
-        return np.r_[np.full(min(steps, len(values)), fill, np.int64), values[: max(0, len(values) - steps)]]
+    """Hashes of each token's features, one column each.
 
-    last, before = back(leaf, 1, 0), back(leaf, 2, 0)
-    found = np.stack([back(codes, 1, END), last * LEAVES + before, before], axis=1)
+    Texts lie one after the other, each with its end; an end stands before every text.
+    """
+    last = np.r_[np.int64(END), codes[:-1]]
+    last_leaf = np.r_[np.int64(0), leaf[:-1]]
+    before = np.r_[np.int64(0), last_leaf[:-1]]
+    before[last == END] = 0
+    found = np.stack([last, last_leaf * LEAVES + before, before], axis=1)
     salts = np.arange(1, FEATURES + 1, dtype=np.uint64) * GOLDEN
     return mix(found.view(np.uint64) + salts)
 
 
 def _rows(hashes: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    of_class = (hashes % np.uint64(CLASS_ROWS)).astype(np.int64)
-    with_class = mix(hashes ^ (classes.astype(np.uint64)[:, None] + np.uint64(1)) * GOLDEN)
-    return of_class, (with_class % np.uint64(LEAF_ROWS)).astype(np.int64)
+    """Rows of the class and of the leaf weights; the latter depend on the class too."""
+    of_class = hashes & np.uint64(CLASS_ROWS - 1)
+    shifted = (hashes >> np.uint64(20)) + classes.astype(np.uint64)[:, None] * GOLDEN
+    return of_class.astype(np.uint16), (
+        (shifted >> np.uint64(3)) & np.uint64(LEAF_ROWS - 1)
+    ).astype(np.uint16)
 
 
 def _softmax(scores: np.ndarray) -> np.ndarray:
@@ -181,13 +198,15 @@ def log_chances(weights: Weights, hashes: np.ndarray, leaf: np.ndarray) -> np.nd
 
 
 class Trainer:
-    """Gradient steps with a step size for each row, from common weights."""
+    """Gradient steps with a step size for each row, from common weights.
+
+    A step moves the weights of one feature, in turn.
+    """
 
     def __init__(self, weights: Weights):
         self.start = weights.flat()
         self.weights = Weights(*(p.copy() for p in weights.parts()))
-        self.class_bias_seen = 1.0
-        self.leaf_bias_seen = np.ones(CLASSES, np.float32)
+        self.turn = 0
         self.class_seen = np.full(CLASS_ROWS, 1e-2, np.float32)
         self.leaf_seen = np.full(LEAF_ROWS, 1e-2, np.float32)
 
@@ -210,9 +229,10 @@ class Trainer:
             error[spot, group] -= 1
             leaf_error = _softmax(_scores(w.of_leaf, of_leaf) + w.leaf_bias[group])
             leaf_error[spot, member] -= 1
-            for k in range(FEATURES):
-                self._update(w.of_class, self.class_seen, of_class[:, k], error)
-                self._update(w.of_leaf, self.leaf_seen, of_leaf[:, k], leaf_error)
+            k = self.turn % FEATURES
+            self.turn += 1
+            self._update(w.of_class, self.class_seen, of_class[:, k], error)
+            self._update(w.of_leaf, self.leaf_seen, of_leaf[:, k], leaf_error)
 
     def change(self) -> np.ndarray:
         return self.weights.flat() - self.start
@@ -221,7 +241,7 @@ class Trainer:
 def _word_counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Training counts of the distinct tokens of each chunk in a batch, 0 if held out only."""
     schema = pa.schema([("chunk", pa.int64()), ("code", pa.int64()), ("n", pa.int64())])
-    codes = WordCodes()
+    codes = shared_codes()
     for batch in batches:
         chunks = batch.column("chunk").to_numpy()
         held_out = batch.column("held_out").to_numpy(zero_copy_only=False)
@@ -269,22 +289,22 @@ _CHANGE = pa.schema([("block", pa.int32()), ("change", pa.list_(pa.float32()))])
 
 def _train(vocabulary: Vocabulary, weights: Weights):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes, trainer, any_text = WordCodes(), Trainer(weights), False
-        held: list[tuple[np.ndarray, np.ndarray]] = []
+        codes, trainer, any_text = shared_codes(), Trainer(weights), False
+        held: list[np.ndarray] = []
         size = 0
 
         def learn():
             if held:
-                trainer.learn(*(np.concatenate(x) for x in zip(*held, strict=True)))
+                found = np.concatenate(held)
+                leaf = vocabulary.leaves(found)
+                trainer.learn(features(found, leaf), leaf)
 
         for batch in batches:
             for text in texts_of(batch):
-                found = token_codes(text, codes)
-                leaf = vocabulary.leaves(found)
-                held.append((features(found, leaf), leaf))
-                size += len(leaf)
+                held.append(token_codes(text, codes))
+                size += len(held[-1])
                 any_text = True
-                if size >= BATCH:
+                if size >= SLICE:
                     learn()
                     held, size = [], 0
         learn()
@@ -341,22 +361,38 @@ def _score(vocabulary: Vocabulary, weights: Weights):
         known = counts.column("code").to_numpy()
         order = np.argsort(known)
         known, totals = known[order], counts.column("total").to_numpy()[order]
-        codes = WordCodes()
+        codes = shared_codes()
+
+        def scored(held: list[tuple[int, bool, np.ndarray]]):
+            sizes = np.array([len(f) for _, _, f in held])
+            found = np.concatenate([f for _, _, f in held])
+            n = np.zeros(len(found), np.int64)
+            if len(known):
+                at = np.minimum(np.searchsorted(known, found), len(known) - 1)
+                n = np.where(known[at] == found, totals[at], 0)
+            leaf = vocabulary.leaves(found)
+            chances = log_chances(weights, features(found, leaf), leaf)
+            sums = (
+                np.add.reduceat(x.astype(np.float64), np.cumsum(sizes) - sizes)
+                for x in (n > 0, np.log(n + 0.5) - base, chances + vocabulary.log_share(leaf, n))
+            )
+            for (doc_id, held_out, _), size, seen, own, score in zip(held, sizes, *sums, strict=True):
+                yield (
+                    doc_id, held_out, int(size), int(seen), vocabulary.tokens,
+                    own / math.log(10), score / math.log(10),
+                )
 
         def rows():
             ids, flags = (docs.column(c).to_pylist() for c in ("doc_id", "held_out"))
-            texts = (v.as_py() for v in docs.column("text"))
-            for doc_id, held_out, text in zip(ids, flags, texts, strict=True):
-                found = token_codes(text, codes)
-                n = np.zeros(len(found), np.int64)
-                if len(known):
-                    at = np.minimum(np.searchsorted(known, found), len(known) - 1)
-                    n = np.where(known[at] == found, totals[at], 0)
-                leaf = vocabulary.leaves(found)
-                chances = log_chances(weights, features(found, leaf), leaf)
-                score = (chances + vocabulary.log_share(leaf, n)).sum() / math.log(10)
-                own = (np.log(n + 0.5) - base).sum() / math.log(10)
-                yield doc_id, held_out, len(found), int((n > 0).sum()), vocabulary.tokens, own, score
+            held, size = [], 0
+            for doc_id, held_out, text in zip(ids, flags, docs.column("text"), strict=True):
+                held.append((doc_id, held_out, token_codes(text.as_py(), codes)))
+                size += len(held[-1][2])
+                if size >= SLICE:
+                    yield from scored(held)
+                    held, size = [], 0
+            if held:
+                yield from scored(held)
 
         return pa.Table.from_batches(list(record_batches(rows(), _SCORED)), schema=_SCORED)
 
