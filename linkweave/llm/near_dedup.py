@@ -209,14 +209,95 @@ def _star_pairs(members: DataFrame, similarity: float) -> DataFrame:
     )
 
 
-def _remaining_pairs(members: DataFrame, classes: DataFrame, similarity: float) -> DataFrame:
-    """Pairs of a bucket that the first links left in different classes.
+def _cells_of(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """32 bits of each cell: two cells of a text are taken for one by chance of 1e-9."""
+    hashes = LowerWordHashes()
+    schema = pa.schema([("node", pa.int64()), ("cells", pa.list_(pa.int32()))])
+
+    def rows():
+        for batch in batches:
+            nodes = batch.column("node").to_pylist()
+            for node, text in zip(nodes, texts_of(batch), strict=True):
+                cells = weighted_cells(shingles(hashes.of(raw_words(text)), SHINGLE_WORDS))
+                yield node, (cells >> np.uint64(32)).astype(np.uint32).view(np.int32)
+
+    return record_batches(rows(), schema, 256)
+
+
+class _Tile:
+    """Members of one chunk of a bucket, and others that may be linked to them."""
+
+    def __init__(self):
+        self.sides = ([], [])
+
+    def add(self, side: int, node: int, of_class: int, cells: np.ndarray) -> None:
+        self.sides[side].append((node, of_class, cells))
+
+    def links(self, similarity: float) -> Iterator[tuple[int, int]]:
+        """A link from each other to each class of members that it is similar to."""
+        others, members = self.sides
+        if not others or not members:
+            return
+        members.sort(key=lambda m: (len(m[2]), m[0]))
+        sizes = np.array([len(m[2]) for m in members])
+        nodes, classes = (np.array([m[k] for m in members]) for k in (0, 1))
+        flat = np.concatenate([m[2] for m in members])
+        ends = np.cumsum(sizes)
+        known, places = np.unique(flat, return_inverse=True)
+        for node, of_class, cells in others:
+            # Sizes too far apart rule out the similarity.
+            low = np.searchsorted(sizes, similarity * len(cells) - 1e-6)
+            high = np.searchsorted(sizes, len(cells) / similarity + 1e-6, side="right")
+            if low >= high:
+                continue
+            marked = np.zeros(len(known), np.int32)
+            at = np.searchsorted(known, cells)
+            at = at[at < len(known)]
+            marked[at[np.isin(known[at], cells)]] = 1
+            first = ends[low] - sizes[low]
+            both = np.add.reduceat(
+                marked[places[first : ends[high - 1]]], ends[low:high] - sizes[low:high] - first
+            )
+            alike = both >= similarity * (sizes[low:high] + len(cells) - both) - 1e-6
+            found = low + np.flatnonzero(alike & (classes[low:high] != of_class))
+            for k in found[np.unique(classes[found], return_index=True)[1]]:
+                yield min(node, int(nodes[k])), max(node, int(nodes[k]))
+
+
+def _links_of_tiles(similarity: float):
+    """Links in each tile; rows come sorted by tile."""
+
+    def rows(batches):
+        current, tile = None, _Tile()
+        for batch in batches:
+            keys = list(zip(*(batch.column(c).to_pylist() for c in _TILE), strict=True))
+            columns = (batch.column(c).to_pylist() for c in ("side", "node", "class"))
+            for key, side, node, of_class, cells in zip(
+                keys, *columns, batch.column("cells"), strict=True
+            ):
+                if key != current:
+                    yield from tile.links(similarity)
+                    current, tile = key, _Tile()
+                tile.add(side, node, of_class, cells.values.to_numpy())
+        yield from tile.links(similarity)
+
+    return lambda batches: record_batches(rows(batches), _LINK)
+
+
+_TILE = ("bucket", "other_chunk", "chunk")
+
+
+def _further_links(
+    members: DataFrame, classes: DataFrame, texts: DataFrame, similarity: float
+) -> DataFrame:
+    """Links between nodes of a bucket that the first links left in different classes.
 
     The members of a bucket's largest class need no comparison among themselves; all
-    others meet everyone in the bucket, chunk by chunk.
+    others meet everyone in the bucket, tile by tile. The comparisons stay inside a task
+    and only links come out, for each node one to each class at most.
     """
     placed = settled(
-        members.select("bucket", "node", "weight")
+        members.select("bucket", "node")
         .join(classes, "node", "left")
         .withColumn("class", F.coalesce("class", "node")),
         "placed",
@@ -238,26 +319,31 @@ def _remaining_pairs(members: DataFrame, classes: DataFrame, similarity: float)
         "mixed-buckets",
     )
     inside = settled(lookup(placed, mixed, "bucket", ["node"]), "mixed-members")
-    chunk = F.pmod(F.xxhash64("node"), F.col("chunks"))
-    all_of = inside.select(
-        "bucket",
-        chunk.alias("chunk"),
-        F.col("node").alias("__y"),
-        F.col("weight").alias("__y_weight"),
-        F.col("class").alias("__y_class"),
+    wanted = inside.select("node").distinct()
+    cells = settled(
+        texts.join(wanted, "node", "left_semi").mapInArrow(_cells_of, "node bigint, cells array<int>"),
+        "cells",
     )
-    others = inside.where(F.col("class") != F.col("main")).select(
-        "bucket",
-        F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("chunks") - 1)).alias("chunk"),
-        F.col("node").alias("__x"),
-        F.col("weight").alias("__x_weight"),
-        F.col("class").alias("__x_class"),
-    )
-    return (
-        others.join(all_of, ["bucket", "chunk"])
-        .where((F.col("__x_class") != F.col("__y_class")) & _comparable(similarity))
-        .select(F.least("__x", "__y").alias("x"), F.greatest("__x", "__y").alias("y"))
-        .distinct()
+    own = F.pmod(F.xxhash64("node"), F.col("chunks"))
+    every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("chunks") - 1))
+    sides = [
+        inside.where(F.col("class") != F.col("main")).select(
+            "bucket", own.alias("other_chunk"), every.alias("chunk"), F.lit(0).alias("side"),
+            "node", "class",
+        ),
+        inside.select(
+            "bucket", every.alias("other_chunk"), own.alias("chunk"), F.lit(1).alias("side"),
+            "node", "class",
+        ),
+    ]
+    tiles = sides[0].unionAll(sides[1]).join(cells, "node")
+    return settled(
+        tiles.repartition(*_TILE)
+        .sortWithinPartitions(*_TILE)
+        .select(*_TILE, "side", "node", "class", "cells")
+        .mapInArrow(_links_of_tiles(similarity), "x bigint, y bigint")
+        .distinct(),
+        "further-links",
     )
 
 
@@ -270,8 +356,9 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
 
     Texts with the same words are one node throughout. In each bucket every node is
     checked against the first one; nodes of a bucket that are then still in different
-    classes are checked against each other, so that no link between classes is lost, and
-    the thousands of copies in one bucket do not all meet.
+    classes are checked against each other, so that no link between classes is lost. A
+    node has as many classes in a bucket to be checked against as it has strangers there:
+    that work grows with their number times the bucket's size, in tiles of bounded size.
 
     Documents without words (null, empty, blank) are alone: class_id is their doc_id. Rows
     with the same words share a class, whatever their doc_id; texts whose least doc_id is
@@ -307,13 +394,9 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     members = settled(lookup(banded, roots, "bucket", ["node"]), "members")
     texts = _texts_of_nodes(docs, members.select("node").distinct())
 
-    tried = _star_pairs(members, similarity)
-    links = verified_links(tried, texts, similarity)
+    links = verified_links(_star_pairs(members, similarity), texts, similarity)
     classes = connected_components(links)
-    pairs = _remaining_pairs(members, classes, similarity)
-    more = verified_links(
-        settled(pairs.join(tried, ["x", "y"], "left_anti"), "pairs"), texts, similarity
-    )
+    more = _further_links(members, classes, texts, similarity)
     if more.limit(1).count():
         classes = connected_components(settled(links.unionAll(more), "all-links"))
 
