@@ -13,25 +13,41 @@ from pyspark.sql import functions as F
 
 Measure = Callable[[Column, Column, Column, Column], Column]
 
-# Scores are kept to six decimals, so that two engines rank ties alike.
-SCORE_SCALE = 1_000_000
+# Scores are summed as whole numbers of this part, so that the order of addition does not
+# matter. It is a power of two: scaling loses nothing.
+SCORE_UNITS = float(1 << 32)
 
 
-def _x_ln_x(x: Column) -> Column:
-    return F.when(x > 0, x * F.ln(x)).otherwise(F.lit(0.0))
+def _cell(count: Column, row: Column, column: Column, n_users: Column) -> Column:
+    ratio = count.cast("double") * n_users / (row.cast("double") * column)
+    return F.when(count > 0, count * F.ln(ratio)).otherwise(F.lit(0.0))
+
+
+def likelihood_ratio(both: Column, n_i: Column, n_j: Column, n_users: Column) -> Column:
+    """Dunning's ratio of the two-by-two table, to seven significant digits.
+
+    Each cell is weighed against what independence would give, so that large counts do not
+    cancel. The digits are those of a 32-bit float, which any engine cuts alike.
+    """
+    not_i, not_j = n_users - n_i, n_users - n_j
+    ratio = 2.0 * (
+        _cell(both, n_i, n_j, n_users)
+        + _cell(n_i - both, n_i, not_j, n_users)
+        + _cell(n_j - both, not_i, n_j, n_users)
+        + _cell(n_users - n_i - n_j + both, not_i, not_j, n_users)
+    )
+    return F.greatest(F.lit(0.0), ratio).cast("float").cast("double")
 
 
 def log_likelihood(both: Column, n_i: Column, n_j: Column, n_users: Column) -> Column:
     """Dunning's ratio, squeezed into [0, 1)."""
-    cells = (
-        _x_ln_x(both)
-        + _x_ln_x(n_i - both)
-        + _x_ln_x(n_j - both)
-        + _x_ln_x(n_users - n_i - n_j + both)
-    )
-    margins = _x_ln_x(n_i) + _x_ln_x(n_users - n_i) + _x_ln_x(n_j) + _x_ln_x(n_users - n_j)
-    ratio = F.greatest(F.lit(0.0), 2.0 * (_x_ln_x(n_users) + cells - margins))
-    return 1.0 - 1.0 / (1.0 + ratio)
+    return 1.0 - 1.0 / (1.0 + likelihood_ratio(both, n_i, n_j, n_users))
+
+
+def dependent(both: Column, n_i: Column, n_j: Column, n_users: Column) -> Column:
+    """Whether the counts differ from independence, decided on whole numbers."""
+    both, n_i, n_j, n_users = (c.cast("decimal(19,0)") for c in (both, n_i, n_j, n_users))
+    return both * n_users != n_i * n_j
 
 
 def cosine(both: Column, n_i: Column, n_j: Column, n_users: Column) -> Column:
@@ -76,13 +92,14 @@ def resolve(measure: str | Measure) -> Measure:
 
 
 def scaled(score: Column) -> Column:
-    """A score in whole millionths; integer sums do not depend on their order."""
-    return F.floor(score * F.lit(float(SCORE_SCALE)) + F.lit(0.5)).cast("bigint")
+    """A score below 2**31 in whole units."""
+    return F.floor(score * F.lit(SCORE_UNITS) + F.lit(0.5)).cast("bigint")
 
 
-def unscaled(millionths: Column) -> Column:
-    return millionths / F.lit(float(SCORE_SCALE))
+def scaled_wide(score: Column) -> Column:
+    """A score of any size in whole units."""
+    return F.round(score * F.lit(SCORE_UNITS)).cast("decimal(38,0)")
 
 
-def rounded(score: Column) -> Column:
-    return unscaled(scaled(score))
+def unscaled(units: Column) -> Column:
+    return units.cast("double") / F.lit(SCORE_UNITS)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkweave.functions.similarity import scaled, unscaled
+from linkweave.functions.similarity import scaled, scaled_wide, unscaled
 from linkweave.operators.product import matrix_product
 from linkweave.operators.ranking import top_k
 
@@ -66,7 +66,7 @@ def cross_recs(cross: DataFrame, secondary: DataFrame, n: int | None = None) ->
 def blended_recs(weighted: list[tuple[DataFrame, float]], n: int | None = None) -> DataFrame:
     """Linear combination of recommendation tables, as (user_id, item_id, score)."""
     parts = [
-        recs.select("user_id", "item_id", scaled(F.col("score") * F.lit(float(w))).alias("__s"))
+        recs.select("user_id", "item_id", scaled_wide(F.col("score") * F.lit(float(w))).alias("__s"))
         for recs, w in weighted
     ]
     union = parts[0]

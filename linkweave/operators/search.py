@@ -16,6 +16,7 @@ from linkweave.functions.similarity import scaled, unscaled
 from linkweave.operators.product import matrix_product
 from linkweave.operators.ranking import top_k
 from linkweave.operators.skew import lookup, with_group_size
+from linkweave.session import settled
 
 
 def matches(history: DataFrame, links: DataFrame) -> DataFrame:
@@ -85,12 +86,18 @@ def query_category(
     the matches, and travel along in the ids.
     """
     # An item has at most k links, so its category needs no care for frequent keys.
-    tagged_links = links.join(categories, "item_id", "left").select(
-        F.struct("item_id", "category").alias("item_id"), "other_item_id"
+    tagged_links = settled(
+        links.join(categories, "item_id", "left").select(
+            F.struct("item_id", "category").alias("item_id"), "other_item_id"
+        ),
+        "tagged-links",
+    )
+    tagged_history = settled(
+        lookup(
+            history.select("user_id", "item_id"), preferred, "user_id", ["item_id"], "left"
+        ).select(F.struct("user_id", "category").alias("user_id"), "item_id"),
+        "tagged-history",
     )
-    tagged_history = lookup(
-        history.select("user_id", "item_id"), preferred, "user_id", ["item_id"], "left"
-    ).select(F.struct("user_id", "category").alias("user_id"), "item_id")
     found = matches(tagged_history, tagged_links)
     same = F.col("user_id.category") == F.col("item_id.category")
     scored = found.select(
@@ -125,11 +132,9 @@ def query_cold_start(
         "left",
     )
     same = F.col("__seed") == F.col("__other")
-    millionths = scaled(
-        F.col("score") * F.when(same, F.lit(float(boost))).otherwise(F.lit(1.0))
-    )
+    factor = F.when(same, F.lit(float(boost))).otherwise(F.lit(1.0))
     scored = shown.select(
-        "seed_item_id", F.col("other_item_id").alias("item_id"), unscaled(millionths).alias("score")
+        "seed_item_id", F.col("other_item_id").alias("item_id"), (F.col("score") * factor).alias("score")
     )
     return top_k(
         scored, "seed_item_id", [F.desc("score"), F.desc("item_id")], n, ["item_id"]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkweave.functions.similarity import Measure, resolve, rounded
+from linkweave.functions.similarity import Measure, dependent, log_likelihood, resolve
 from linkweave.operators.product import matrix_product, pair_counts
 from linkweave.operators.ranking import top_k
 from linkweave.operators.skew import group_summary, with_group_size
@@ -40,13 +40,15 @@ def item_similarity(
     summary = group_summary(history, "user_id")
     sized = with_group_size(history, "item_id", ["user_id"], "__users")
     pairs = pair_counts(sized, "user_id", "item_id", "__users", summary)
-    counts = (F.col(c) for c in ("n_both", "n_low", "n_high"))
-    value = rounded(score(*counts, F.lit(summary.keys)))
+    counts = (*(F.col(c) for c in ("n_both", "n_low", "n_high")), F.lit(summary.keys))
+    if score is log_likelihood:
+        pairs = pairs.where(dependent(*counts))
+    value = score(*counts)
     # As a generated column the score is computed once: a filter on a plain one would be
     # pushed below it and compute it again.
     scored = pairs.select(
         "low", "high", "n_both", F.explode(F.array(value)).alias("score")
-    ).where(F.col("score") > 0)
+    )
     if threshold is not None:
         scored = scored.where(F.col("score") >= threshold)
     return _both_ways(scored, "n_both", "score")

@@ -24,17 +24,26 @@ def _with(*parts: str) -> str:
     return "WITH " + ",\n".join(parts[:-1]) + "\n" + parts[-1]
 
 
-def _xlx(x: str) -> str:
-    return f"(CASE WHEN ({x}) > 0 THEN ({x}) * ln({x}) ELSE 0.0 END)"
+def _cell(count: str, row: str, column: str) -> str:
+    ratio = f"({count}) * n_all / (({row}) * ({column}))"
+    return f"(CASE WHEN ({count}) > 0 THEN ({count}) * ln({ratio}) ELSE 0.0 END)"
 
 
-_CELLS = " + ".join(
-    _xlx(x) for x in ("k", "n_i - k", "n_j - k", "n_all - n_i - n_j + k", "n_all")
-)
-_MARGINS = " + ".join(_xlx(x) for x in ("n_i", "n_all - n_i", "n_j", "n_all - n_j"))
+_RATIO = "2.0 * (" + " + ".join(
+    (
+        _cell("k", "n_i", "n_j"),
+        _cell("n_i - k", "n_i", "n_all - n_j"),
+        _cell("n_j - k", "n_all - n_i", "n_j"),
+        _cell("n_all - n_i - n_j + k", "n_all - n_i", "n_all - n_j"),
+    )
+) + ")"
+
+# Pairs whose counts are those of independence have no log-likelihood ratio.
+_DEPENDENT = """CAST(k AS HUGEINT) * CAST(n_all AS HUGEINT)
+  <> CAST(n_i AS HUGEINT) * CAST(n_j AS HUGEINT)"""
 
 MEASURES = {
-    "llr": f"1.0 - 1.0 / (1.0 + greatest(0.0, 2.0 * (({_CELLS}) - ({_MARGINS}))))",
+    "llr": f"1.0 - 1.0 / (1.0 + CAST(CAST(greatest(0.0, {_RATIO}) AS FLOAT) AS DOUBLE))",
     "cosine": "k / sqrt(n_i * n_j)",
     "tanimoto": "k / (n_i + n_j - k)",
     "euclidean": "1.0 / (1.0 + sqrt(n_i + n_j - 2 * k))",
@@ -42,12 +51,8 @@ MEASURES = {
 }
 
 
-def _round(x: str) -> str:
-    return f"floor(({x}) * 1e6 + 0.5) / 1e6"
-
-
-def _micro(x: str) -> str:
-    return f"CAST(floor(({x}) * 1e6 + 0.5) AS BIGINT)"
+def _units(x: str) -> str:
+    return f"CAST(floor(({x}) * 4294967296.0 + 0.5) AS BIGINT)"
 
 
 def _sims(measure: str, history: str = "b") -> str:
@@ -56,10 +61,11 @@ tot AS (SELECT CAST(count(DISTINCT user_id) AS DOUBLE) AS n_all FROM {history}),
 prs AS (SELECT x.item_id, y.item_id AS other_item_id, count(*) AS n_both
   FROM {history} x JOIN {history} y ON x.user_id = y.user_id AND x.item_id <> y.item_id
   GROUP BY 1, 2),
-sims AS (SELECT item_id, other_item_id, n_both, {_round(MEASURES[measure])} AS score
+sims AS (SELECT item_id, other_item_id, n_both, {MEASURES[measure]} AS score
   FROM (SELECT p.*, CAST(n_both AS DOUBLE) AS k, ci.n AS n_i, cj.n AS n_j, n_all
     FROM prs p JOIN cnt ci ON ci.item_id = p.item_id
-    JOIN cnt cj ON cj.item_id = p.other_item_id CROSS JOIN tot))"""
+    JOIN cnt cj ON cj.item_id = p.other_item_id CROSS JOIN tot)
+  WHERE {_DEPENDENT if measure == "llr" else "true"})"""
 
 
 def _top(name: str, source: str, score: str, k: int = TOP) -> str:
@@ -68,7 +74,8 @@ def _top(name: str, source: str, score: str, k: int = TOP) -> str:
   WHERE rank <= {k})"""
 
 
-LINKS = _sims("llr") + ",\n" + _top("links", "(SELECT * FROM sims WHERE score > 0)", "score")
+LINKS = _sims("llr") + ",\n" + _top("links", "sims", "score", DOCUMENT_LINKS)
+TOP_LINKS = _sims("llr") + ",\n" + _top("links", "sims", "score")
 CROSS = """ba AS (SELECT b.item_id, a.item_id AS other_item_id, count(*) AS n_users
   FROM b JOIN a ON a.user_id = b.user_id GROUP BY 1, 2)"""
 CROSS_LINKS = CROSS + ",\n" + _top("links_ba", "ba", "n_users")
@@ -82,7 +89,7 @@ def _best(source: str, score: str, columns: str, n: int = TOP, key: str = "user_
 CROSS_RECS = """xr AS (SELECT a.user_id, ba.item_id, CAST(sum(n_users) AS DOUBLE) AS score
   FROM a JOIN ba ON ba.other_item_id = a.item_id GROUP BY 1, 2)"""
 PRIMARY_RECS = f"""pr AS (SELECT b.user_id, l.item_id, count(*) AS n_terms,
-  CAST(sum({_micro('score')}) AS DOUBLE) / 1e6 AS score
+  CAST(sum({_units('score')}) AS DOUBLE) / 4294967296.0 AS score
   FROM b JOIN links l ON l.other_item_id = b.item_id
   WHERE NOT EXISTS (SELECT 1 FROM b k WHERE k.user_id = b.user_id AND k.item_id = l.item_id)
   GROUP BY 1, 2)"""
@@ -102,7 +109,7 @@ def _docs(name: str, source: str, key: str, other: str, weight: str, keep: int =
 
 
 OWN_DOCS = _sims("llr") + ",\n" + _docs(
-    "bb_docs", "(SELECT * FROM sims WHERE score > 0)", "item_id", "other_item_id", "score",
+    "bb_docs", "sims", "item_id", "other_item_id", "score",
     DOCUMENT_LINKS,
 )
 CROSS_DOCS = CROSS + ",\n" + _docs("ba_docs", "ba", "item_id", "other_item_id", "n_users")
@@ -123,7 +130,7 @@ SCORE_COLUMNS = "user_id, item_id, score"
 def _sim_query(measure: str) -> str:
     return _with(
         ORDERS, ORDER_B, _sims(measure),
-        "SELECT item_id, other_item_id, n_both, score FROM sims WHERE score > 0",
+        "SELECT item_id, other_item_id, n_both, score FROM sims",
     )
 
 
@@ -230,7 +237,7 @@ SQL: dict[str, str] = {
         "SELECT item_id, other_item_id, score FROM sims WHERE score >= 0.1",
     ),
     "top_k_similar": _with(
-        ORDERS, ORDER_B, LINKS, "SELECT item_id, other_item_id, score, rank FROM links"
+        ORDERS, ORDER_B, TOP_LINKS, "SELECT item_id, other_item_id, score, rank FROM links"
     ),
     "cross_cooccurrence": _with(
         ORDERS, ORDER_B, ORDER_A, CROSS, "SELECT item_id, other_item_id, n_users FROM ba"
@@ -256,9 +263,8 @@ SQL: dict[str, str] = {
     ),
     "blended_recs": _with(
         EVENTS, EVENT_B, EVENT_A, LINKS, PRIMARY_RECS, CROSS, CROSS_RECS,
-        f"best AS ({_best('pr', 'score', SCORE_COLUMNS)})",
-        f"""SELECT user_id, item_id, CAST(sum({_micro('score')}) AS DOUBLE) / 1e6 AS score
-        FROM (SELECT user_id, item_id, score FROM best
+        f"""SELECT user_id, item_id, CAST(sum({_units('score')}) AS DOUBLE) / 4294967296.0 AS score
+        FROM (SELECT user_id, item_id, score FROM pr
           UNION ALL SELECT user_id, item_id, score FROM xr) GROUP BY 1, 2""",
     ),
     "ordered_links": _with(
@@ -299,12 +305,12 @@ SQL: dict[str, str] = {
         _best("m", "n_match", MATCH_COLUMNS),
     ),
     "query_history_cross": _with(
-        EVENTS, EVENT_B, EVENT_A, CROSS_LINKS, _matches("m", "a", "links_ba"),
+        EVENTS, EVENT_B, EVENT_A, CROSS, _matches("m", "a", "ba"),
         _best("m", "n_match", MATCH_COLUMNS),
     ),
     "query_history_both": _with(
-        EVENTS, EVENT_B, EVENT_A, LINKS, CROSS_LINKS,
-        _matches("mb", "b", "links"), _matches("ma", "a", "links_ba"),
+        EVENTS, EVENT_B, EVENT_A, LINKS, CROSS,
+        _matches("mb", "b", "links"), _matches("ma", "a", "ba"),
         """m AS (SELECT user_id, item_id, CAST(sum(n_match) AS BIGINT) AS n_match
         FROM (SELECT * FROM mb UNION ALL SELECT * FROM ma) GROUP BY 1, 2)""",
         _best("m", "n_match", MATCH_COLUMNS),
@@ -312,9 +318,9 @@ SQL: dict[str, str] = {
     "query_history_idf": _with(
         EVENTS, EVENT_B, LINKS,
         "nd AS (SELECT CAST(count(DISTINCT item_id) AS DOUBLE) AS n FROM links)",
-        f"""wd AS (SELECT other_item_id, {_micro('ln(1.0 + n / count(*))')} AS idf
+        f"""wd AS (SELECT other_item_id, {_units('ln(1.0 + n / count(*))')} AS idf
         FROM links CROSS JOIN nd GROUP BY other_item_id, n)""",
-        """m AS (SELECT b.user_id, l.item_id, CAST(sum(idf) AS DOUBLE) / 1e6 AS n_match
+        """m AS (SELECT b.user_id, l.item_id, CAST(sum(idf) AS DOUBLE) / 4294967296.0 AS n_match
         FROM b JOIN links l ON l.other_item_id = b.item_id
         JOIN wd ON wd.other_item_id = l.other_item_id GROUP BY 1, 2)""",
         _best("m", "n_match", MATCH_COLUMNS),
@@ -337,7 +343,7 @@ SQL: dict[str, str] = {
     "query_cold_start": _with(
         ORDERS, ORDER_B, LINKS,
         f"""s AS (SELECT l.item_id AS seed_item_id, l.other_item_id AS item_id,
-        {_round("score * CASE WHEN x.p_brand = y.p_brand THEN 2.0 ELSE 1.0 END")} AS score
+        score * CAST(CASE WHEN x.p_brand = y.p_brand THEN 2.0 ELSE 1.0 END AS DOUBLE) AS score
         FROM links l JOIN part x ON x.p_partkey = l.item_id
         LEFT JOIN part y ON y.p_partkey = l.other_item_id)""",
         _best("s", "score", "seed_item_id, item_id, score", key="seed_item_id"),

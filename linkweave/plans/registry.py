@@ -241,8 +241,9 @@ def sim_threshold(spark, sf_dir):
     ).drop("n_both")
 
 
-def _links(history: DataFrame) -> DataFrame:
-    return similar.top_similar(similar.item_similarity(history), TOP).drop("n_both")
+def _links(history: DataFrame, k: int = DOCUMENT_LINKS) -> DataFrame:
+    """The links that the documents hold."""
+    return similar.top_similar(similar.item_similarity(history), k).drop("n_both")
 
 
 def _cross(primary: DataFrame, secondary: DataFrame) -> DataFrame:
@@ -255,7 +256,7 @@ def _event_histories(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
 
 @query
 def top_k_similar(spark, sf_dir):
-    return _links(order_history(spark, sf_dir))
+    return _links(order_history(spark, sf_dir), TOP)
 
 
 @query
@@ -286,10 +287,12 @@ def top_n_cross_recs(spark, sf_dir):
     return _cross_recs(spark, sf_dir, TOP)
 
 
-def _primary_recs(spark: SparkSession, sf_dir: str, score_mode: str) -> DataFrame:
+def _primary_recs(
+    spark: SparkSession, sf_dir: str, score_mode: str, n: int | None = TOP
+) -> DataFrame:
     history = event_history(spark, sf_dir)
     links = settled(_links(history))
-    return recommend.primary_recs(links, history, TOP, score_mode, known=history)
+    return recommend.primary_recs(links, history, n, score_mode, known=history)
 
 
 @query
@@ -305,7 +308,7 @@ def primary_recs_weighted_average(spark, sf_dir):
 @query
 def blended_recs(spark, sf_dir):
     return recommend.blended_recs(
-        [(primary_recs(spark, sf_dir), 1.0), (cross_recs(spark, sf_dir), 1.0)]
+        [(_primary_recs(spark, sf_dir, "sum", None), 1.0), (cross_recs(spark, sf_dir), 1.0)]
     )
 
 
@@ -391,11 +394,6 @@ def similar_items(spark, sf_dir):
     return search.similar_items(requests, _links(order_history(spark, sf_dir)))
 
 
-def _cross_top(bought: DataFrame, viewed: DataFrame) -> DataFrame:
-    cross = similar.cross_cooccurrence(bought, viewed)
-    return settled(similar.top_similar(cross, TOP, "n_users"))
-
-
 @query
 def query_history_primary(spark, sf_dir):
     bought = event_history(spark, sf_dir)
@@ -405,13 +403,13 @@ def query_history_primary(spark, sf_dir):
 @query
 def query_history_cross(spark, sf_dir):
     bought, viewed = _event_histories(spark, sf_dir)
-    return search.query_history([(viewed, _cross_top(bought, viewed))], TOP)
+    return search.query_history([(viewed, _cross(bought, viewed))], TOP)
 
 
 @query
 def query_history_both(spark, sf_dir):
     bought, viewed = _event_histories(spark, sf_dir)
-    fields = [(bought, settled(_links(bought))), (viewed, _cross_top(bought, viewed))]
+    fields = [(bought, settled(_links(bought))), (viewed, _cross(bought, viewed))]
     return search.query_history(fields, TOP)
 
 
