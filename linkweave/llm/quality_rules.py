@@ -26,8 +26,9 @@ REPEAT_PERCENT = 50
 # Hash buckets of the n-grams; the table of ratios has one row for each at most.
 BUCKETS = 1 << 14
 
-# Added to every bucket's count.
-SMOOTHING = 1.0
+# N-grams, dealt like those of all documents, that are added to the trusted ones: with few
+# trusted documents the ratios shrink towards 0, and nothing is rejected for being rare.
+PRIOR = 1 << 14
 
 # Least mean log-likelihood ratio of a kept document.
 THRESHOLD = -0.5
@@ -118,7 +119,7 @@ def bucket_counts(
     )
 
 
-def bucket_ratios(counts: DataFrame, buckets: int, smoothing: float = SMOOTHING) -> list[float]:
+def bucket_ratios(counts: DataFrame, buckets: int, prior: float = PRIOR) -> list[float]:
     """Log ratio of each bucket's chance in the trusted documents and in all.
 
     The list has one number per bucket. Without trusted documents all are 0.
@@ -129,9 +130,10 @@ def bucket_ratios(counts: DataFrame, buckets: int, smoothing: float = SMOOTHING)
     n_trusted = sum(r.in_trusted for r in found)
     if not n_trusted:
         return ratios
-    base = math.log(n_all + smoothing * buckets) - math.log(n_trusted + smoothing * buckets)
     for r in found:
-        ratios[r.bucket] = base + math.log((r.in_trusted + smoothing) / (r.in_all + smoothing))
+        chance = r.in_all / n_all
+        own = (r.in_trusted + prior * chance) / (n_trusted + prior)
+        ratios[r.bucket] = math.log(own / chance)
     return ratios
 
 
@@ -153,6 +155,7 @@ def quality_rules(
     repeat_percent: int = REPEAT_PERCENT,
     threshold: float = THRESHOLD,
     buckets: int = BUCKETS,
+    prior: float = PRIOR,
 ) -> DataFrame:
     """`docs` with the counts, `base_failed`, `llr` and `kept`; every row is judged.
 
@@ -165,7 +168,7 @@ def quality_rules(
     the ratio is 0 and rejects nothing. No rows give no rows. Columns of `docs` are kept;
     those with the name of a new one are replaced.
     """
-    ratios = bucket_ratios(bucket_counts(docs, trusted, buckets), buckets)
+    ratios = bucket_ratios(bucket_counts(docs, trusted, buckets), buckets, prior)
     ours = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     rows = docs.drop(*ours, "base_failed", "llr", "kept", *_WORKING)
     failed = (F.col("n_words") < min_words) | (
