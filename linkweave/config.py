@@ -15,6 +15,7 @@ class UpdateConfig:
     action_col: int = 1
     item_col: int = 2
     ts_col: int = -1
+    ts_type: str = "bigint"  # or timestamp; a time that is none makes a bad line
 
     primary_action: str = "purchase"
     secondary_action: str = "view"
@@ -34,6 +35,7 @@ class UpdateConfig:
     score_mode: str = "sum"  # sum | weighted_average
     exclude_known: bool = True
     documents_join: str = "inner"  # inner | full
+    part_links: int = 100_000  # links in one row of a document; further ones go on in parts
 
     # Caps that change results; None keeps every preference.
     max_prefs_similarity: int | None = None

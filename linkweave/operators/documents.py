@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from linkweave.operators.ids import decode
 from linkweave.operators.ranking import group_ranks
 from linkweave.operators.skew import group_summary, with_group_size
+from linkweave.session import settled
 
 # Links in one document row.
 PART_LINKS = 100_000
@@ -92,6 +93,9 @@ def documents(
             for number, name in enumerate(names)
         ],
     )
+    if how == "inner" and len(names) > 1:
+        # Read twice below.
+        rows = settled(rows, "document-rows")
     of_field = [F.col("__field") == number for number in range(len(names))]
     packed = rows.groupBy("id", "part").agg(
         *[

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkweave.operators.skew import bucket_of, group_summary, with_group_size
+from linkweave.operators.ranking import group_ranks
+from linkweave.operators.skew import group_summary, with_group_size
 
 # Entries of a packed row. A longer vector continues in further parts.
 PART_ENTRIES = 100_000
@@ -28,19 +29,27 @@ def pack_vectors(
 ) -> DataFrame:
     """One array per key and part, ordered by entry: (key, part, name, count).
 
-    Vectors over `part_entries` are cut by a hash of the entry into parts of about that
-    size, so that no task ever holds the whole of a very long one. `entries` is best a
-    written table: its longest vector is looked up first.
+    Each part holds `part_entries` entries, the last one the rest, in the order of the
+    entries; the count is that of the whole vector in every part. No task ever holds the
+    whole of a very long one. `entries` is best a written table: its longest vector is
+    looked up first.
     """
-    rows = entries.select(key, entry, F.lit(0).alias("part"))
-    if group_summary(entries, key).largest > part_entries:
-        sized = with_group_size(entries.select(key, entry), key, [entry], "__size")
-        parts = F.ceil(F.col("__size") / F.lit(part_entries))
-        rows = sized.withColumn("part", bucket_of([entry], parts).cast("int"))
+    rows = entries.select(key, entry)
+    if group_summary(entries, key).largest <= part_entries:
+        packed = rows.groupBy(key).agg(F.sort_array(F.collect_list(entry)).alias(name))
+        return packed.select(
+            key, F.lit(0).alias("part"), name, F.size(name).cast("bigint").alias(count)
+        )
+    sized = with_group_size(rows, key, [entry], count).withColumn("__weight", F.lit(0))
+    # Ranks go down from the greatest entry.
+    place = F.col(count) - F.col("__rank")
+    ranked = group_ranks(sized, key, "__weight", entry, "__rank").withColumn(
+        "part", F.floor(place / F.lit(part_entries)).cast("int")
+    )
     return (
-        rows.groupBy(key, "part")
+        ranked.groupBy(key, "part", count)
         .agg(F.sort_array(F.collect_list(entry)).alias(name))
-        .withColumn(count, F.size(name).cast("bigint"))
+        .select(key, "part", name, count)
     )
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 TOP = 10
 DOCUMENT_LINKS = 100
+QUERY_PART = 5
 
 EVENTS = """ev AS (SELECT event_id, ts, user_id, event_type AS action,
   CAST(json_extract_string(props, '$.k') AS INTEGER) AS item_id FROM events)"""
@@ -48,6 +49,7 @@ MEASURES = {
     "tanimoto": "k / (n_i + n_j - k)",
     "euclidean": "1.0 / (1.0 + sqrt(n_i + n_j - 2 * k))",
     "city_block": "1.0 / (1.0 + n_i + n_j - 2 * k)",
+    "own_measure": "k / least(n_i, n_j)",
 }
 
 
@@ -213,6 +215,14 @@ SQL: dict[str, str] = {
         string_agg(CAST(user_id AS VARCHAR), ' ' ORDER BY user_id) AS users,
         count(*) AS n_users FROM b GROUP BY 1""",
     ),
+    "user_vectors_parts": _with(
+        EVENTS, EVENT_B,
+        f"""r AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY item_id) AS rn,
+        count(*) OVER (PARTITION BY user_id) AS n FROM b)""",
+        f"""SELECT user_id, CAST((rn - 1) // {QUERY_PART} AS INTEGER) AS part,
+        string_agg(CAST(item_id AS VARCHAR), ' ' ORDER BY item_id) AS items, n AS n_items
+        FROM r GROUP BY user_id, (rn - 1) // {QUERY_PART}, n""",
+    ),
     "transpose": _with(
         EVENTS, EVENT_B,
         "SELECT item_id AS row_id, user_id AS col_id, CAST(1 AS DOUBLE) AS value FROM b",
@@ -232,6 +242,7 @@ SQL: dict[str, str] = {
     "sim_tanimoto": _sim_query("tanimoto"),
     "sim_euclidean": _sim_query("euclidean"),
     "sim_city_block": _sim_query("city_block"),
+    "sim_own_measure": _sim_query("own_measure"),
     "sim_threshold": _with(
         ORDERS, ORDER_B, _sims("tanimoto"),
         "SELECT item_id, other_item_id, score FROM sims WHERE score >= 0.1",
@@ -291,6 +302,14 @@ SQL: dict[str, str] = {
         coalesce(x.links, '') AS b_history, coalesce(y.links, '') AS a_history
         FROM b_docs x FULL JOIN a_docs y ON x.id = y.id""",
     ),
+    "user_history_docs_parts": _with(
+        EVENTS, EVENT_B, DICTIONARIES,
+        """r AS (SELECT user_id, item_id, int_id, row_number() OVER (PARTITION BY user_id
+        ORDER BY int_id DESC) AS rn FROM b JOIN idd ON ext_id = item_id)""",
+        f"""SELECT user_id AS id, CAST((rn - 1) // {QUERY_PART} AS INTEGER) AS part,
+        string_agg(CAST(item_id AS VARCHAR), ' ' ORDER BY int_id DESC) AS b_history
+        FROM r GROUP BY user_id, (rn - 1) // {QUERY_PART}""",
+    ),
     "user_history_docs_single": _with(
         EVENTS, EVENT_B, DICTIONARIES, B_DOCS,
         "SELECT id, CAST(0 AS INTEGER) AS part, links AS b_history FROM b_docs",

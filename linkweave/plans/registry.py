@@ -13,13 +13,15 @@ from linkweave.operators.skew import lookup
 from linkweave.plans import inputs
 from linkweave.plans.inputs import EVENT_ROLES, ORDER_ROLES, event_log, order_log, part_brands
 from linkweave.session import scratch_path, settled
-from linkweave.sources import logs
+from linkweave.sources import logs, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 TOP = 10
 DOCUMENT_LINKS = 100
+# Entries of a part in the queries whose vectors and documents have several.
+QUERY_PART = 5
 
 
 def query(function: Query) -> Query:
@@ -74,9 +76,10 @@ def scan_file_pattern(spark, sf_dir):
 @query
 def scan_single_file(spark, sf_dir):
     path = scratch_path(spark, "scan-files")
-    _event_lines(spark, sf_dir).select("value").write.text(path)
-    files = spark.read.text(path).inputFiles()
-    return logs.scan_files(spark, files).select(F.col("value").alias("line"))
+    _event_lines(spark, sf_dir).select("value").coalesce(1).write.text(path)
+    name = "all actions+1.log"
+    one = tables.rename_single(spark, path, f"{path}-named/{name}")
+    return logs.scan_logs(spark, one, "no-such-name").select(F.col("value").alias("line"))
 
 
 @query
@@ -200,6 +203,12 @@ def item_vectors(spark, sf_dir):
     return packed.withColumn("users", F.array_join(F.col("users").cast("array<string>"), " "))
 
 
+@query
+def user_vectors_parts(spark, sf_dir):
+    packed = vectors.user_vectors(event_history(spark, sf_dir), part_entries=QUERY_PART)
+    return packed.withColumn("items", F.array_join(F.col("items").cast("array<string>"), " "))
+
+
 @query
 def transpose(spark, sf_dir):
     matrix = inputs.event_history(spark, sf_dir).select(
@@ -234,6 +243,14 @@ QUERIES |= {
 }
 
 
+def overlap(both, n_i, n_j, n_users):
+    """A caller's own measure: the share of the rarer item's users."""
+    return both / F.least(n_i, n_j)
+
+
+QUERIES["sim_own_measure"] = _similarity_query(overlap)
+
+
 @query
 def sim_threshold(spark, sf_dir):
     return similar.item_similarity(
@@ -315,13 +332,13 @@ def blended_recs(spark, sf_dir):
 # Documents
 
 
-def _numbered_histories(spark, sf_dir):
+def _numbered_histories(spark, sf_dir, actions=EVENT_ROLES):
     users, items = _dictionaries(spark, sf_dir)
     coded = [
         ids.encode(history, users, items).select(
             F.col("user_int").alias("user_id"), F.col("item_int").alias("item_id")
         )
-        for history in _event_histories(spark, sf_dir)
+        for history in (event_history(spark, sf_dir, action) for action in actions)
     ]
     return users, items, *map(settled, coded)
 
@@ -336,9 +353,13 @@ def _cross_links(primary: DataFrame, secondary: DataFrame, items: DataFrame) ->
     return documents.decode_links(cross, "item_id", "other_item_id", "n_users", items, items)
 
 
-def _history_links(history: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame:
+def _history_links(
+    history: DataFrame, users: DataFrame, items: DataFrame, part_links: int = documents.PART_LINKS
+) -> DataFrame:
     weighted = history.withColumn("weight", F.lit(1.0))
-    return documents.decode_links(weighted, "user_id", "item_id", "weight", users, items)
+    return documents.decode_links(
+        weighted, "user_id", "item_id", "weight", users, items, part_links
+    )
 
 
 @query
@@ -357,7 +378,7 @@ def item_links_docs(spark, sf_dir):
 
 @query
 def item_links_docs_single(spark, sf_dir):
-    _, items, primary, _ = _numbered_histories(spark, sf_dir)
+    _, items, primary = _numbered_histories(spark, sf_dir, EVENT_ROLES[:1])
     return documents.item_links_docs(_own_links(primary, items))
 
 
@@ -379,9 +400,15 @@ def user_history_docs_full(spark, sf_dir):
     )
 
 
+@query
+def user_history_docs_parts(spark, sf_dir):
+    users, items, primary = _numbered_histories(spark, sf_dir, EVENT_ROLES[:1])
+    return documents.user_history_docs(_history_links(primary, users, items, QUERY_PART))
+
+
 @query
 def user_history_docs_single(spark, sf_dir):
-    users, items, primary, _ = _numbered_histories(spark, sf_dir)
+    users, items, primary = _numbered_histories(spark, sf_dir, EVENT_ROLES[:1])
     return documents.user_history_docs(_history_links(primary, users, items))
 
 

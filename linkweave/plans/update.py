@@ -27,10 +27,13 @@ def read_actions(spark: SparkSession, config: UpdateConfig) -> tuple[DataFrame,
         config.item_col,
         config.ts_col,
     )
+    if lines.isEmpty():
+        raise ValueError(f"no lines in files like {config.file_pattern!r} at {config.input}")
+    options = {"keep_empty_ids": config.keep_empty_ids, "ts_type": config.ts_type}
     parsed = logs.parse_logs(
-        lines, *columns, on_bad_line=config.on_bad_line, keep_empty_ids=config.keep_empty_ids
+        lines, *columns, on_bad_line=config.on_bad_line, **options
     )
-    return parsed, logs.bad_lines(lines, *columns, keep_empty_ids=config.keep_empty_ids)
+    return parsed, logs.bad_lines(lines, *columns, **options)
 
 
 def split_log(spark: SparkSession, config: UpdateConfig) -> dict[str, DataFrame]:
@@ -97,7 +100,7 @@ def recommendation_history(
     if config.max_prefs_recs is None:
         return history
     if "ts" not in numbered.columns:
-        return prefs.downsample_prefs(history, config.max_prefs_recs)
+        raise ValueError("max_prefs_recs keeps the latest items and needs ts_col")
     timed = numbered.where(F.col("role") == role).select(
         F.col("user_int").alias("user_id"), F.col("item_int").alias("item_id"), "ts"
     )
@@ -163,11 +166,13 @@ def build_documents(
     users, items = tables_["users"], tables_["items"]
 
     def links(matrix: DataFrame, weight: str) -> DataFrame:
-        return docs.decode_links(matrix, "item_id", "other_item_id", weight, items, items)
+        return docs.decode_links(matrix, "item_id", "other_item_id", weight, items, items, config.part_links)
 
     def history(matrix: DataFrame) -> DataFrame:
         weighted = matrix.withColumn("weight", F.lit(1.0))
-        return docs.decode_links(weighted, "user_id", "item_id", "weight", users, items)
+        return docs.decode_links(
+            weighted, "user_id", "item_id", "weight", users, items, config.part_links
+        )
 
     own, cross = links(tables_["p_sims"], "score"), None
     primary, secondary = history(tables_["p_history"]), None
@@ -194,5 +199,5 @@ def update(spark: SparkSession, config: UpdateConfig) -> dict[str, DataFrame]:
     for name, table in build_documents(result, config).items():
         path = f"{out}/{name.replace('_', '-')}"
         tables.write_documents(table, path)
-        result[name] = spark.read.schema(table.schema).option("header", True).csv(path)
+        result[name] = tables.read_documents(spark, path, table.schema)
     return result

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import re
-
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,28 +12,45 @@ from linkweave.functions.text import field_at
 LINE_ORDER = ("src_file", "src_block", "src_line")
 
 
-def name_matches(name: Column, pattern: str) -> Column:
+def is_regex(spark: SparkSession, pattern: str) -> bool:
+    """Whether the pattern is a regular expression as Spark understands them."""
+    try:
+        spark._jvm.java.util.regex.Pattern.compile(pattern)
+    except Py4JJavaError:
+        return False
+    return True
+
+
+def name_matches(spark: SparkSession, name: Column, pattern: str) -> Column:
     """Whether a file name is wanted: the pattern matches the whole name as a regex, or
     is part of a name that does not start like a system file."""
     part_of_name = F.contains(name, F.lit(pattern)) & ~name.rlike("^[_.~]")
-    try:
-        re.compile(pattern)
-    except re.error:
+    if not is_regex(spark, pattern):
         return part_of_name
     return name.rlike(f"^(?:{pattern})$") | part_of_name
 
 
+def _is_file(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return files.exists(target) and files.getFileStatus(target).isFile()
+
+
+def _decoded(name: Column) -> Column:
+    """A file name as it is on disk; Spark gives it as part of a URI, where + is itself."""
+    return F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
+
+
 def scan_logs(spark: SparkSession, path: str, pattern: str = ".*tsv") -> DataFrame:
     """Lines of all wanted files below a directory, or of one named file.
 
     Spark itself hides names that start with `_` or `.`.
     """
+    if _is_file(spark, path):
+        return _placed(spark.read.text(path))
     lines = spark.read.option("recursiveFileLookup", True).text(path)
-    # Below a directory no file has the path of the directory itself.
-    named_itself = F.col("_metadata.file_path").endswith(path.rstrip("/"))
-    return _placed(
-        lines.where(name_matches(F.col("_metadata.file_name"), pattern) | named_itself)
-    )
+    name = _decoded(F.col("_metadata.file_name"))
+    return _placed(lines.where(name_matches(spark, name, pattern)))
 
 
 def scan_files(spark: SparkSession, files: list[str]) -> DataFrame:
@@ -45,7 +61,7 @@ def scan_files(spark: SparkSession, files: list[str]) -> DataFrame:
 def _placed(lines: DataFrame) -> DataFrame:
     """Lines with their file and an order key within the log."""
     return lines.select(
-        F.col("_metadata.file_name").alias("file_name"),
+        _decoded(F.col("_metadata.file_name")).alias("file_name"),
         F.col("_metadata.file_path").alias("src_file"),
         F.col("_metadata.file_block_start").alias("src_block"),
         F.monotonically_increasing_id().alias("src_line"),
@@ -61,6 +77,7 @@ def _parsed(
     item_col: int,
     ts_col: int,
     keep_empty_ids: bool,
+    ts_type: str,
 ) -> DataFrame:
     wanted = {"user_id": user_col, "action": action_col, "item_id": item_col}
     if ts_col >= 0:
@@ -76,6 +93,8 @@ def _parsed(
     rows = split.select(
         *[field_at(fields, k).alias(name) for name, k in wanted.items()], *order, "raw"
     )
+    if ts_col >= 0:
+        rows = rows.withColumn("ts", F.col("ts").try_cast(ts_type))
     bad = F.lit(False)
     for name in wanted:
         bad = bad | F.col(name).isNull()
@@ -93,16 +112,19 @@ def parse_logs(
     ts_col: int = -1,
     on_bad_line: str = "fail",
     keep_empty_ids: bool = False,
+    ts_type: str = "bigint",
 ) -> DataFrame:
     """Actions (user_id, action, item_id[, ts], place in the log, raw) from a `value` column.
 
     The delimiter is a regex, and fields are trimmed. A line that lacks a column, or has
-    an empty id, stops the job (`fail`) or is left out (`drop`, `quarantine`; see
+    an empty id or a time that is no `ts_type`, stops the job (`fail`) or is left out (`drop`, `quarantine`; see
     `bad_lines` for the lines set aside).
     """
     if on_bad_line not in ("fail", "drop", "quarantine"):
         raise ValueError(f"unknown on_bad_line {on_bad_line!r}")
-    rows = _parsed(lines, delim, user_col, action_col, item_col, ts_col, keep_empty_ids)
+    rows = _parsed(
+        lines, delim, user_col, action_col, item_col, ts_col, keep_empty_ids, ts_type
+    )
     if on_bad_line == "fail":
         complaint = F.raise_error(F.concat(F.lit("bad log line: "), F.col("raw")))
         good = F.when(F.col("__bad"), complaint.cast("boolean")).otherwise(F.lit(True))
@@ -119,9 +141,12 @@ def bad_lines(
     item_col: int = 2,
     ts_col: int = -1,
     keep_empty_ids: bool = False,
+    ts_type: str = "bigint",
 ) -> DataFrame:
     """The lines `parse_logs` leaves out."""
-    rows = _parsed(lines, delim, user_col, action_col, item_col, ts_col, keep_empty_ids)
+    rows = _parsed(
+        lines, delim, user_col, action_col, item_col, ts_col, keep_empty_ids, ts_type
+    )
     return rows.where("__bad").select(*[c for c in LINE_ORDER if c in rows.columns], "raw")
 
 

@@ -4,6 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+# How a null is written in a CSV file, so that an empty field stays empty.
+NULL = "\\N"
 
 
 def write_table(df: DataFrame, path: str, partition_by: str | None = None) -> DataFrame:
@@ -23,6 +27,16 @@ def read_matrix(spark: SparkSession, path: str) -> DataFrame:
     return matrix
 
 
+def rename_single(spark: SparkSession, folder: str, target: str) -> str:
+    """Give the one part file of a folder a name of its own."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    (part,) = [s.getPath() for s in files.globStatus(path(f"{folder}/part-*"))]
+    files.mkdirs(path(target).getParent())
+    files.rename(part, path(target))
+    return target
+
+
 def write_dictionary(dictionary: DataFrame, path: str) -> DataFrame:
     return write_table(dictionary.select("ext_id", "int_id"), path)
 
@@ -54,4 +68,11 @@ def write_documents(docs: DataFrame, path: str) -> None:
 
     Documents of at most one part, which is nearly all, are in `part=0`.
     """
-    docs.write.mode("overwrite").partitionBy("part").option("header", True).csv(path)
+    docs.write.mode("overwrite").partitionBy("part").option("header", True).csv(
+        path, nullValue=NULL
+    )
+
+
+def read_documents(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """Documents as they were written; an empty field is empty, not null."""
+    return spark.read.schema(schema).option("header", True).csv(path, nullValue=NULL)

@@ -66,7 +66,7 @@ def test_trim_and_delimiter(spark):
     rows = logs.parse_logs(
         lines_frame(spark, "9\ti\tpurchase\tu"), user_col=3, action_col=2, item_col=1, ts_col=0
     ).collect()
-    assert [(r.user_id, r.action, r.item_id, r.ts) for r in rows] == [("u", "purchase", "i", "9")]
+    assert [(r.user_id, r.action, r.item_id, r.ts) for r in rows] == [("u", "purchase", "i", 9)]
 
 
 @pytest.mark.parametrize("bad", ["", "u1", "u1\tview", "u1\tview\t", "u1\tview\t\t", "u1\tview\t \tx"])

@@ -184,7 +184,9 @@ def test_long_document_without_partner_is_left_out(spark):
 
 def test_long_vectors_are_cut(spark, entries):
     packed = vectors.user_vectors(frame(spark, entries), part_entries=6).collect()
-    assert all(r["items"] == sorted(r["items"]) and r.n_items == len(r["items"]) for r in packed)
+    sizes = collections.Counter(u for u, _ in set(entries))
+    assert all(r["items"] == sorted(r["items"]) and r.n_items == sizes[r.user_id] for r in packed)
+    assert all(len(r["items"]) == 6 for r in packed if (r.part + 1) * 6 <= r.n_items)
     assert len([r for r in packed if r.user_id == 0]) > 1
     assert {(r.user_id, i) for r in packed for i in r["items"]} == set(entries)
     whole = vectors.item_vectors(frame(spark, entries)).collect()
