@@ -9,6 +9,7 @@ the n-th record is found with two short reads.
 
 from __future__ import annotations
 
+import re
 import struct
 import uuid
 import zlib
@@ -68,30 +69,75 @@ class WordIds(dict):
     """Token ids of words, as bytes.
 
     The vocabulary drops white space before it merges anything, so that the ids of a text
-    are those of its words one after the other.
+    are those of its words one after the other. A word of visible ASCII and Latin-1 letters
+    is cut into its pieces here as the vocabulary's own pattern does, and each piece is
+    merged once; any other word goes through the whole tokenizer.
     """
 
+    # Fixed value: the pattern of the vocabulary's pieces, for words of these letters.
+    PIECE = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
+    PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
+
     def __init__(self, path: str, kind: str):
         self.tokenizer = Tokenizer.from_file(path)
+        special = self.tokenizer.get_added_tokens_decoder().values()
+        self.special = re.compile("|".join(re.escape(t.content) for t in special) or "(?!)")
         self.kind = kind
-
-    def _encoded(self, words: list[bytes]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(
-            [w.decode() for w in words], add_special_tokens=False
-        )
-        return [np.array(e.ids, self.kind).tobytes() for e in found]
+        self.pieces: dict[str, bytes] = {}
+        # Fixed value: the letters that stand for bytes in the vocabulary; visible bytes
+        # stand for themselves, the others follow from 256 on.
+        visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        hidden = [b for b in range(256) if b not in visible]
+        self.letters = {b: chr(b) for b in visible} | {b: chr(256 + n) for n, b in enumerate(hidden)}
+
+    def _merged(self, piece: str) -> bytes:
+        if len(self.pieces) >= CACHED_WORDS:
+            self.pieces.clear()
+        if not piece.isascii():
+            piece_letters = "".join(map(self.letters.__getitem__, piece.encode()))
+        else:
+            piece_letters = piece
+        ids = [t.id for t in self.tokenizer.model.tokenize(piece_letters)]
+        found = self.pieces[piece] = np.array(ids, self.kind).tobytes()
+        return found
+
+    def _learn(self, words: list[bytes]) -> None:
+        others, pieces = [], self.pieces
+        for word in words:
+            text = word.decode()
+            if self.PLAIN.fullmatch(text) and not self.special.search(text):
+                ids = b""
+                for piece in self.PIECE.findall(text.lower()):
+                    ids += pieces.get(piece) or self._merged(piece)
+                self[word] = ids
+            else:
+                others.append(text)
+        if others:
+            found = self.tokenizer.encode_batch_fast(others, add_special_tokens=False)
+            for text, encoded in zip(others, found, strict=True):
+                self[text.encode()] = np.array(encoded.ids, self.kind).tobytes()
 
     def text(self, text: str | None) -> bytes:
         words = text.encode().split() if text else []
-        new = list({w for w in words if w not in self})
+        new = {w for w in words if w not in self}
         if new:
             if len(self) + len(new) > CACHED_WORDS:
                 self.clear()
-                new = list(set(words))
-            self.update(zip(new, self._encoded(new), strict=True))
+                new = set(words)
+            self._learn(new)
         return b"".join(map(self.__getitem__, words))
 
 
+_WORD_IDS: dict[tuple[str, str], WordIds] = {}
+
+
+def shared_ids(path: str, kind: str) -> WordIds:
+    """The word cache of this worker process; it outlives a task."""
+    if (path, kind) not in _WORD_IDS:
+        _WORD_IDS[path, kind] = WordIds(path, kind)
+    return _WORD_IDS[path, kind]
+
+
 def _open(folder: str) -> tuple[pa.fs.FileSystem, str]:
     """The file system of a shared folder, for use inside tasks."""
     if ":" not in folder.split("/", 1)[0]:
@@ -118,7 +164,7 @@ def _write_files(folder: str, vocabulary: str, kind: str, end_id: int):
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = WordIds(vocabulary, kind)
+        ids = shared_ids(vocabulary, kind)
         end = np.array([end_id], kind).tobytes()
         width = len(end)
         files, root = _open(folder)
