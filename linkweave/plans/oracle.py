@@ -368,3 +368,10 @@ SQL: dict[str, str] = {
         _best("s", "score", "seed_item_id, item_id, score", key="seed_item_id"),
     ),
 }
+
+# What is written as text must read back the same.
+SQL |= {
+    "dictionary_text": SQL["user_dictionary"],
+    "prefs_text": f"SELECT *, 'purchase' AS action_dir FROM ({SQL['encode_prefs']})",
+    "documents_csv": SQL["user_history_docs_full"],
+}

@@ -472,3 +472,30 @@ def query_cold_start(spark, sf_dir):
     brands = part_brands(spark, sf_dir)
     links = settled(_links(order_history(spark, sf_dir)))
     return search.query_cold_start(brands, links, brands, n=TOP)
+
+
+# Published text, written and read back
+
+
+@query
+def dictionary_text(spark, sf_dir):
+    path = scratch_path(spark, "dictionary-text")
+    tables.write_dictionary_text(user_dictionary(spark, sf_dir), path)
+    read = tables.read_dictionary_text(spark, path)
+    return read.select(F.col("ext_id").cast("bigint").alias("ext_id"), "int_id")
+
+
+@query
+def prefs_text(spark, sf_dir):
+    path = scratch_path(spark, "prefs-text")
+    name = text.action_dir_name(F.lit(EVENT_ROLES[0]))
+    tables.write_prefs_text(encode_prefs(spark, sf_dir).withColumn("action_dir", name), path)
+    return tables.read_prefs_text(spark, path)
+
+
+@query
+def documents_csv(spark, sf_dir):
+    path = scratch_path(spark, "documents-csv")
+    docs = user_history_docs_full(spark, sf_dir)
+    tables.write_documents(docs, path)
+    return tables.read_documents(spark, path, docs.schema)
