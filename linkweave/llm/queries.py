@@ -20,6 +20,7 @@ from linkweave.llm import (
     suffix_dedup,
     token_records,
 )
+from linkweave.llm.oracle import LLM_SQL  # noqa: F401 - registered with the queries
 
 Query = Callable[[SparkSession, str], DataFrame]
 LLM_QUERIES: dict[str, Query] = {}
@@ -106,8 +107,3 @@ def op10_token_records(spark, sf_dir):
         _table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY)
     )
     return read.select("doc_id", "start", "n_tokens", "ids_crc32")
-
-
-# Queries that SQL can express, for checking. The others use hashes, trained models or
-# files that SQL does not have; tests compare them with brute force.
-LLM_SQL: dict[str, str] = {}

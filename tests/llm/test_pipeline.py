@@ -3,6 +3,7 @@
 import pathlib
 
 import pytest
+from oracle_check import compare, connect
 
 import __spark_entry__ as entry
 import corpus_pipeline
@@ -18,6 +19,13 @@ def test_registered():
     assert entry.oracle_sql().keys() <= names.keys()
 
 
+@pytest.mark.parametrize("name", sorted(n for n in entry.oracle_sql() if n.startswith("op")))
+def test_query_next_to_its_sql(spark, name):
+    query, sql = entry.queries()[name], entry.oracle_sql()[name]
+    result = compare(spark, connect(SF_DIR), name, query, sql, SF_DIR)
+    assert result["rows"] > 0 and result["same"] and result["types"], result
+
+
 def test_pipeline(spark):
     source = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     docs, columns, before = source, source.columns, set()
