@@ -375,3 +375,40 @@ SQL |= {
     "prefs_text": f"SELECT *, 'purchase' AS action_dir FROM ({SQL['encode_prefs']})",
     "documents_csv": SQL["user_history_docs_full"],
 }
+
+# Tables of a model update, in numbers that the dictionaries give.
+_NUMBERED = (
+    EVENTS.replace("ev AS", "log AS", 1),
+    DICTIONARIES.replace("FROM ev", "FROM log"),
+    """ev AS (SELECT u.int_id AS user_id, action, i.int_id AS item_id FROM log
+    JOIN ud u ON u.ext_id = log.user_id JOIN idd i ON i.ext_id = log.item_id)""",
+)
+
+SQL |= {
+    "update_user_index": SQL["user_dictionary"],
+    "update_item_index": SQL["item_dictionary"],
+    "update_dims": SQL["matrix_dims"],
+    "update_prefs": _with(
+        *_NUMBERED,
+        "p AS (SELECT * FROM ev WHERE action IN ('purchase', 'view'))",
+        """SELECT user_id AS user_int, item_id AS item_int, CAST(1 AS DOUBLE) AS weight,
+        action AS action_dir FROM p""",
+    ),
+    "update_other_actions": _with(
+        EVENTS, f"SELECT {LINE} AS line FROM ev WHERE action NOT IN ('purchase', 'view')"
+    ),
+    "update_similar": _with(
+        *_NUMBERED, EVENT_B, LINKS, "SELECT item_id, other_item_id, n_both, score, rank FROM links",
+    ),
+    "update_recs": _with(
+        *_NUMBERED, EVENT_B, LINKS, PRIMARY_RECS, _best("pr", "score", SCORE_COLUMNS),
+    ),
+    "update_cross_similar": _with(
+        *_NUMBERED, EVENT_B, EVENT_A, CROSS, "SELECT item_id, other_item_id, n_users FROM ba",
+    ),
+    "update_cross_recs": _with(
+        *_NUMBERED, EVENT_B, EVENT_A, CROSS, CROSS_RECS, "SELECT user_id, item_id, score FROM xr",
+    ),
+    "update_item_links_docs": SQL["item_links_docs"],
+    "update_user_history_docs": SQL["user_history_docs"],
+}

@@ -7,11 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from linkweave.config import UpdateConfig
 from linkweave.functions import text
 from linkweave.operators import documents, ids, prefs, recommend, search, similar, vectors
 from linkweave.operators.skew import lookup
 from linkweave.plans import inputs
 from linkweave.plans.inputs import EVENT_ROLES, ORDER_ROLES, event_log, order_log, part_brands
+from linkweave.plans.update import split_log, update
 from linkweave.session import scratch_path, settled
 from linkweave.sources import logs, tables
 
@@ -499,3 +501,53 @@ def documents_csv(spark, sf_dir):
     docs = user_history_docs_full(spark, sf_dir)
     tables.write_documents(docs, path)
     return tables.read_documents(spark, path, docs.schema)
+
+
+# The whole run over a text log, and what it publishes
+
+
+def _update_config(spark: SparkSession, sf_dir: str) -> UpdateConfig:
+    """The events as log files, in order over the files, and a folder for the model."""
+    path = scratch_path(spark, "update")
+    lines = event_log(spark, sf_dir).orderBy("event_id")
+    lines.select(F.concat_ws("\t", "user_id", "action", "item_id")).write.text(f"{path}/logs")
+    return UpdateConfig(
+        f"{path}/logs", f"{path}/model", file_pattern=r"part-.*\.txt", cross=True
+    )
+
+
+def _published(name: str, part: Callable, types: dict[str, str] | None = None) -> Query:
+    """One published table; ids that were read as text get the type of the given tables."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        table = part(spark, _update_config(spark, sf_dir))[name]
+        return table.withColumns({c: F.col(c).cast(t) for c, t in (types or {}).items()})
+
+    return run
+
+
+def _update_prefs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    config = _update_config(spark, sf_dir)
+    split_log(spark, config)
+    return tables.read_prefs_text(spark, f"{config.output}/prefs/by-action")
+
+
+def _update_others(spark: SparkSession, sf_dir: str) -> DataFrame:
+    config = _update_config(spark, sf_dir)
+    split_log(spark, config)
+    return spark.read.text(f"{config.output}/prefs/other").select(F.col("value").alias("line"))
+
+
+QUERIES |= {
+    "update_user_index": _published("users", split_log, {"ext_id": "bigint"}),
+    "update_item_index": _published("items", split_log, {"ext_id": "int"}),
+    "update_dims": _published("dims", split_log),
+    "update_prefs": _update_prefs,
+    "update_other_actions": _update_others,
+    "update_similar": _published("p_sims", update),
+    "update_recs": _published("p_recs", update),
+    "update_cross_similar": _published("s_sims", update),
+    "update_cross_recs": _published("s_recs", update),
+    "update_item_links_docs": _published("item_links_docs", update, {"id": "int"}),
+    "update_user_history_docs": _published("user_history_docs", update, {"id": "bigint"}),
+}
