@@ -19,12 +19,12 @@ from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from linkweave.llm.adding import PARTS, added_up, parts_of
 from linkweave.llm.text import CACHED_WORDS, GOLDEN, WordHashes, mix, record_batches, texts_of
 from linkweave.session import scratch_path, settled
 
@@ -284,9 +284,6 @@ def _vocabulary(known: DataFrame) -> Vocabulary:
     )
 
 
-_CHANGE = pa.schema([("block", pa.int32()), ("change", pa.list_(pa.float32()))])
-
-
 def _train(vocabulary: Vocabulary, weights: Weights):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes, trainer, any_text = shared_codes(), Trainer(weights), False
@@ -309,35 +306,25 @@ def _train(vocabulary: Vocabulary, weights: Weights):
                     held, size = [], 0
         learn()
         if any_text:
-            parts = np.array_split(trainer.change().astype(np.float16).astype(np.float32), BLOCKS)
-            yield from record_batches(enumerate(parts), _CHANGE)
+            # As halves, whose sums are exact in any order.
+            yield from parts_of(trainer.change().astype(np.float16), BLOCKS)
 
     return run
 
 
-def _mean_change(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-    # In the order of the values, so that a rerun adds them up alike.
-    changes = sorted(frame["change"], key=lambda c: c.tobytes())
-    mean = np.sum(changes, axis=0, dtype=np.float64) / len(changes)
-    return pd.DataFrame({"block": [key[0]], "change": [mean.astype(np.float32)]})
-
-
 def train(stored: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) -> Weights:
     """Weights after all rounds; each round learns from its share of the documents."""
     weights = Weights.start(vocabulary)
     for number in range(rounds):
         turn = F.pmod(F.xxhash64("chunk", "doc_id"), F.lit(rounds)) == number
-        blocks = (
+        changes = (
             stored.where(~F.col("held_out") & turn)
             .select("text")
-            .mapInArrow(_train(vocabulary, weights), "block int, change array<float>")
-            .groupBy("block")
-            .applyInPandas(_mean_change, "block int, change array<float>")
-            .orderBy("block")
-            .collect()
+            .mapInArrow(_train(vocabulary, weights), PARTS)
         )
-        if blocks:
-            weights = weights.moved(np.concatenate([np.array(b.change) for b in blocks]))
+        total, tasks = added_up(changes)
+        if tasks:
+            weights = weights.moved(total / tasks)
     return weights
 
 

@@ -17,12 +17,12 @@ from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from linkweave.llm.adding import PARTS, added_up, parts_of
 from linkweave.llm.text import WordHashes, raw_words, record_batches, texts_of
 from linkweave.session import settled
 
@@ -212,25 +212,18 @@ def _training_rows(docs: DataFrame, labels: DataFrame, limit: int) -> DataFrame:
 
 
 def _sums_of_tasks(index: np.ndarray):
-    schema = pa.schema([("block", pa.int32()), ("sums", pa.list_(pa.float64()))])
-
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = FormIds()
-        sums = np.zeros((FORMS, SIZE))
+        sums, any_text = np.zeros((FORMS, SIZE)), False
         for batch in batches:
             sums += context_sums((ids.of(raw_words(t)) for t in texts_of(batch)), index)
-        blocks = enumerate(np.split(sums, BLOCKS))
-        yield from record_batches(((n, b.ravel()) for n, b in blocks), schema)
+            any_text |= batch.num_rows > 0
+        if any_text:
+            yield from parts_of(sums, BLOCKS)
 
     return run
 
 
-def _add_blocks(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-    # In the order of the values, so that a rerun adds them up alike.
-    tables = sorted(frame["sums"], key=lambda s: s.tobytes())
-    return pd.DataFrame({"block": [key[0]], "sums": [np.sum(tables, axis=0)]})
-
-
 def _features(vectors: np.ndarray):
     schema = pa.schema(
         [("doc_id", pa.int64()), ("quality", pa.int32()), ("x", pa.list_(pa.float32()))]
@@ -254,15 +247,8 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = TRAINING_DOCUMENTS) ->
     """
     rows = _training_rows(docs, labels, limit)
     index = index_vectors()
-    parts = (
-        rows.select("text")
-        .mapInArrow(_sums_of_tasks(index), "block int, sums array<double>")
-        .groupBy("block")
-        .applyInPandas(_add_blocks, "block int, sums array<double>")
-        .orderBy("block")
-        .collect()
-    )
-    sums = np.array([p.sums for p in parts]).reshape(FORMS, SIZE) if parts else np.zeros((FORMS, SIZE))
+    total, _ = added_up(rows.select("text").mapInArrow(_sums_of_tasks(index), PARTS))
+    sums = np.zeros((FORMS, SIZE)) if total is None else total.reshape(FORMS, SIZE)
     vectors = word_vectors(index, sums)
     found = rows.mapInArrow(_features(vectors), "doc_id bigint, quality int, x array<float>").collect()
     found.sort(key=lambda r: (r.doc_id, r.quality, r.x))

@@ -8,7 +8,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from linkweave.llm import lm_score, quality_model
+from linkweave.llm import adding, lm_score, quality_model
 
 PLAIN = "the of and river stone light under morning walks slowly green hill home".split()
 
@@ -34,6 +34,20 @@ def held_out(doc_id, modulus, value):
     return doc_id is not None and zlib.crc32(str(doc_id).encode()) % modulus == value
 
 
+def test_adding_in_levels(spark):
+    """As many tasks as take several groups on each level."""
+
+    def numbers(batches):
+        rows = sum(batch.num_rows for batch in batches)
+        if rows:
+            yield from adding.parts_of(np.arange(10) * rows + 0.5, 3)
+
+    parts = spark.range(0, 60, 1, 23).mapInArrow(numbers, adding.PARTS)
+    total, tasks = adding.added_up(parts, fan_in=2)
+    assert tasks == 23 and total.tolist() == (np.arange(10) * 60 + 23 * 0.5).tolist()
+    assert adding.added_up(parts.limit(0)) == (None, 0)
+
+
 def test_quality_scores(spark, table):
     labels = spark.createDataFrame(
         [(n, int(n % 4 != 0), 0) for n in range(0, 200, 2)] + [(1, None, 0), (None, 1, 0), (5, 1, 0), (5, 1, 0)],
