@@ -121,3 +121,26 @@ def test_chances_add_up_to_one():
     hashes = np.repeat(chance.integers(0, 2**63, (1, 3)).astype(np.uint64), lm_score.LEAVES, axis=0)
     found = lm_score.log_chances(weights, hashes, np.arange(lm_score.LEAVES))
     assert np.exp(found).sum() == pytest.approx(1, abs=1e-4)
+
+
+def test_every_feature_learns_from_every_token():
+    leaf_tokens = np.ones(lm_score.LEAVES)
+    vocabulary = lm_score.Vocabulary(10, 3, np.zeros(0, np.int64), np.zeros(0, np.int64), leaf_tokens, leaf_tokens)
+    weights = lm_score.Weights.start(vocabulary)
+    chance = np.random.default_rng(2)
+    leaf = chance.integers(0, lm_score.LEAVES, 300)
+    hashes = chance.integers(0, 2**63, (300, lm_score.FEATURES)).astype(np.uint64)
+    trainer = lm_score.Trainer(weights)
+    trainer.learn(hashes, leaf)
+    of_class, of_leaf = lm_score._rows(hashes, leaf // lm_score.PER_CLASS)
+    for k in range(lm_score.FEATURES):
+        assert np.abs(trainer.weights.of_class[of_class[:, k]]).max(axis=1).all()
+        assert np.abs(trainer.weights.of_leaf[of_leaf[:, k]]).max(axis=1).all()
+
+
+def test_frequent_words_have_leaves_of_their_own(docs):
+    known = docs([(1, None)]).sparkSession.createDataFrame(
+        [(0, n, 5, True) for n in range(600)], "chunk bigint, code bigint, total bigint, one boolean"
+    )
+    found = lm_score._vocabulary(known)
+    assert len(found.top) == 511 and len(set(found.leaves(found.top))) == 511
