@@ -1,7 +1,7 @@
 """Quality scores from random-indexing word vectors and a small neural network.
 
 Each word form has a sparse random index vector, made from a hash. Its context vector is
-the sum of the index vectors of its neighbours over the training documents. A document is
+the sum of the index vectors of its neighbours over all documents. A document is
 the mean of its words' index and context vectors with a few ratios; a network of two layers
 turns it into a probability, and a temperature fitted on training documents that the
 network has not seen calibrates it.
@@ -240,14 +240,14 @@ def _features(vectors: np.ndarray):
 
 
 def fit(docs: DataFrame, labels: DataFrame, limit: int = TRAINING_DOCUMENTS) -> tuple[np.ndarray, Network]:
-    """Word vectors and network from a bounded sample of labelled documents.
+    """Word vectors from all documents, network from a bounded sample of labelled ones.
 
     Context vectors are added up by tasks; what comes to the driver is their sum and one
     row of numbers for each training document.
     """
     rows = _training_rows(docs, labels, limit)
     index = index_vectors()
-    total, _ = added_up(rows.select("text").mapInArrow(_sums_of_tasks(index), PARTS))
+    total, _ = added_up(docs.select("text").mapInArrow(_sums_of_tasks(index), PARTS))
     sums = np.zeros((FORMS, SIZE)) if total is None else total.reshape(FORMS, SIZE)
     vectors = word_vectors(index, sums)
     found = rows.mapInArrow(_features(vectors), "doc_id bigint, quality int, x array<float>").collect()
@@ -296,7 +296,8 @@ def score_quality(
     """(doc_id, held_out, score, predicted) of every document, a row per input row.
 
     Only labels of documents whose checksum of the doc_id is not 2 modulo 4 are learned
-    from; held_out marks the others. The score uses nothing but the text. A null text
+    from; held_out marks the others. Word vectors are of all documents, labelled or not,
+    and use no label. The score uses nothing but the text. A null text
     counts as empty and is scored like any text; a document with several labels has the
     greatest; labels other than 0 and 1 are ignored; a null doc_id is never held out and
     never learned from. Without labels every score is 0.5. No rows give no rows; other

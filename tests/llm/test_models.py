@@ -81,6 +81,19 @@ def test_held_out_labels_change_nothing(spark, table):
     assert scores[0] == scores[1]
 
 
+def test_word_vectors_are_of_all_documents(spark, docs):
+    rows = [(n, junk(n) if n % 4 == 0 else prose(n)) for n in range(20)]
+    labels = spark.createDataFrame([(n, int(n % 4 != 0)) for n in range(20)], "doc_id bigint, quality int")
+    ids = quality_model.FormIds()
+    unseen, near = "Zyxwv#%", "Qqkkj+="
+    form = ids[unseen.encode()]
+    assert form not in {ids[w.encode()] for _, t in rows for w in t.split()}
+    vectors, _ = quality_model.fit(docs([*rows, (99, f"{unseen} {near}")]), labels, limit=5)
+    index = quality_model.index_vectors()
+    wanted = index[ids[near.encode()]]
+    assert np.allclose(vectors[form, quality_model.SIZE :], wanted / np.linalg.norm(wanted))
+
+
 def tokens(text):
     return [*(text or "").encode().lower().split(), None]
 
