@@ -35,6 +35,9 @@ PIECE = WINDOW - STRIDE + 1
 # in a million.
 BANDS = 48
 
+# Shingles of a notice that words may be put into.
+LONG = 20
+
 # Words that are scanned together.
 SLICE_WORDS = 1 << 16
 
@@ -47,6 +50,16 @@ class PlainWordHashes(WordHashes):
         return (plain if plain.isalnum() else re.sub(r"[\W_]+", "", plain)).encode()
 
 
+def plain_words(text: str | None, hashes: PlainWordHashes) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words that have letters or digits, and their places among all words.
+
+    The marks of a comment stand alone at the start of a line and are no words of a notice.
+    """
+    words = hashes.of(raw_words(text))
+    places = np.flatnonzero(words != hashes[b""])
+    return words[places], places
+
+
 class Templates(NamedTuple):
     """Shingle sets of the templates, and the bands of their pieces in order."""
 
@@ -76,7 +89,7 @@ def templates_of(notices: Iterable[tuple[str, str]]) -> Templates:
     hashes = PlainWordHashes()
     names, sets, words, pieces = [], [], [], []
     for name, text in notices:
-        own = hashes.of(raw_words(text))
+        own, _ = plain_words(text, hashes)
         found = shingles(own, SHINGLE_WORDS)
         if not len(found):
             continue
@@ -128,7 +141,7 @@ def _padded(found: np.ndarray) -> np.ndarray:
 def matches(texts: list[np.ndarray], templates: Templates, containment: float):
     """(text, template, containment, first word, words) of the matches in several texts.
 
-    `texts` are word hashes. Of overlapping matches of a template the first one counts.
+    `texts` are hashes of plain words. Matches of a template do not overlap.
     """
     found = [shingles(words, SHINGLE_WORDS) for words in texts]
     padded = [_padded(f) for f in found]
@@ -136,36 +149,78 @@ def matches(texts: list[np.ndarray], templates: Templates, containment: float):
     if not len(ends) or not ends[-1]:
         return
     hits = candidates(np.concatenate(padded), templates)
-    places: dict[tuple[int, int], set[tuple[int, float]]] = {}
+    stretches: dict[tuple[int, int], list[tuple[int, int]]] = {}
     for number, start in hits.tolist():
         # The window may reach into neighbouring texts.
         inside = np.clip([start, start + WINDOW - 1], 0, ends[-1] - 1)
         first, last = np.searchsorted(ends, inside, side="right")
+        reach = templates.words[number] + _slack(len(templates.shingles[number]), containment)
         for text in range(first, last + 1):
-            at = start - (ends[text - 1] if text else 0)
-            hit = _verified(found[text], int(at), number, templates, containment)
-            if hit:
-                places.setdefault((text, number), set()).add(hit)
-    for (text, number), rows in sorted(places.items()):
-        free = 0
-        for first, share in sorted(rows):
-            if first >= free:
-                free = first + templates.words[number]
-                yield text, number, share, first, templates.words[number]
+            at = start - int(ends[text - 1] if text else 0)
+            low, high = max(0, at - reach), min(len(found[text]), at + WINDOW + reach)
+            joined = stretches.setdefault((text, number), [])
+            # Windows of a template come in order of their starts.
+            if joined and low <= joined[-1][1]:
+                joined[-1] = (joined[-1][0], max(high, joined[-1][1]))
+            else:
+                joined.append((low, high))
+    for (text, number), joined in sorted(stretches.items()):
+        # A text or template of fewer words than a shingle has one of all its words.
+        size = min(SHINGLE_WORDS, len(texts[text]))
+        for low, high in joined:
+            for first, last, share in _verified(found[text][low:high], number, templates, containment):
+                yield text, number, share, low + first, last - first + size
+
+
+def _slack(n_shingles: int, containment: float) -> int:
+    """Words that may be put into a notice: no more than the shingles it may lack.
+
+    None into a short one, where a word more may name another license.
+    """
+    return int((1 - containment) * n_shingles + 1e-9) if n_shingles >= LONG else 0
 
 
 def _verified(
-    found: np.ndarray, start: int, number: int, templates: Templates, containment: float
-) -> tuple[int, float] | None:
-    """First place around a window that holds enough of a template's shingles."""
-    wanted, reach = templates.shingles[number], templates.words[number]
-    low, high = max(0, start - reach), min(len(found), start + WINDOW + reach)
-    length = max(1, reach - SHINGLE_WORDS + 1)
-    for first in low + np.flatnonzero(np.isin(found[low:high], wanted)):
-        share = len(np.intersect1d(found[first : first + length], wanted)) / len(wanted)
-        if share >= containment:
-            return int(first), share
-    return None
+    found: np.ndarray, number: int, templates: Templates, containment: float
+) -> Iterator[tuple[int, int, float]]:
+    """(first shingle, last shingle, share) of the places that hold enough of a template.
+
+    From left to right, none overlapping. A place has the template's length, and some words
+    more only if it does not hold enough otherwise.
+    """
+    wanted = templates.shingles[number]
+    length = max(1, templates.words[number] - SHINGLE_WORDS + 1)
+    slack = _slack(len(wanted), containment)
+    at = np.minimum(np.searchsorted(wanted, found), len(wanted) - 1)
+    own = wanted[at] == found
+    # Enough shingles, repeated ones counted again: few places are left to look at.
+    sums = np.r_[0, np.cumsum(own)]
+    ends = np.minimum(np.arange(len(found)) + length + slack, len(found))
+    likely = np.flatnonzero(own & (sums[ends] - sums[:-1] >= containment * len(wanted) - 1e-9))
+
+    def place(first: int) -> tuple[float, int, int, int] | None:
+        for size in (length, length + slack):
+            spots = first + np.flatnonzero(own[first : first + size])
+            new = spots[np.unique(at[spots], return_index=True)[1]]
+            share = len(new) / len(wanted)
+            if share >= containment:
+                last = int(new.max())
+                return share, first - last, -first, last
+        return None
+
+    free = 0
+    for first in likely.tolist():
+        if first < free:
+            continue
+        best = place(first)
+        if not best:
+            continue
+        # A stray shingle may stand just before the notice.
+        near = likely[(likely > first) & (likely <= first + slack)].tolist()
+        best = max([best, *filter(None, map(place, near))])
+        share, _, start, last = best
+        yield -start, last, share
+        free = last + SHINGLE_WORDS
 
 
 _FOUND = pa.schema(
@@ -183,12 +238,12 @@ _FOUND = pa.schema(
 def _scan(notices: tuple[tuple[str, str], ...], containment: float):
     def rows(batches):
         hashes, templates = PlainWordHashes(), templates_of(notices)
-        held: list[tuple[int, np.ndarray]] = []
+        held: list[tuple[int, np.ndarray, np.ndarray]] = []
         size = 0
         for batch in batches:
             ids = batch.column("doc_id").to_pylist()
             for doc_id, text in zip(ids, texts_of(batch), strict=True):
-                held.append((doc_id, hashes.of(raw_words(text))))
+                held.append((doc_id, *plain_words(text, hashes)))
                 size += len(held[-1][1])
                 if size >= SLICE_WORDS:
                     yield from found_in(held, templates)
@@ -196,9 +251,11 @@ def _scan(notices: tuple[tuple[str, str], ...], containment: float):
         yield from found_in(held, templates)
 
     def found_in(held, templates):
-        texts = [words for _, words in held]
+        texts = [words for _, words, _ in held]
         for text, number, share, first, length in matches(texts, templates, containment):
-            yield held[text][0], templates.names[number], number, share, first, length
+            doc_id, _, places = held[text]
+            first, last = int(places[first]), int(places[first + length - 1])
+            yield doc_id, templates.names[number], number, share, first, last - first + 1
 
     return lambda batches: record_batches(rows(batches), _FOUND)
 
@@ -211,8 +268,10 @@ def scan_licenses(
     """Every notice found: (doc_id, license, template, containment, first_word, n_words).
 
     Words are compared without case and punctuation, in shingles of three; a template of
-    fewer words is one shingle. A template may be found several times in a document, and
-    two templates of similar wording at the same place.
+    fewer words is one shingle. Words of punctuation only, such as the marks of a comment,
+    are passed over, but first_word and n_words count all words of the text, from the first
+    to the last one that the template has too. A template may be found several times in a
+    document, and two templates of similar wording at the same place.
 
     Null and empty texts have no notices; a repeated row repeats its matches. No rows, or
     no notices, give no rows. Other columns are not read, and nothing is shuffled.

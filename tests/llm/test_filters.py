@@ -3,6 +3,7 @@
 import collections
 import random
 import re
+import textwrap
 
 from linkweave.llm import decontaminate, license_scan, quality_rules
 
@@ -105,6 +106,30 @@ def test_license_scan(docs):
     assert license_scan.scan_licenses(docs(rows), ()).count() == 0
 
 
+def test_license_notices_in_comments(docs):
+    """Every notice wrapped as in source code, after a line of code."""
+    rows, wanted = [], {}
+    for n, (_, text) in enumerate(license_scan.NOTICES):
+        for k, mark in enumerate(("*", "#", "//")):
+            lines = textwrap.wrap(text, 60, break_on_hyphens=False)
+            block = "\n".join(f" {mark} {line}" for line in lines)
+            rows.append((10 * n + k, f"int x = {n};\n {mark}\n{block}\n {mark}\n{prose(n, 30)}"))
+            wanted[10 * n + k] = (n, 6, len(text.split()) + len(lines) - 1)
+    found = collections.defaultdict(set)
+    for r in license_scan.scan_licenses(docs(rows)).collect():
+        if r.containment == 1:
+            found[r.doc_id].add((r.template, r.first_word, r.n_words))
+    assert all(place in found[doc_id] for doc_id, place in wanted.items())
+
+
+def test_license_notice_with_words_put_in(docs):
+    words = license_scan.NOTICES[4][1].split()
+    for at in (24, 14):
+        words[at:at] = ["dnl"]
+    (row,) = license_scan.scan_licenses(docs([(1, f"a b {' '.join(words)} c d")])).collect()
+    assert (row.template, row.first_word, row.n_words) == (4, 2, len(words))
+
+
 def base_counts(text):
     text = text or ""
     words = re.findall(WORD, text)
