@@ -130,6 +130,16 @@ def test_license_notice_with_words_put_in(docs):
     assert (row.template, row.first_word, row.n_words) == (4, 2, len(words))
 
 
+def test_notices_in_direct_succession(docs):
+    notices = license_scan.NOTICES
+    texts = [" ".join([notices[n][1]] * times) for n in (2, 4) for times in (2, 3)]
+    found = license_scan.scan_licenses(docs(list(enumerate(texts)))).collect()
+    sizes = [len(notices[n][1].split()) for n in (2, 2, 4, 4)]
+    for doc_id, (number, times) in enumerate([(2, 2), (2, 3), (4, 2), (4, 3)]):
+        places = sorted(r.first_word for r in found if (r.doc_id, r.template) == (doc_id, number))
+        assert places == [k * sizes[doc_id] for k in range(times)]
+
+
 def base_counts(text):
     text = text or ""
     words = re.findall(WORD, text)
