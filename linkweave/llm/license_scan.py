@@ -12,6 +12,8 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Iterator
+from itertools import groupby
+from operator import itemgetter
 from typing import NamedTuple
 
 import numpy as np
@@ -223,6 +225,28 @@ def _verified(
         free = last + SHINGLE_WORDS
 
 
+def best_of_places(rows: list[tuple], templates: Templates) -> list[bool]:
+    """Whether no other match at the place of each one holds more of its template.
+
+    `rows` are the matches in a text. Those that share half of the shorter one's words are at
+    one place. What counts is the number of shingles, so that a notice wins over another that
+    is its beginning; among equal numbers it is the containment.
+    """
+    order = sorted(range(len(rows)), key=lambda k: rows[k][3])
+    worth = [(round(row[2] * len(templates.shingles[row[1]])), row[2]) for row in rows]
+    best = [True] * len(rows)
+    held: list[int] = []
+    for k in order:
+        first, length = rows[k][3:]
+        held = [x for x in held if rows[x][3] + rows[x][4] > first]
+        for x in held:
+            shared = min(rows[x][3] + rows[x][4], first + length) - first
+            if 2 * shared >= min(rows[x][4], length) and worth[x] != worth[k]:
+                best[min(x, k, key=worth.__getitem__)] = False
+        held.append(k)
+    return best
+
+
 _FOUND = pa.schema(
     [
         ("doc_id", pa.int64()),
@@ -231,6 +255,7 @@ _FOUND = pa.schema(
         ("containment", pa.float64()),
         ("first_word", pa.int64()),
         ("n_words", pa.int32()),
+        ("best", pa.bool_()),
     ]
 )
 
@@ -252,10 +277,14 @@ def _scan(notices: tuple[tuple[str, str], ...], containment: float):
 
     def found_in(held, templates):
         texts = [words for _, words, _ in held]
-        for text, number, share, first, length in matches(texts, templates, containment):
+        for text, rows in groupby(matches(texts, templates, containment), itemgetter(0)):
+            rows = list(rows)
             doc_id, _, places = held[text]
-            first, last = int(places[first]), int(places[first + length - 1])
-            yield doc_id, templates.names[number], number, share, first, last - first + 1
+            for (_, number, share, first, length), best in zip(
+                rows, best_of_places(rows, templates), strict=True
+            ):
+                first, last = int(places[first]), int(places[first + length - 1])
+                yield doc_id, templates.names[number], number, share, first, last - first + 1, best
 
     return lambda batches: record_batches(rows(batches), _FOUND)
 
@@ -265,13 +294,14 @@ def scan_licenses(
     notices: tuple[tuple[str, str], ...] = NOTICES,
     containment: float = CONTAINMENT,
 ) -> DataFrame:
-    """Every notice found: (doc_id, license, template, containment, first_word, n_words).
+    """Every notice found: (doc_id, license, template, containment, first_word, n_words, best).
 
     Words are compared without case and punctuation, in shingles of three; a template of
     fewer words is one shingle. Words of punctuation only, such as the marks of a comment,
     are passed over, but first_word and n_words count all words of the text, from the first
     to the last one that the template has too. A template may be found several times in a
-    document, and two templates of similar wording at the same place.
+    document, and two templates of similar wording at the same place: best marks the one
+    with most shingles there, such as the version or the variant that the text names.
 
     Null and empty texts have no notices; a repeated row repeats its matches. No rows, or
     no notices, give no rows. Other columns are not read, and nothing is shuffled.
@@ -279,5 +309,5 @@ def scan_licenses(
     return docs.select("doc_id", "text").mapInArrow(
         _scan(tuple(notices), containment),
         "doc_id bigint, license string, template int, containment double, first_word bigint, "
-        "n_words int",
+        "n_words int, best boolean",
     )

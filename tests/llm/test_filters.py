@@ -140,6 +140,31 @@ def test_notices_in_direct_succession(docs):
         assert places == [k * sizes[doc_id] for k in range(times)]
 
 
+def test_similar_licenses_are_told_apart(docs):
+    gnu = (
+        "{} is free software: you can redistribute it and/or modify it under the terms of the GNU {} "
+        "as published by the Free Software Foundation, either version {} of the License, or (at your "
+        "option) any later version."
+    )
+    notices = license_scan.NOTICES
+    texts = {
+        "GPL-2.0-or-later": gnu.format("This program", "General Public License", "2"),
+        "GPL-3.0-or-later": gnu.format("This program", "General Public License", "3"),
+        "LGPL-3.0-or-later": gnu.format("This program", "Lesser General Public License", "3"),
+        "LGPL-2.1-or-later": gnu.format("This library", "Lesser General Public License", "2.1"),
+        "AGPL-3.0-or-later": gnu.format("This program", "Affero General Public License", "3"),
+        "BSD-2-Clause": next(t for n, t in notices if n == "BSD-2-Clause"),
+        "BSD-3-Clause": next(t for n, t in notices if n == "BSD-3-Clause").replace("copyright holder", "Foo", 1),
+    }
+    rows = list(enumerate(texts.values())) + [(100 + n, t) for n, (_, t) in enumerate(notices)]
+    wanted = dict(enumerate(texts)) | {100 + n: name for n, (name, _) in enumerate(notices)}
+    best = collections.defaultdict(set)
+    for r in license_scan.scan_licenses(docs(rows)).collect():
+        if r.best:
+            best[r.doc_id].add(r.license)
+    assert best == {k: {name} for k, name in wanted.items()}
+
+
 def base_counts(text):
     text = text or ""
     words = re.findall(WORD, text)
