@@ -16,12 +16,13 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linkweave.llm.components import connected_components
 from linkweave.llm.text import (
     GOLDEN,
+    WORD,
     WordHashes,
     mix,
     raw_words,
@@ -114,7 +115,7 @@ def weighted_jaccard(x: np.ndarray, y: np.ndarray) -> float:
 _SIGNED = pa.schema(
     [
         ("doc_id", pa.int64()),
-        ("key", pa.binary()),
+        ("node", pa.int64()),
         ("text_id", pa.int64()),
         ("weight", pa.int32()),
         ("bands", pa.list_(pa.int64())),
@@ -135,10 +136,11 @@ def _signed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     continue
                 cells = weighted_cells(shingles(words, SHINGLE_WORDS))
                 bands = band_hashes(dart_signature(cells, BANDS * ROWS))
-                key = hashlib.md5(words.tobytes()).digest()
-                # The same number as in _texts_of_nodes: Spark hashes with seed 42.
+                digest = hashlib.md5(words.tobytes()).digest()
+                node = int.from_bytes(digest[:8], "little", signed=True)
+                # The same number as _text_id: Spark hashes with seed 42.
                 text_id = -(xxhash.xxh64_intdigest(text.encode(), 42) >> 1)
-                yield doc_id, key, text_id, len(cells), bands
+                yield doc_id, node, text_id, len(cells), bands
 
     return record_batches(rows(), _SIGNED)
 
@@ -347,36 +349,29 @@ def _further_links(
     )
 
 
-def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """Class of each document: (doc_id, class_id, n_shingles), a row per input row.
+def _text_id() -> Column:
+    return -F.shiftrightunsigned(F.xxhash64("text"), 1)
 
-    Two documents are linked if the multisets of their five-word shingles (words in lower
-    case; a shorter text is one shingle) have a weighted Jaccard similarity of at least
-    `similarity`. A class is what links connect; its id is its least doc_id.
 
-    Texts with the same words are one node throughout. In each bucket every node is
-    checked against the first one; nodes of a bucket that are then still in different
-    classes are checked against each other, so that no link between classes is lost. A
-    node has as many classes in a bucket to be checked against as it has strangers there:
-    that work grows with their number times the bucket's size, in tiles of bounded size.
+def _classes(docs: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows (doc_id, node, weight), nodes (node, class), and classes (class, first).
 
-    Documents without words (null, empty, blank) are alone: class_id is their doc_id. Rows
-    with the same words share a class, whatever their doc_id; texts whose least doc_id is
-    the same do too. Texts that occur only in rows without a doc_id get a negative
-    class_id made from the text. No rows give no rows. Other columns are not read.
+    A node is a hash of a text's words, null without words; first is the row
+    (nameless, doc_id, text_id) that stands for a class, that with its least doc_id.
     """
     signed = settled(
         docs.select("doc_id", "text").mapInArrow(
             _signed,
-            "doc_id bigint, key binary, text_id bigint, weight int, bands array<bigint>",
+            "doc_id bigint, node bigint, text_id bigint, weight int, bands array<bigint>",
         ),
         "signed",
     )
+    row = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_id")
     nodes = settled(
-        signed.where(F.col("key").isNotNull())
-        .groupBy("key")
+        signed.where(F.col("node").isNotNull())
+        .groupBy("node")
         .agg(
-            F.coalesce(F.min("doc_id"), F.min("text_id")).alias("node"),
+            F.min(row).alias("first"),
             F.any_value("weight").alias("weight"),
             F.any_value("bands").alias("bands"),
         ),
@@ -392,7 +387,13 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
         .select("bucket", "root")
     )
     members = settled(lookup(banded, roots, "bucket", ["node"]), "members")
-    texts = _texts_of_nodes(docs, members.select("node").distinct())
+    wanted = nodes.select("node", "first").join(members.select("node").distinct(), "node", "left_semi")
+    texts = settled(
+        _rows_of(docs.select("doc_id", "text"), settled(wanted, "wanted"))
+        .groupBy("node")
+        .agg(F.any_value("text").alias("text")),
+        "texts",
+    )
 
     links = verified_links(_star_pairs(members, similarity), texts, similarity)
     classes = connected_components(links)
@@ -400,45 +401,92 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     if more.limit(1).count():
         classes = connected_components(settled(links.unionAll(more), "all-links"))
 
-    found = settled(
-        nodes.select("key", "node")
+    placed = settled(
+        nodes.select("node", "first")
         .join(classes, "node", "left")
-        .select("key", F.coalesce("class", "node").alias("class_id")),
+        .select("node", F.coalesce("class", "node").alias("class"), "first"),
         "classes",
     )
+    firsts = settled(placed.groupBy("class").agg(F.min("first").alias("first")), "firsts")
+    return signed, placed.select("node", "class"), firsts
+
+
+def _rows_of(docs: DataFrame, firsts: DataFrame) -> DataFrame:
+    """The rows of `docs` with the doc_id and text of a `first`, next to the other columns."""
+    others = [c for c in firsts.columns if c != "first"]
+    table = firsts.select(
+        *others, F.col("first.doc_id").alias("__doc_id"), F.col("first.text_id").alias("__first")
+    )
+    return (
+        docs.withColumn("__text_id", _text_id())
+        .join(
+            sent_if_small(table),
+            F.col("doc_id").eqNullSafe(F.col("__doc_id")) & (F.col("__text_id") == F.col("__first")),
+        )
+        .drop("__doc_id", "__first")
+    )
+
+
+def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """Class of each document: (doc_id, class_id, n_shingles), a row per input row.
+
+    Two documents are linked if the multisets of their five-word shingles (words in lower
+    case; a shorter text is one shingle) have a weighted Jaccard similarity of at least
+    `similarity`. A class is what links connect; its id is its least doc_id.
+
+    Texts with the same words are one node throughout. In each bucket every node is
+    checked against the first one; nodes of a bucket that are then still in different
+    classes are checked against each other, so that no link between classes is lost. A
+    node has as many classes in a bucket to be checked against as it has strangers there:
+    that work grows with their number times the bucket's size, in tiles of bounded size.
+
+    Documents without words (null, empty, blank) are alone: class_id is their doc_id. Rows
+    with the same words share a class, whatever their doc_id; unlike texts do not, even with
+    the same doc_id. Of several classes with the same least doc_id one has it as its id. The
+    others, and those of rows without a doc_id, get a negative class_id made from a text.
+    No rows give no rows. Other columns are not read.
+    """
+    signed, of_node, firsts = _classes(docs, similarity)
+    clashes = settled(
+        firsts.where(F.col("first.doc_id").isNotNull())
+        .groupBy(F.col("first.doc_id").alias("least"))
+        .agg(F.min("class").alias("owner"), F.count(F.lit(1)).alias("n"))
+        .where(F.col("n") > 1)
+        .select("least", "owner"),
+        "clashes",
+    )
+    least, other = F.col("first.doc_id").alias("least"), F.col("first.text_id").alias("other")
+    named = settled(
+        lookup(firsts.select("class", least, other), clashes, "least", ["class"], "left").select(
+            "class",
+            F.when(F.coalesce("owner", "class") == F.col("class"), F.coalesce("least", "other"))
+            .otherwise(F.col("other"))
+            .alias("class_id"),
+        ),
+        "named",
+    )
+    found = settled(
+        lookup(of_node, named, "class", ["node"]).select("node", "class_id"), "class-ids"
+    )
     placed = lookup(
-        signed.select("doc_id", "key", F.col("weight").alias("n_shingles")),
-        found, "key", ["doc_id"], "left",
+        signed.select("doc_id", "node", F.col("weight").alias("n_shingles")),
+        found, "node", ["doc_id"], "left",
     )
     return placed.select(
         "doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), "n_shingles"
     )
 
 
-def _texts_of_nodes(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, text) of the nodes, each text of a node once."""
-    text_id = -F.shiftrightunsigned(F.xxhash64("text"), 1)
-    return settled(
-        docs.where(F.col("text").isNotNull())
-        .select(F.coalesce("doc_id", text_id).alias("node"), "text")
-        .join(sent_if_small(nodes), "node", "left_semi")
-        .groupBy("node", F.md5("text").alias("__text"))
-        .agg(F.any_value("text").alias("text"))
-        .select("node", "text"),
-        "texts",
-    )
-
-
 def deduplicate(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """One row of each class of `near_duplicates`, all columns kept.
 
-    It is the row with the class's least doc_id; of several such rows any one that is
-    least in all columns. Rows without words and without a doc_id stay.
+    It is the row with the class's least doc_id, rows without a doc_id last; of several rows
+    that are equal in doc_id and text any one. Rows without words stay, those with the same
+    doc_id and text once; without a doc_id all of them stay.
     """
-    classes = near_duplicates(docs, similarity)
-    kept = settled(
-        classes.where(F.col("doc_id") == F.col("class_id")).select("doc_id").distinct(), "kept"
-    )
-    with_id = docs.join(kept, "doc_id", "left_semi")
-    without = docs.where(F.col("doc_id").isNull())
-    return with_id.dropDuplicates(["doc_id"]).unionByName(without)
+    *_, firsts = _classes(docs, similarity)
+    with_words = _rows_of(docs, firsts.select("first"))
+    blank = docs.where(~F.coalesce("text", F.lit("")).rlike(WORD))
+    with_id = blank.where(F.col("doc_id").isNotNull()).withColumn("__text_id", _text_id())
+    kept = with_words.unionByName(with_id).dropDuplicates(["doc_id", "__text_id"]).drop("__text_id")
+    return kept.unionByName(blank.where(F.col("doc_id").isNull()))

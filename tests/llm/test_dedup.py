@@ -83,6 +83,25 @@ def test_near_duplicates(docs):
     assert near_dedup.near_duplicates(docs(rows).limit(0)).count() == 0
 
 
+def test_repeated_and_missing_ids(docs):
+    base = words(4, 200)
+    rows = [(7, " ".join(words(n, 60))) for n in range(20, 40)]
+    rows += [(None, near_copy(base, n, 1)) for n in range(6)] + [(None, " ".join(base))] * 3
+    rows += [(8, " ".join(words(50, 60))), (None, " ".join(words(50, 60))), (8, " ".join(words(50, 60)))]
+    rows += [(None, ""), (None, None), (7, ""), (7, None), (7, None)]
+    table = docs(rows)
+    found = near_dedup.near_duplicates(table).collect()
+    with_words = [r.class_id for r in found if r.n_shingles]
+    assert len(found) == len(rows) and len(set(with_words)) == 20 + 1 + 1
+    assert {r.class_id for r in found if r.n_shingles and r.doc_id == 7} >= {7}
+    kept = near_dedup.deduplicate(table)
+    assert kept.columns == table.columns
+    got = collections.Counter((r.doc_id, r.text) for r in kept.collect())
+    nameless = [key for key in got if key[0] is None and key[1]]
+    assert len(nameless) == 1 and set(got.values()) == {1}
+    assert got.keys() - set(nameless) == {k for k in rows if k[0] is not None or not k[1]}
+
+
 def test_strangers_in_a_large_bucket_are_linked(docs, monkeypatch):
     """Copies too far from the first one are linked among themselves, tile by tile."""
     base = words(5, 150)
