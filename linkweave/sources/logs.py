@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,7 +17,7 @@ def is_regex(spark: SparkSession, pattern: str) -> bool:
     """Whether the pattern is a regular expression as Spark understands them."""
     try:
         spark._jvm.java.util.regex.Pattern.compile(pattern)
-    except Py4JJavaError:
+    except (Py4JJavaError, PySparkException):
         return False
     return True
 

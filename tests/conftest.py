@@ -5,6 +5,8 @@ import pytest
 
 sys.path.insert(0, str(pathlib.Path(__file__).resolve().parents[1]))
 
+from example_rows import ACTIONS  # noqa: E402
+
 from linkweave.session import local_session  # noqa: E402
 
 
@@ -21,19 +23,6 @@ def spark():
     session.stop()
 
 
-# The 20 example actions, in file order.
-PURCHASES = ["u1 iphone", "u1 ipad", "u2 nexus", "u2 galaxy", "u3 surface", "u4 iphone", "u4 galaxy"]
-VIEWS = [
-    "u1 iphone", "u1 ipad", "u1 nexus", "u1 galaxy", "u2 iphone", "u2 ipad", "u2 nexus",
-    "u2 galaxy", "u3 surface", "u3 nexus", "u4 iphone", "u4 ipad", "u4 galaxy",
-]
-ACTIONS = [
-    (user, action, item)
-    for action, rows in (("purchase", PURCHASES), ("view", VIEWS))
-    for user, item in (row.split() for row in rows)
-]
-
-
 @pytest.fixture(scope="session")
 def example_log(spark):
     from pyspark.sql import functions as F

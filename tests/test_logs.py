@@ -1,7 +1,7 @@
 """Reading logs: file choice, parsing, bad lines, and the text forms of the tables."""
 
 import pytest
-from conftest import ACTIONS
+from example_rows import ACTIONS
 from pyspark.sql import functions as F
 
 from linkweave.config import UpdateConfig
