@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
+import numpy as np
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +16,7 @@ from linkweave.llm import (
     lm_score,
     mixing,
     near_dedup,
+    periodic_runs,
     quality_model,
     quality_rules,
     sharding,
@@ -107,3 +110,31 @@ def op10_token_records(spark, sf_dir):
         _table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY)
     )
     return read.select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+def planted_period(doc_id: int | None, n: int) -> np.ndarray | None:
+    """Word order of op11: in a tenth of the texts the rest from some word on is periodic."""
+    spread = zlib.crc32(str(doc_id).encode()) if doc_id is not None else 1
+    if spread % 10 or not n:
+        return None
+    first = spread // 10 % n
+    period = 1 + (n - first) // (3 + spread // 10 % 8)
+    order = np.arange(n)
+    order[first:] = first + (order[first:] - first) % period
+    return order
+
+
+@query
+def op11_periodic_runs(spark, sf_dir):
+    found = periodic_runs.periodic_runs(_table(spark, sf_dir, "documents"), planted_period)
+    longest = found.withColumn("longest", periodic_runs.longest_run(F.col("runs")))
+    return longest.select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        "longest.start",
+        "longest.length",
+        "longest.period",
+        F.floor(1000 * F.col("longest.length") / F.col("longest.period")).alias("exponent_milli"),
+        F.sha2(periodic_runs.run_lines(F.col("runs")), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
