@@ -17,6 +17,7 @@ from linkweave.llm import (
     mixing,
     near_dedup,
     periodic_runs,
+    personal_data,
     prefix_trie,
     quality_model,
     quality_rules,
@@ -141,6 +142,24 @@ def op11_periodic_runs(spark, sf_dir):
     )
 
 
+@query
+def op12_personal_data(spark, sf_dir):
+    """The counts and the digest are those of the fixed patterns; n_added is the field's share."""
+    field = personal_data.train_field(personal_data.labelled_table(spark))
+    found = personal_data.personal_data(_table(spark, sf_dir, "documents"), field)
+
+    def count(kind: str):
+        return F.size(F.filter("patterns", lambda s: s["kind"] == kind)).cast("bigint")
+
+    return found.select(
+        "doc_id",
+        *[count(kind).alias(f"n_{kind}") for kind in personal_data.KINDS],
+        F.sha2(personal_data.span_text(F.col("patterns")), 256).alias("base_sha256"),
+        personal_data.span_text(F.col("spans")).alias("spans"),
+        (F.size("spans") - F.size("patterns")).cast("bigint").alias("n_added"),
+    )
+
+
 # Fixed values of op13: conversations of a group, and how many lengths an opening can have.
 TRIE_GROUP, TRIE_OPENINGS = 100, 6
 
