@@ -15,6 +15,7 @@ class UpdateConfig:
     action_col: int = 1
     item_col: int = 2
     ts_col: int = -1
+    value_col: int = -1  # column of a preference's value; -1 means that all are 1
     ts_type: str = "bigint"  # or timestamp; a time that is none makes a bad line
 
     primary_action: str = "purchase"

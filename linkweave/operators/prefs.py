@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from linkweave.operators.ranking import top_k
 from linkweave.operators.skew import group_sizes, lookup
 
+# Type of the values of preferences.
+VALUE = "decimal(18,6)"
+
 PRIMARY, SECONDARY, OTHER = "primary", "secondary", "other"
 
 
@@ -19,9 +22,13 @@ def role_of(action: Column, primary: str, secondary: str) -> Column:
 
 
 def split_actions(log: DataFrame, primary: str, secondary: str) -> DataFrame:
-    """The log with a `role` and the constant preference weight; repeats are kept."""
+    """The log with a `role` and the preference weight; repeats are kept.
+
+    The weight is the `value` of a log that has values, and 1 otherwise.
+    """
+    weight = F.col("value").cast("double") if "value" in log.columns else F.lit(1.0)
     return log.withColumn("role", role_of(F.col("action"), primary, secondary)).withColumn(
-        "weight", F.lit(1.0)
+        "weight", weight
     )
 
 
@@ -45,6 +52,19 @@ def history_matrix(prefs: DataFrame) -> DataFrame:
     return prefs.select("user_id", "item_id").distinct()
 
 
+def valued_matrix(prefs: DataFrame, value: str = "weight", order: str | None = None) -> DataFrame:
+    """(user_id, item_id, value) with each pair once.
+
+    Of a repeated preference the last one by `order` counts, without an order the greatest.
+    Values are kept to six decimal places, so that their sums do not depend on the order of
+    addition. A preference without a value, or with the value 0, is none.
+    """
+    kept = F.col(value).cast(VALUE)
+    one = F.max(kept) if order is None else F.max_by(kept, F.struct(F.col(order), kept))
+    valued = prefs.where(kept.isNotNull()).groupBy("user_id", "item_id").agg(one.alias("value"))
+    return valued.where(F.col("value") != 0)
+
+
 def min_prefs(history: DataFrame, at_least: int) -> DataFrame:
     """Keep the users with at least so many distinct items.
 

@@ -9,6 +9,7 @@ each task adds up its terms by cell before the shuffle to the result.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -52,25 +53,25 @@ def _entries(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     return df.select(*[column.alias(name) for name, column in columns.items()])
 
 
-def pair_counts(
+def _pairs(
     entries: DataFrame,
     shared: str,
     item: str,
-    item_size: str | None = None,
-    summary: GroupSummary | None = None,
-    tile: int = TILE,
+    carried: list[str],
+    summary: GroupSummary | None,
+    tile: int,
+    wanted: Callable[[], Column] | None = None,
 ) -> DataFrame:
-    """Count, for each two items, the shared rows that hold both.
+    """A row (low, high, c_low, c_high for each carried c) for each shared row of a pair.
 
-    `entries` has each (shared, item) once, and is best a written table: unless the
-    `summary` of its rows is given, a job looks it up first. The result has each pair once,
-    as (low, high, n_both) with low < high. With `item_size`, a column that is constant per
-    item, also (n_low, n_high).
+    `wanted` is a condition on these columns that holds or fails for a pair as a whole;
+    other pairs are dropped as they are made, before anything is added up or shuffled.
     """
-    columns = {"__shared": F.col(shared), "__item": F.col(item)}
-    if item_size:
-        columns["__n"] = F.col(item_size)
-    rows = _entries(entries, columns)
+    rows = _entries(
+        entries,
+        {"__shared": F.col(shared), "__item": F.col(item)}
+        | {f"__c_{c}": F.col(c) for c in carried},
+    )
     summary = summary or group_summary(entries, shared)
     tasks = _tasks(entries, summary.squares / 2)
     keys = ["__shared"]
@@ -78,30 +79,78 @@ def pair_counts(
     if summary.largest > tile:
         keys = ["__shared", "__a", "__b"]
         left, right = _pair_tiles(rows, tile)
-    names = [c for c in ("__item", "__n") if c in rows.columns]
+    names = ["__item", *[f"__c_{c}" for c in carried]]
     left = left.select(*keys, *[F.col(c).alias(f"{c}_x") for c in names])
     right = right.select(*keys, *[F.col(c).alias(f"{c}_y") for c in names])
 
     in_order = F.col("__item_x") < F.col("__item_y")
     pairs = left.repartition(tasks, *keys).join(right.repartition(tasks, *keys), keys)
     ends = {
-        "low": F.col("__item_x"),
-        "high": F.col("__item_y"),
-        "n_low": F.col("__n_x") if item_size else None,
-        "n_high": F.col("__n_y") if item_size else None,
+        name: (F.col(f"{c}_x"), F.col(f"{c}_y"))
+        for name, c in zip(["", *[f"{c}_" for c in carried]], names, strict=True)
     }
     if summary.largest <= tile:
         pairs = pairs.where(in_order)
     else:
         # Two different chunks meet once only, with their items in either order.
         pairs = pairs.where(in_order | (F.col("__a") != F.col("__b")))
-        ends["low"], ends["high"] = _oriented(in_order, ends["low"], ends["high"])
-        if item_size:
-            ends["n_low"], ends["n_high"] = _oriented(in_order, ends["n_low"], ends["n_high"])
+        ends = {name: _oriented(in_order, x, y) for name, (x, y) in ends.items()}
+    found = pairs.select(
+        *[x.alias(f"{name}low") for name, (x, _) in ends.items()],
+        *[y.alias(f"{name}high") for name, (_, y) in ends.items()],
+    )
+    return found.where(wanted()) if wanted else found
+
+
+def pair_counts(
+    entries: DataFrame,
+    shared: str,
+    item: str,
+    item_size: str | None = None,
+    summary: GroupSummary | None = None,
+    tile: int = TILE,
+    wanted: Callable[[], Column] | None = None,
+) -> DataFrame:
+    """Count, for each two items, the shared rows that hold both.
+
+    `entries` has each (shared, item) once, and is best a written table: unless the
+    `summary` of its rows is given, a job looks it up first. The result has each pair once,
+    as (low, high, n_both) with low < high. With `item_size`, a column that is constant per
+    item, also (n_low, n_high); `wanted` may then be a condition on the columns
+    `<item_size>_low` and `<item_size>_high` that pairs have to meet.
+    """
+    carried = [item_size] if item_size else []
+    pairs = _pairs(entries, shared, item, carried, summary, tile, wanted)
     totals = [F.count(F.lit(1)).alias("n_both")]
     if item_size:
-        totals += [F.max(ends[c]).alias(c) for c in ("n_low", "n_high")]
-    return pairs.groupBy(ends["low"].alias("low"), ends["high"].alias("high")).agg(*totals)
+        totals += [F.max(f"{item_size}_{end}").alias(f"n_{end}") for end in ("low", "high")]
+    return pairs.groupBy("low", "high").agg(*totals)
+
+
+def pair_sums(
+    entries: DataFrame,
+    shared: str,
+    item: str,
+    value: str,
+    constants: list[str],
+    summary: GroupSummary | None = None,
+    tile: int = TILE,
+) -> DataFrame:
+    """Sums over the shared rows of each two items, made like `pair_counts`.
+
+    (low, high, n_both, dot, shared_low, shared_high, <c>_low, <c>_high): the number of
+    shared rows, the sum of the products of their values, the sums of either item's values
+    in them, and the `constants` of either item.
+    """
+    pairs = _pairs(entries, shared, item, [value, *constants], summary, tile)
+    low, high = F.col(f"{value}_low"), F.col(f"{value}_high")
+    return pairs.groupBy("low", "high").agg(
+        F.count(F.lit(1)).alias("n_both"),
+        F.sum(low * high).alias("dot"),
+        F.sum(low).alias("shared_low"),
+        F.sum(high).alias("shared_high"),
+        *[F.max(f"{c}_{end}").alias(f"{c}_{end}") for c in constants for end in ("low", "high")],
+    )
 
 
 def _oriented(in_order: Column, x: Column, y: Column) -> tuple[Column, Column]:
@@ -132,13 +181,16 @@ def matrix_product(
     left_value: str | None = None,
     right_value: str | None = None,
     tile: int = TILE,
+    sums: dict[str, Callable[[Column, Column], Column]] | None = None,
 ) -> DataFrame:
     """Sum of products over the shared dimension, as (row, col, value, n_terms).
 
     `left` has each (shared, row) once and `right` each (shared, col). A side without a
-    value column counts as 1 per entry. Both are best written tables: the sizes of their
-    rows are looked up first.
+    value column counts as 1 per entry. `sums` replaces the one sum by others, each of a
+    function of the two values. Both sides are best written tables: the sizes of their rows
+    are looked up first.
     """
+    sums = sums or {"value": lambda v, w: v * w}
     one = F.lit(1).cast("bigint")
     lhs = _entries(
         left,
@@ -168,7 +220,7 @@ def matrix_product(
         .join(rhs.repartition(tasks, *keys), keys)
         .groupBy(F.col("__row").alias(row), F.col("__col").alias(col))
         .agg(
-            F.sum(F.col("__v") * F.col("__w")).alias("value"),
+            *[F.sum(f(F.col("__v"), F.col("__w"))).alias(name) for name, f in sums.items()],
             F.count(F.lit(1)).alias("n_terms"),
         )
     )

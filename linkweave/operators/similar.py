@@ -5,10 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkweave.functions.similarity import Measure, dependent, log_likelihood, resolve
-from linkweave.operators.product import matrix_product, pair_counts
+from linkweave.functions.similarity import (
+    VALUE_MEASURES,
+    Measure,
+    PairSums,
+    ValueMeasure,
+    dependent,
+    log_likelihood,
+    resolve,
+)
+from linkweave.operators.product import matrix_product, pair_counts, pair_sums
 from linkweave.operators.ranking import top_k
-from linkweave.operators.skew import group_summary, with_group_size
+from linkweave.operators.skew import group_summary, lookup, with_group_size
+
+# Type of the sums of values of one item.
+SUM = "decimal(38,12)"
 
 
 def _both_ways(pairs: DataFrame, *carried: str) -> DataFrame:
@@ -54,6 +65,40 @@ def item_similarity(
     return _both_ways(scored, "n_both", "score")
 
 
+def value_similarity(
+    matrix: DataFrame,
+    measure: str | ValueMeasure = "SIMILARITY_COSINE",
+    threshold: float | None = None,
+) -> DataFrame:
+    """Score of each pair from the values of its preferences, as `item_similarity` gives it.
+
+    `matrix` is (user_id, item_id, value) as `prefs.valued_matrix` makes it, best a written
+    table. Sums, sums of squares and products are exact decimals, made in one pass over the
+    pairs of each user; the sums per item travel with the entries.
+    """
+    if not callable(measure) and measure not in VALUE_MEASURES:
+        raise ValueError(f"{measure!r} has no form for values; known: {sorted(VALUE_MEASURES)}")
+    score = measure if callable(measure) else VALUE_MEASURES[measure]
+    summary = group_summary(matrix, "user_id")
+    per_item = matrix.groupBy("item_id").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum("value").cast(SUM).alias("sum"),
+        F.sum(F.col("value") * F.col("value")).cast(SUM).alias("squares"),
+    )
+    entries = lookup(matrix, per_item, "item_id", ["user_id"])
+    sums = pair_sums(entries, "user_id", "item_id", "value", ["n", "sum", "squares"], summary)
+    names = [
+        "n_both", "dot", "shared_low", "shared_high", "n_low", "n_high", "sum_low", "sum_high",
+        "squares_low", "squares_high",
+    ]
+    value = score(PairSums(*[F.col(c).cast("double") for c in names]))
+    scored = sums.select("low", "high", "n_both", F.explode(F.array(value)).alias("score"))
+    scored = scored.where(F.col("score").isNotNull() & (F.col("score") != 0))
+    if threshold is not None:
+        scored = scored.where(F.col("score") >= threshold)
+    return _both_ways(scored, "n_both", "score")
+
+
 def top_similar(similarity: DataFrame, k: int, score: str = "score") -> DataFrame:
     """The k strongest partners of each item, ties by the greater id."""
     order = [F.desc(score), F.desc("other_item_id")]

@@ -50,8 +50,25 @@ MEASURES = {
     "euclidean": "1.0 / (1.0 + sqrt(n_i + n_j - 2 * k))",
     "city_block": "1.0 / (1.0 + n_i + n_j - 2 * k)",
     "own_measure": "k / least(n_i, n_j)",
+    "count": "k",
 }
 
+BITS, LIMB = 30, "1073741824.0"
+
+
+def _exact_sum(x: str, top: str = "0") -> str:
+    """Sum of scores up to 2**top, in three whole numbers of 30 bits each."""
+    rest, parts = f"(({x}) * pow(2.0, {BITS} - ({top})))", []
+    for _ in range(3):
+        parts.append(f"floor({rest})")
+        rest = f"(({rest} - floor({rest})) * {LIMB})"
+    first, second, third = (f"CAST(sum(CAST({p} AS BIGINT)) AS DOUBLE)" for p in parts)
+    return f"((({third} / {LIMB} + {second}) / {LIMB} + {first}) * pow(2.0, ({top}) - {BITS}))"
+
+
+def _power(x: str, table: str) -> str:
+    return f"(SELECT ceil(log2(greatest(1.0, max(abs({x}))))) FROM {table})"
+
 
 def _units(x: str) -> str:
     return f"CAST(floor(({x}) * 4294967296.0 + 0.5) AS BIGINT)"
@@ -90,8 +107,10 @@ def _best(source: str, score: str, columns: str, n: int = TOP, key: str = "user_
 
 CROSS_RECS = """xr AS (SELECT a.user_id, ba.item_id, CAST(sum(n_users) AS DOUBLE) AS score
   FROM a JOIN ba ON ba.other_item_id = a.item_id GROUP BY 1, 2)"""
-PRIMARY_RECS = f"""pr AS (SELECT b.user_id, l.item_id, count(*) AS n_terms,
-  CAST(sum({_units('score')}) AS DOUBLE) / 4294967296.0 AS score
+TOPS = f"tops AS (SELECT {_power('score', 'links')} AS top)"
+PRIMARY_RECS = f"""{TOPS},
+pr AS (SELECT b.user_id, l.item_id, count(*) AS n_terms,
+  {_exact_sum('score', '(SELECT top FROM tops)')} AS score
   FROM b JOIN links l ON l.other_item_id = b.item_id
   WHERE NOT EXISTS (SELECT 1 FROM b k WHERE k.user_id = b.user_id AND k.item_id = l.item_id)
   GROUP BY 1, 2)"""
@@ -136,6 +155,52 @@ def _sim_query(measure: str) -> str:
     )
 
 
+# Preferences with values. Quantities are whole numbers, so that these sums are exact.
+VALUES = """ev AS (SELECT o_custkey AS user_id, l_partkey AS item_id, l_quantity AS quantity
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_returnflag = 'N'),
+b AS (SELECT user_id, item_id, max(quantity) AS value FROM ev GROUP BY 1, 2),
+st AS (SELECT item_id, CAST(count(*) AS DOUBLE) AS n, sum(value) AS s, sum(value * value) AS q
+  FROM b GROUP BY 1),
+prs AS (SELECT x.item_id AS low, y.item_id AS high, count(*) AS n_both,
+    sum(x.value * y.value) AS dot, sum(x.value) AS s_i, sum(y.value) AS s_j
+  FROM b x JOIN b y ON x.user_id = y.user_id AND x.item_id < y.item_id GROUP BY 1, 2)"""
+
+VALUE_MEASURES = {
+    "cosine": "dot / sqrt(i.q * j.q)",
+    "euclidean": "1.0 / (1.0 + sqrt(greatest(0.0, i.q + j.q - 2.0 * dot)))",
+    "pearson": """CASE WHEN (i.q - i.s * (i.s / i.n)) * (j.q - j.s * (j.s / j.n)) > 0 THEN
+      (dot - (i.s / i.n) * s_j - (j.s / j.n) * s_i + CAST(n_both AS DOUBLE) * (i.s / i.n) * (j.s / j.n))
+      / sqrt((i.q - i.s * (i.s / i.n)) * (j.q - j.s * (j.s / j.n))) END""",
+}
+
+
+def _value_sims(measure: str) -> str:
+    return VALUES + f""",
+one AS (SELECT low, high, n_both, {VALUE_MEASURES[measure]} AS score FROM prs
+  JOIN st i ON i.item_id = low JOIN st j ON j.item_id = high),
+sims AS (SELECT low AS item_id, high AS other_item_id, n_both, score FROM one WHERE score <> 0
+  UNION ALL SELECT high, low, n_both, score FROM one WHERE score <> 0)"""
+
+
+def _value_query(measure: str) -> str:
+    return _with(_value_sims(measure), "SELECT item_id, other_item_id, n_both, score FROM sims")
+
+
+def _value_recs(score: str, least: int) -> str:
+    return _with(
+        _value_sims("cosine"), _top("links", "sims", "score"),
+        f"tops AS (SELECT {_power('score', 'links')} AS top, {_power('value', 'b')} AS more)",
+        f"""pr AS (SELECT b.user_id, l.item_id, count(*) AS n_terms,
+          {_exact_sum('value * score', '(SELECT top + more FROM tops)')} AS total,
+          {_exact_sum('abs(score)', '(SELECT top FROM tops)')} AS size
+        FROM b JOIN links l ON l.other_item_id = b.item_id
+        WHERE NOT EXISTS (SELECT 1 FROM b k WHERE k.user_id = b.user_id AND k.item_id = l.item_id)
+        GROUP BY 1, 2),
+        sc AS (SELECT user_id, item_id, {score} AS score FROM pr WHERE n_terms >= {least})""",
+        _best("sc", "score", SCORE_COLUMNS),
+    )
+
+
 SQL: dict[str, str] = {
     "scan_logs": _with(EVENTS, f"SELECT {LINE} AS line FROM ev"),
     "scan_file_pattern": _with(
@@ -266,6 +331,22 @@ SQL: dict[str, str] = {
     "primary_recs": _with(
         EVENTS, EVENT_B, LINKS, PRIMARY_RECS, _best("pr", "score", SCORE_COLUMNS)
     ),
+    "valued_prefs": _with(
+        """ev AS (SELECT event_id, user_id, value,
+          CAST(json_extract_string(props, '$.k') AS INTEGER) AS item_id
+        FROM events WHERE event_type = 'purchase')""",
+        """SELECT user_id AS user_int, CAST(item_id AS BIGINT) AS item_int,
+        arg_max(value, event_id) AS weight FROM ev GROUP BY 1, 2""",
+    ),
+    "sim_values_cosine": _value_query("cosine"),
+    "sim_values_euclidean": _value_query("euclidean"),
+    "sim_values_pearson": _value_query("pearson"),
+    "primary_recs_values": _value_recs("total", 1),
+    "primary_recs_values_average": _value_recs("total / size", 2),
+    "primary_recs_counts": _with(
+        EVENTS, EVENT_B, _sims("count"), _top("links", "sims", "score"), PRIMARY_RECS,
+        _best("pr", "score", SCORE_COLUMNS),
+    ),
     "primary_recs_weighted_average": _with(
         EVENTS, EVENT_B, LINKS, PRIMARY_RECS,
         """wa AS (SELECT user_id, item_id, CAST(1 AS DOUBLE) AS score FROM pr
@@ -274,7 +355,7 @@ SQL: dict[str, str] = {
     ),
     "blended_recs": _with(
         EVENTS, EVENT_B, EVENT_A, LINKS, PRIMARY_RECS, CROSS, CROSS_RECS,
-        f"""SELECT user_id, item_id, CAST(sum({_units('score')}) AS DOUBLE) / 4294967296.0 AS score
+        """SELECT user_id, item_id, sum(score) AS score
         FROM (SELECT user_id, item_id, score FROM pr
           UNION ALL SELECT user_id, item_id, score FROM xr) GROUP BY 1, 2""",
     ),

@@ -103,7 +103,7 @@ def parse_logs(spark, sf_dir):
 
 @query
 def split_actions(spark, sf_dir):
-    return prefs.split_actions(event_log(spark, sf_dir), *EVENT_ROLES).select(
+    return prefs.split_actions(event_log(spark, sf_dir).drop("value"), *EVENT_ROLES).select(
         "role", "user_id", "item_id", "weight"
     )
 
@@ -260,6 +260,64 @@ def sim_threshold(spark, sf_dir):
     ).drop("n_both")
 
 
+# Preferences with values
+
+
+@query
+def valued_prefs(spark, sf_dir):
+    """The last value by event of each user and item, written as text with its weight and read."""
+    bought = event_log(spark, sf_dir).where(F.col("action") == EVENT_ROLES[0])
+    matrix = prefs.valued_matrix(bought, "value", "event_id")
+    path = scratch_path(spark, "valued-prefs")
+    numbered = matrix.select(
+        F.col("user_id").alias("user_int"),
+        F.col("item_id").alias("item_int"),
+        F.col("value").alias("weight"),
+        F.lit(EVENT_ROLES[0]).alias("action_dir"),
+    )
+    tables.write_prefs_text(numbered, path)
+    return tables.read_prefs_text(spark, path).drop("action_dir")
+
+
+def _order_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return settled(inputs.order_values(spark, sf_dir))
+
+
+def _value_query(measure: str) -> Query:
+    return lambda spark, sf_dir: similar.value_similarity(_order_values(spark, sf_dir), measure)
+
+
+QUERIES |= {
+    "sim_values_cosine": _value_query("SIMILARITY_COSINE"),
+    "sim_values_euclidean": _value_query("SIMILARITY_EUCLIDEAN"),
+    "sim_values_pearson": _value_query("SIMILARITY_PEARSON_CORRELATION"),
+}
+
+
+def _value_recs(spark: SparkSession, sf_dir: str, score_mode: str) -> DataFrame:
+    matrix = _order_values(spark, sf_dir)
+    links = settled(similar.top_similar(similar.value_similarity(matrix), TOP))
+    return recommend.primary_recs(links, matrix, TOP, score_mode, known=matrix, value="value")
+
+
+@query
+def primary_recs_values(spark, sf_dir):
+    return _value_recs(spark, sf_dir, "sum")
+
+
+@query
+def primary_recs_values_average(spark, sf_dir):
+    return _value_recs(spark, sf_dir, "weighted_average")
+
+
+@query
+def primary_recs_counts(spark, sf_dir):
+    """Links by the number of common users, whose sums have no upper bound."""
+    history = event_history(spark, sf_dir)
+    links = similar.top_similar(similar.item_similarity(history, "SIMILARITY_COOCCURRENCE"), TOP)
+    return recommend.primary_recs(settled(links), history, TOP, known=history)
+
+
 def _links(history: DataFrame, k: int = DOCUMENT_LINKS) -> DataFrame:
     """The links that the documents hold."""
     return similar.top_similar(similar.item_similarity(history), k).drop("n_both")

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkweave.config import UpdateConfig
+from linkweave.functions.similarity import MEASURES, VALUE_MEASURES
 from linkweave.functions.text import action_dir_name
 from linkweave.operators import documents as docs
 from linkweave.operators import ids, prefs, recommend, similar
@@ -29,7 +30,11 @@ def read_actions(spark: SparkSession, config: UpdateConfig) -> tuple[DataFrame,
     )
     if lines.isEmpty():
         raise ValueError(f"no lines in files like {config.file_pattern!r} at {config.input}")
-    options = {"keep_empty_ids": config.keep_empty_ids, "ts_type": config.ts_type}
+    options = {
+        "keep_empty_ids": config.keep_empty_ids,
+        "ts_type": config.ts_type,
+        "value_col": config.value_col,
+    }
     parsed = logs.parse_logs(
         lines, *columns, on_bad_line=config.on_bad_line, **options
     )
@@ -79,16 +84,32 @@ def split_log(spark: SparkSession, config: UpdateConfig) -> dict[str, DataFrame]
 
 
 def role_history(numbered: DataFrame, role: str, config: UpdateConfig, path: str) -> DataFrame:
-    """Distinct numbered (user_id, item_id) of one role, for users with enough of them."""
+    """Distinct numbered (user_id, item_id) of one role, for users with enough of them.
+
+    With values, also `value`: the last one in a timed log, else the greatest.
+    """
+    rest = [c for c in ("weight", "ts") if c in numbered.columns]
     chosen = numbered.where(F.col("role") == role).select(
-        F.col("user_int").alias("user_id"), F.col("item_int").alias("item_id")
+        F.col("user_int").alias("user_id"), F.col("item_int").alias("item_id"), *rest
     )
-    history = prefs.history_matrix(chosen)
+    if config.value_col >= 0:
+        history = prefs.valued_matrix(chosen, "weight", "ts" if "ts" in rest else None)
+    else:
+        history = prefs.history_matrix(chosen)
     if config.min_prefs_per_user > 1:
         history = prefs.min_prefs(settled(history), config.min_prefs_per_user)
     return tables.write_table(history, path)
 
 
+def similar_items(history: DataFrame, config: UpdateConfig) -> DataFrame:
+    """Scores of all pairs; from the values if there are any and the measure looks at them."""
+    history = capped(history, config.max_prefs_similarity)
+    by_value = config.similarity in VALUE_MEASURES or config.similarity not in MEASURES
+    if config.value_col >= 0 and by_value:
+        return similar.value_similarity(history, config.similarity, config.threshold)
+    return similar.item_similarity(history, config.similarity, config.threshold)
+
+
 def capped(history: DataFrame, cap: int | None) -> DataFrame:
     return history if cap is None else prefs.downsample_prefs(history, cap)
 
@@ -104,8 +125,10 @@ def recommendation_history(
     timed = numbered.where(F.col("role") == role).select(
         F.col("user_int").alias("user_id"), F.col("item_int").alias("item_id"), "ts"
     )
-    known = timed.join(history, ["user_id", "item_id"], "left_semi")
-    return prefs.recent_history(known, config.max_prefs_recs).drop("rank")
+    # With the history's values, where it has any.
+    known = timed.join(history, ["user_id", "item_id"])
+    recent = prefs.recent_history(known, config.max_prefs_recs).drop("rank")
+    return recent.join(history, ["user_id", "item_id"]) if "value" in history.columns else recent
 
 
 def primary_model(
@@ -114,11 +137,9 @@ def primary_model(
     """History, similar items and recommendations of the primary action."""
     out = config.output.rstrip("/")
     history = role_history(numbered, prefs.PRIMARY, config, f"{out}/actions/p-action")
-    scored = similar.item_similarity(
-        capped(history, config.max_prefs_similarity), config.similarity, config.threshold
-    )
     sims = tables.write_table(
-        similar.top_similar(scored, config.max_similar), f"{out}/p-recs/sims"
+        similar.top_similar(similar_items(history, config), config.max_similar),
+        f"{out}/p-recs/sims",
     )
     recs = recommend.primary_recs(
         sims,
@@ -126,6 +147,7 @@ def primary_model(
         config.recs_per_user,
         config.score_mode,
         history if config.exclude_known else None,
+        "value" if config.value_col >= 0 else None,
     )
     return {
         "p_history": history,

@@ -79,10 +79,13 @@ def _parsed(
     ts_col: int,
     keep_empty_ids: bool,
     ts_type: str,
+    value_col: int,
 ) -> DataFrame:
     wanted = {"user_id": user_col, "action": action_col, "item_id": item_col}
     if ts_col >= 0:
         wanted["ts"] = ts_col
+    if value_col >= 0:
+        wanted["value"] = value_col
     order = [c for c in LINE_ORDER if c in lines.columns]
     # As a generated column the split is done once, not again in the filter for bad lines.
     split = lines.select(
@@ -96,6 +99,8 @@ def _parsed(
     )
     if ts_col >= 0:
         rows = rows.withColumn("ts", F.col("ts").try_cast(ts_type))
+    if value_col >= 0:
+        rows = rows.withColumn("value", F.col("value").try_cast("double"))
     bad = F.lit(False)
     for name in wanted:
         bad = bad | F.col(name).isNull()
@@ -114,17 +119,19 @@ def parse_logs(
     on_bad_line: str = "fail",
     keep_empty_ids: bool = False,
     ts_type: str = "bigint",
+    value_col: int = -1,
 ) -> DataFrame:
-    """Actions (user_id, action, item_id[, ts], place in the log, raw) from a `value` column.
+    """Actions (user_id, action, item_id[, ts][, value], place in the log, raw) from lines.
 
-    The delimiter is a regex, and fields are trimmed. A line that lacks a column, or has
-    an empty id or a time that is no `ts_type`, stops the job (`fail`) or is left out (`drop`, `quarantine`; see
+    The lines are in the column `value`. The delimiter is a regex, and fields are trimmed.
+    A line that lacks a column, or has an empty id, a time that is no `ts_type` or a value
+    that is no number, stops the job (`fail`) or is left out (`drop`, `quarantine`; see
     `bad_lines` for the lines set aside).
     """
     if on_bad_line not in ("fail", "drop", "quarantine"):
         raise ValueError(f"unknown on_bad_line {on_bad_line!r}")
     rows = _parsed(
-        lines, delim, user_col, action_col, item_col, ts_col, keep_empty_ids, ts_type
+        lines, delim, user_col, action_col, item_col, ts_col, keep_empty_ids, ts_type, value_col
     )
     if on_bad_line == "fail":
         complaint = F.raise_error(F.concat(F.lit("bad log line: "), F.col("raw")))
@@ -143,10 +150,11 @@ def bad_lines(
     ts_col: int = -1,
     keep_empty_ids: bool = False,
     ts_type: str = "bigint",
+    value_col: int = -1,
 ) -> DataFrame:
     """The lines `parse_logs` leaves out."""
     rows = _parsed(
-        lines, delim, user_col, action_col, item_col, ts_col, keep_empty_ids, ts_type
+        lines, delim, user_col, action_col, item_col, ts_col, keep_empty_ids, ts_type, value_col
     )
     return rows.where("__bad").select(*[c for c in LINE_ORDER if c in rows.columns], "raw")
 
