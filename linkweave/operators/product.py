@@ -208,16 +208,9 @@ def matrix_product(
             "__w": F.col(right_value) if right_value else one,
         },
     )
-    keys = ["__shared"]
-    sizes = [group_summary(side, shared) for side in (left, right)]
-    if any(size.largest > tile for size in sizes):
-        keys = ["__shared", "__a", "__b"]
-        lhs, rhs = _product_tiles(lhs, rhs, tile)
-    # No more than this many terms, by the Cauchy-Schwarz inequality.
-    tasks = _tasks(left, math.sqrt(sizes[0].squares * sizes[1].squares))
+    lhs, rhs, keys = product_tiles(lhs, rhs, tile)
     return (
-        lhs.repartition(tasks, *keys)
-        .join(rhs.repartition(tasks, *keys), keys)
+        lhs.join(rhs, keys)
         .groupBy(F.col("__row").alias(row), F.col("__col").alias(col))
         .agg(
             *[F.sum(f(F.col("__v"), F.col("__w"))).alias(name) for name, f in sums.items()],
@@ -226,6 +219,23 @@ def matrix_product(
     )
 
 
+def product_tiles(
+    lhs: DataFrame, rhs: DataFrame, tile: int = TILE
+) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Both sides of a join on __shared, dealt to tasks by the rows it yields, and its keys.
+
+    `lhs` is (__shared, __row, __v) and `rhs` (__shared, __col, __w).
+    """
+    keys = ["__shared"]
+    sizes = [group_summary(side, "__shared") for side in (lhs, rhs)]
+    # No more than this many rows, by the Cauchy-Schwarz inequality.
+    tasks = _tasks(lhs, math.sqrt(sizes[0].squares * sizes[1].squares))
+    if any(size.largest > tile for size in sizes):
+        keys = ["__shared", "__a", "__b"]
+        lhs, rhs = _product_tiles(lhs, rhs, tile)
+    return lhs.repartition(tasks, *keys), rhs.repartition(tasks, *keys), keys
+
+
 def _product_tiles(
     lhs: DataFrame, rhs: DataFrame, tile: int
 ) -> tuple[DataFrame, DataFrame]:

@@ -15,8 +15,10 @@ from linkweave.functions.similarity import (
     resolve,
 )
 from linkweave.operators.product import matrix_product, pair_counts, pair_sums
+from linkweave.operators.pruning import pairs_above, pairs_for_top
 from linkweave.operators.ranking import top_k
-from linkweave.operators.skew import group_summary, lookup, with_group_size
+from linkweave.operators.skew import GroupSummary, group_summary, lookup, with_group_size
+from linkweave.session import settled
 
 # Type of the sums of values of one item.
 SUM = "decimal(38,12)"
@@ -45,24 +47,47 @@ def item_similarity(
 
     `history` is best a written table: its users are counted first. The users per item
     travel with the entries, since joining them to the pairs later would shuffle the far
-    larger table. Scores of zero are dropped.
+    larger table. Scores of zero are dropped. With a threshold above zero, pairs that
+    cannot reach it are not made, as far as the measure has bounds (see `pruning`).
     """
     score = resolve(measure)
     summary = group_summary(history, "user_id")
     sized = with_group_size(history, "item_id", ["user_id"], "__users")
-    pairs = pair_counts(sized, "user_id", "item_id", "__users", summary)
+    if threshold is not None and threshold > 0:
+        pairs = pairs_above(settled(sized, "sized"), score, threshold, summary)
+    else:
+        pairs = pair_counts(sized, "user_id", "item_id", "__users", summary)
+    scored = _scored(pairs, score, summary)
+    if threshold is not None:
+        scored = scored.where(F.col("score") >= threshold)
+    return _both_ways(scored, "n_both", "score")
+
+
+def top_k_similarity(
+    history: DataFrame, k: int, measure: str | Measure = "SIMILARITY_LOGLIKELIHOOD"
+) -> DataFrame:
+    """`top_similar` of `item_similarity`, without making all pairs.
+
+    Users with few items tell what each item's k-th score is at least; then pairs whose
+    sizes do not allow as much for either item are skipped as they are made. A caller's own
+    measure has no such bounds and is worked out for all pairs.
+    """
+    score = resolve(measure)
+    summary = group_summary(history, "user_id")
+    sized = settled(with_group_size(history, "item_id", ["user_id"], "__users"), "sized")
+    pairs = pairs_for_top(sized, score, k, summary)
+    return top_similar(_both_ways(_scored(pairs, score, summary), "n_both", "score"), k)
+
+
+def _scored(pairs: DataFrame, score: Measure, summary: GroupSummary) -> DataFrame:
+    """(low, high, n_both, score) of counted pairs; pairs without any link are dropped."""
     counts = (*(F.col(c) for c in ("n_both", "n_low", "n_high")), F.lit(summary.keys))
     if score is log_likelihood:
         pairs = pairs.where(dependent(*counts))
     value = score(*counts)
     # As a generated column the score is computed once: a filter on a plain one would be
     # pushed below it and compute it again.
-    scored = pairs.select(
-        "low", "high", "n_both", F.explode(F.array(value)).alias("score")
-    )
-    if threshold is not None:
-        scored = scored.where(F.col("score") >= threshold)
-    return _both_ways(scored, "n_both", "score")
+    return pairs.select("low", "high", "n_both", F.explode(F.array(value)).alias("score"))
 
 
 def value_similarity(

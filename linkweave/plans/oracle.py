@@ -315,6 +315,33 @@ SQL: dict[str, str] = {
     "top_k_similar": _with(
         ORDERS, ORDER_B, TOP_LINKS, "SELECT item_id, other_item_id, score, rank FROM links"
     ),
+    "sim_threshold_cosine": _with(
+        ORDERS, ORDER_B, _sims("cosine"),
+        "SELECT item_id, other_item_id, n_both, score FROM sims WHERE score >= 0.4",
+    ),
+    "sim_threshold_llr": _with(
+        ORDERS, ORDER_B, _sims("llr"),
+        "SELECT item_id, other_item_id, n_both, score FROM sims WHERE score >= 0.9",
+    ),
+    "top_k_bounded": _with(
+        ORDERS, ORDER_B, TOP_LINKS,
+        "SELECT item_id, other_item_id, n_both, score, rank FROM links",
+    ),
+    "top_k_bounded_tanimoto": _with(
+        ORDERS, ORDER_B, _sims("tanimoto"), _top("links", "sims", "score"),
+        "SELECT item_id, other_item_id, n_both, score, rank FROM links",
+    ),
+    "cross_row_similarity": _with(
+        ORDERS, ORDER_B, ORDER_A, CROSS,
+        "sq AS (SELECT item_id, sum(n_users * n_users) AS norm FROM ba GROUP BY 1)",
+        """dots AS (SELECT x.item_id, y.item_id AS other_item_id, count(*) AS n_common,
+          sum(x.n_users * y.n_users) AS dot FROM ba x JOIN ba y
+          ON x.other_item_id = y.other_item_id AND x.item_id <> y.item_id GROUP BY 1, 2)""",
+        """sc AS (SELECT d.item_id, d.other_item_id, n_common,
+          CAST(dot AS DOUBLE) / sqrt(CAST(i.norm AS DOUBLE) * CAST(j.norm AS DOUBLE)) AS score
+          FROM dots d JOIN sq i ON i.item_id = d.item_id JOIN sq j ON j.item_id = d.other_item_id)""",
+        "SELECT * FROM sc WHERE score >= 0.4",
+    ),
     "cross_cooccurrence": _with(
         ORDERS, ORDER_B, ORDER_A, CROSS, "SELECT item_id, other_item_id, n_users FROM ba"
     ),

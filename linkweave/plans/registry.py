@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from linkweave.config import UpdateConfig
 from linkweave.functions import text
-from linkweave.operators import documents, ids, prefs, recommend, search, similar, vectors
+from linkweave.operators import documents, ids, prefs, pruning, recommend, search, similar, vectors
 from linkweave.operators.skew import lookup
 from linkweave.plans import inputs
 from linkweave.plans.inputs import EVENT_ROLES, ORDER_ROLES, event_log, order_log, part_brands
@@ -318,6 +318,41 @@ def primary_recs_counts(spark, sf_dir):
     return recommend.primary_recs(settled(links), history, TOP, known=history)
 
 
+# Pairs that need not be made
+
+
+@query
+def sim_threshold_cosine(spark, sf_dir):
+    return similar.item_similarity(order_history(spark, sf_dir), "SIMILARITY_COSINE", 0.4)
+
+
+@query
+def sim_threshold_llr(spark, sf_dir):
+    return similar.item_similarity(
+        order_history(spark, sf_dir), "SIMILARITY_LOGLIKELIHOOD", 0.9
+    )
+
+
+@query
+def top_k_bounded(spark, sf_dir):
+    """The same rows as top_k_similar, with the number of common users."""
+    return similar.top_k_similarity(order_history(spark, sf_dir), TOP)
+
+
+@query
+def top_k_bounded_tanimoto(spark, sf_dir):
+    return similar.top_k_similarity(
+        order_history(spark, sf_dir), TOP, "SIMILARITY_TANIMOTO_COEFFICIENT"
+    )
+
+
+@query
+def cross_row_similarity(spark, sf_dir):
+    """Purchased items that are alike by the items viewed along with them."""
+    histories = [order_history(spark, sf_dir, action) for action in ORDER_ROLES]
+    return pruning.row_similarity(_cross(*histories), 0.4)
+
+
 def _links(history: DataFrame, k: int = DOCUMENT_LINKS) -> DataFrame:
     """The links that the documents hold."""
     return similar.top_similar(similar.item_similarity(history), k).drop("n_both")

@@ -69,8 +69,8 @@ def skewed(tmp_path_factory):
 )
 def test_skewed_tables(spark, skewed, monkeypatch, name):
     """Small tiles and low limits, so that the tables take the paths for hot keys."""
-    monkeypatch.setattr(product.pair_counts, "__defaults__", (None, None, 16))
-    monkeypatch.setattr(product.matrix_product, "__defaults__", (None, None, 16))
+    monkeypatch.setattr(product.pair_counts, "__defaults__", (None, None, 16, None))
+    monkeypatch.setattr(product.matrix_product, "__defaults__", (None, None, 16, None))
     monkeypatch.setattr(skew.hot_keys, "__defaults__", (20,))
     result = compare(
         spark, connect(skewed), name, entry.queries()[name], entry.oracle_sql()[name], skewed

@@ -137,7 +137,7 @@ def test_blend_keeps_small_and_great_scores(spark):
     schema = "user_id bigint, item_id bigint, score double"
     one = spark.createDataFrame([(1, 1, 1e-12), (1, 2, 4e9), (1, 3, 2.0)], schema)
     two = spark.createDataFrame([(1, 2, 4e9), (1, 4, 1e-15)], schema)
-    found = recommend.blended_recs([(one, 1.0), (two, 0.5)]).orderBy("rank").collect()
+    found = recommend.blended_recs([(one, 1.0), (two, 0.5)], 4).orderBy("rank").collect()
     assert [(r.item_id, r.score) for r in found] == [(2, 6e9), (3, 2.0), (1, 1e-12), (4, 5e-16)]
 
 
