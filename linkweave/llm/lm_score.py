@@ -25,8 +25,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from linkweave.llm.adding import PARTS, added_up, parts_of
-from linkweave.llm.text import CACHED_WORDS, GOLDEN, WordHashes, mix, record_batches, texts_of
-from linkweave.session import scratch_path, settled
+from linkweave.llm.text import CACHED_WORDS, GOLDEN, WordHashes, mix, texts_of
+from linkweave.session import delete_path, scratch_path, settled
 
 # Leaves, in classes of equal size. Leaf 0 is the end of a text; the upper half are endings.
 CLASSES = 32
@@ -169,16 +169,17 @@ def _rows(hashes: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def _softmax(scores: np.ndarray) -> np.ndarray:
-    scores -= scores.max(axis=1, keepdims=True)
+    # Within 60 of the bias sums of 32 terms neither overflow nor vanish in 32 bits.
+    np.clip(scores, -60, 60, out=scores)
     np.exp(scores, out=scores)
-    scores /= scores.sum(axis=1, keepdims=True)
+    scores /= (scores @ np.ones(scores.shape[1], scores.dtype))[:, None]
     return scores
 
 
 def _scores(table: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    total = table[rows[:, 0]]
+    total = np.take(table, rows[:, 0], axis=0)
     for k in range(1, rows.shape[1]):
-        total += table[rows[:, k]]
+        total += np.take(table, rows[:, k], axis=0)
     return total
 
 
@@ -207,11 +208,14 @@ class Trainer:
 
     def _update(self, table: np.ndarray, seen: np.ndarray, rows: np.ndarray, error: np.ndarray):
         order = np.argsort(rows, kind="stable")
-        starts = np.flatnonzero(np.r_[True, np.diff(rows[order]) != 0])
-        slopes = np.add.reduceat(error[order], starts, axis=0)
-        touched = rows[order[starts]]
-        seen[touched] += (slopes**2).sum(axis=1)
-        table[touched] -= STEP * slopes / np.sqrt(seen[touched])[:, None]
+        sorted_rows = rows[order]
+        starts = np.flatnonzero(np.r_[True, sorted_rows[1:] != sorted_rows[:-1]])
+        slopes = np.add.reduceat(np.take(error, order, axis=0), starts, axis=0)
+        touched = sorted_rows[starts].astype(np.intp)
+        squares = np.take(seen, touched) + np.einsum("ij,ij->i", slopes, slopes)
+        seen[touched] = squares
+        slopes *= (-STEP / np.sqrt(squares))[:, None]
+        table[touched] += slopes
 
     def learn(self, hashes: np.ndarray, leaf: np.ndarray) -> None:
         w = self.weights
@@ -232,19 +236,47 @@ class Trainer:
         return self.weights.flat() - self.start
 
 
+CODED = "doc_id bigint, held_out boolean, codes array<bigint>"
+
+
+def _coded(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The codes of each text's tokens; texts are cut into words here and nowhere else."""
+    codes = shared_codes()
+    for batch in batches:
+        held: list[np.ndarray] = []
+        size = first = 0
+        for number, text in enumerate(texts_of(batch), 1):
+            held.append(token_codes(text, codes))
+            size += len(held[-1])
+            if size >= SLICE or number == len(batch):
+                ends = np.cumsum([0, *map(len, held)])
+                lists = pa.ListArray.from_arrays(
+                    pa.array(ends, pa.int32()), pa.array(np.concatenate(held))
+                )
+                rows = batch.slice(first, number - first)
+                yield pa.RecordBatch.from_arrays(
+                    [rows.column("doc_id"), rows.column("held_out"), lists],
+                    names=["doc_id", "held_out", "codes"],
+                )
+                held, size, first = [], 0, number
+
+
+def _codes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All codes of a column of lists, one after the other, and the length of each list."""
+    return column.flatten().to_numpy(), np.diff(column.offsets.to_numpy())
+
+
 def _word_counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Training counts of the distinct tokens of each chunk in a batch, 0 if held out only."""
     schema = pa.schema([("chunk", pa.int64()), ("code", pa.int64()), ("n", pa.int64())])
-    codes = shared_codes()
     for batch in batches:
         chunks = batch.column("chunk").to_numpy()
         held_out = batch.column("held_out").to_numpy(zero_copy_only=False)
         cuts = np.flatnonzero(np.r_[True, chunks[1:] != chunks[:-1], True])
         for low, high in zip(cuts, cuts[1:], strict=False):
-            texts = texts_of(batch.slice(low, high - low))
-            found = [token_codes(t, codes) for t in texts]
-            learned = np.repeat(~held_out[low:high], [len(f) for f in found])
-            distinct, which = np.unique(np.concatenate(found), return_inverse=True)
+            found, sizes = _codes_of(batch.column("codes").slice(low, high - low))
+            learned = np.repeat(~held_out[low:high], sizes)
+            distinct, which = np.unique(found, return_inverse=True)
             counts = np.bincount(which, weights=learned, minlength=len(distinct))
             columns = [np.full(len(distinct), chunks[low]), distinct, counts.astype(np.int64)]
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=schema)
@@ -280,24 +312,26 @@ def _vocabulary(known: DataFrame) -> Vocabulary:
 
 def _train(vocabulary: Vocabulary, weights: Weights):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes, trainer, any_text = shared_codes(), Trainer(weights), False
+        trainer, any_text = Trainer(weights), False
         held: list[np.ndarray] = []
         size = 0
 
         def learn():
             if held:
                 found = np.concatenate(held)
-                leaf = vocabulary.leaves(found)
-                trainer.learn(features(found, leaf), leaf)
+                for at in _cuts(found):
+                    part = found[at]
+                    leaf = vocabulary.leaves(part)
+                    trainer.learn(features(part, leaf), leaf)
 
         for batch in batches:
-            for text in texts_of(batch):
-                held.append(token_codes(text, codes))
-                size += len(held[-1])
-                any_text = True
-                if size >= SLICE:
-                    learn()
-                    held, size = [], 0
+            found, _ = _codes_of(batch.column("codes"))
+            any_text = any_text or len(found) > 0
+            held.append(found)
+            size += len(found)
+            if size >= SLICE:
+                learn()
+                held, size = [], 0
         learn()
         if any_text:
             # As halves, whose sums are exact in any order.
@@ -306,6 +340,16 @@ def _train(vocabulary: Vocabulary, weights: Weights):
     return run
 
 
+def _cuts(codes: np.ndarray) -> Iterator[slice]:
+    """Slices of about SLICE tokens, each of whole texts."""
+    ends = np.flatnonzero(codes == END) + 1
+    first = 0
+    while first < len(codes):
+        last = ends[np.searchsorted(ends, min(first + SLICE, len(codes)))]
+        yield slice(first, int(last))
+        first = int(last)
+
+
 def train(stored: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) -> Weights:
     """Weights after all rounds; each round learns from its share of the documents."""
     weights = Weights.start(vocabulary)
@@ -313,7 +357,7 @@ def train(stored: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) -> We
         turn = F.pmod(F.xxhash64("chunk", "doc_id"), F.lit(rounds)) == number
         changes = (
             stored.where(~F.col("held_out") & turn)
-            .select("text")
+            .select("codes")
             .mapInArrow(_train(vocabulary, weights), PARTS)
         )
         total, tasks = added_up(changes)
@@ -342,40 +386,41 @@ def _score(vocabulary: Vocabulary, weights: Weights):
         known = counts.column("code").to_numpy()
         order = np.argsort(known)
         known, totals = known[order], counts.column("total").to_numpy()[order]
-        codes = shared_codes()
 
-        def scored(held: list[tuple[int, bool, np.ndarray]]):
-            sizes = np.array([len(f) for _, _, f in held])
-            found = np.concatenate([f for _, _, f in held])
+        def scored(part: pa.RecordBatch):
+            found, sizes = _codes_of(part.column("codes"))
             n = np.zeros(len(found), np.int64)
             if len(known):
                 at = np.minimum(np.searchsorted(known, found), len(known) - 1)
                 n = np.where(known[at] == found, totals[at], 0)
             leaf = vocabulary.leaves(found)
             chances = log_chances(weights, features(found, leaf), leaf)
-            sums = (
+            seen, own, score = (
                 np.add.reduceat(x.astype(np.float64), np.cumsum(sizes) - sizes)
                 for x in (n > 0, np.log(n + 0.5) - base, chances + vocabulary.log_share(leaf, n))
             )
-            for (doc_id, held_out, _), size, seen, own, score in zip(held, sizes, *sums, strict=True):
-                yield (
-                    doc_id, held_out, int(size), int(seen), vocabulary.tokens,
-                    own / math.log(10), score / math.log(10),
-                )
-
-        def rows():
-            ids, flags = (docs.column(c).to_pylist() for c in ("doc_id", "held_out"))
-            held, size = [], 0
-            for doc_id, held_out, text in zip(ids, flags, docs.column("text"), strict=True):
-                held.append((doc_id, held_out, token_codes(text.as_py(), codes)))
-                size += len(held[-1][2])
-                if size >= SLICE:
-                    yield from scored(held)
-                    held, size = [], 0
-            if held:
-                yield from scored(held)
-
-        return pa.Table.from_batches(list(record_batches(rows(), _SCORED)), schema=_SCORED)
+            columns = [
+                part.column("doc_id"),
+                part.column("held_out"),
+                sizes.astype(np.int64),
+                seen.astype(np.int64),
+                np.full(len(sizes), vocabulary.tokens, np.int64),
+                own / math.log(10),
+                score / math.log(10),
+            ]
+            arrays = [pa.array(c, f.type) if isinstance(c, np.ndarray) else c for c, f in zip(columns, _SCORED, strict=True)]
+            return pa.RecordBatch.from_arrays(arrays, schema=_SCORED)
+
+        def parts():
+            for batch in docs.to_batches():
+                sizes = np.diff(batch.column("codes").offsets.to_numpy())
+                number = np.cumsum(sizes) // SLICE
+                cuts = np.flatnonzero(np.r_[True, number[1:] != number[:-1], True])
+                for low, high in zip(cuts, cuts[1:], strict=False):
+                    if high > low:
+                        yield scored(batch.slice(low, high - low))
+
+        return pa.Table.from_batches(list(parts()), schema=_SCORED)
 
     return run
 
@@ -389,7 +434,7 @@ def score_texts(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     log10 probability under smoothed unigrams, score that under the model; both sum over
     the tokens, the end included.
 
-    The documents are written once in chunks; a chunk meets the counts of its own words
+    The codes of the tokens are written once in chunks; a chunk meets the counts of its own words
     only, so that no task needs the whole vocabulary. Words are counted by a 63-bit hash.
 
     A null text counts as empty: one token, the end. Rows with the same doc_id are scored
@@ -402,9 +447,12 @@ def score_texts(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     chunks = min(100_000, (rows >> CHUNK_BITS) + 1)
     path, name = scratch_path(spark, "chunks"), f"chunks_{uuid.uuid4().hex}"
     chunk = F.shiftright(F.monotonically_increasing_id(), CHUNK_BITS)
-    # Files by chunk: the scores read them without a shuffle of the texts.
+    # Files by chunk: the scores read them without a shuffle of the codes.
     (
-        docs.select("doc_id", "text", (~learns(F.col("doc_id"))).alias("held_out"))
+        docs.select(
+            F.col("doc_id").cast("bigint"), "text", (~learns(F.col("doc_id"))).alias("held_out")
+        )
+        .mapInArrow(_coded, CODED)
         .withColumn("chunk", chunk)
         .write.bucketBy(chunks, "chunk")
         .option("path", path)
@@ -426,12 +474,17 @@ def score_texts(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     )
     vocabulary = _vocabulary(known)
     weights = train(plain, vocabulary, rounds)
-    return (
+    scored = settled(
         stored.groupBy("chunk")
         .cogroup(known.select("chunk", "code", "total").groupBy("chunk"))
         .applyInArrow(
             _score(vocabulary, weights),
             "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, "
             "train_tokens bigint, base_score double, score double",
-        )
+        ),
+        "scores",
     )
+    # The bucketed table needs a name in the catalog while it is read.
+    spark.sql(f"DROP TABLE {name}")
+    delete_path(spark, path)
+    return scored
