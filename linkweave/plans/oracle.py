@@ -208,6 +208,11 @@ SQL: dict[str, str] = {
         f"""SELECT CASE WHEN action = 'purchase' THEN 'contains' ELSE 'whole' END AS kind,
         {LINE} AS line FROM ev""",
     ),
+    "scan_hidden_files": _with(
+        EVENTS,
+        f"""SELECT 'all' AS kind, {LINE} AS line FROM ev
+        UNION ALL SELECT 'underscore', {LINE} FROM ev WHERE action = 'purchase'""",
+    ),
     "scan_single_file": _with(EVENTS, f"SELECT {LINE} AS line FROM ev"),
     "parse_logs": _with(EVENTS, "SELECT user_id, action, item_id FROM ev"),
     "split_actions": _with(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -77,11 +78,31 @@ def scan_file_pattern(spark, sf_dir):
 
 @query
 def scan_single_file(spark, sf_dir):
+    """Each file of the log read by its name alone, whatever that is."""
     path = scratch_path(spark, "scan-files")
-    _event_lines(spark, sf_dir).select("value").coalesce(1).write.text(path)
-    name = "all actions+1.log"
-    one = tables.rename_single(spark, path, f"{path}-named/{name}")
-    return logs.scan_logs(spark, one, "no-such-name").select(F.col("value").alias("line"))
+    _event_lines(spark, sf_dir).select("value").write.text(path)
+    named = tables.rename_parts(spark, path, f"{path}-named", "all actions+{}.log")
+    found = [logs.scan_logs(spark, one, "no-such-name") for one in named]
+    return reduce(DataFrame.unionByName, found).select(F.col("value").alias("line"))
+
+
+@query
+def scan_hidden_files(spark, sf_dir):
+    """Files with a `_` or `.` at the start of their names, and a whole name that matches."""
+    path = scratch_path(spark, "scan-hidden")
+    lines = _event_lines(spark, sf_dir)
+    bought = F.col("action") == EVENT_ROLES[0]
+    for name, wanted in {"_bought-{}.tsv": bought, ".other-{}.tsv": ~bought}.items():
+        parts = scratch_path(spark, "parts")
+        lines.where(wanted).select("value").write.text(parts)
+        tables.rename_parts(spark, parts, f"{path}/logs", name)
+    found = [
+        logs.scan_logs(spark, path, pattern).select(
+            F.lit(kind).alias("kind"), F.col("value").alias("line")
+        )
+        for kind, pattern in {"all": ".*tsv", "underscore": "_.*", "contains": ".tsv"}.items()
+    ]
+    return reduce(DataFrame.unionByName, found)
 
 
 @query

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import re
+import uuid
+from functools import reduce
+
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -42,21 +46,99 @@ def _decoded(name: Column) -> Column:
     return F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
 
 
+def _wanted(spark: SparkSession, name: str, pattern: str, regex: bool) -> bool:
+    """`name_matches` for one name."""
+    if regex and spark._jvm.java.util.regex.Pattern.matches(pattern, name):
+        return True
+    return pattern in name and name[0] not in "_.~"
+
+
+def hidden_files(spark: SparkSession, path: str, pattern: str) -> list[str]:
+    """Wanted files that Spark's own listing passes over: those with a `_` or `.` at the
+    start of their name or of a directory above it.
+
+    The tree is walked level by level with patterns for such names, so that only they come
+    back from the file system's listing.
+    """
+    root = re.sub(r"([\[\]{}*?,^\\])", r"\\\1", path.rstrip("/"))
+    of_path = spark._jvm.org.apache.hadoop.fs.Path
+    files = of_path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def listed(names: list[str]) -> list:
+        return files.globStatus(of_path("/".join([root, *names]))) or []
+
+    regex, found, depth = is_regex(spark, pattern), {}, 1
+    while len(listed(["*"] * depth)):
+        for place in range(depth):
+            names = ["*"] * depth
+            names[place] = "{_,.}*"
+            for status in listed(names):
+                if status.isFile() and _wanted(spark, status.getPath().getName(), pattern, regex):
+                    found[status.getPath().toString()] = None
+        depth += 1
+    return list(found)
+
+
 def scan_logs(spark: SparkSession, path: str, pattern: str = ".*tsv") -> DataFrame:
     """Lines of all wanted files below a directory, or of one named file.
 
-    Spark itself hides names that start with `_` or `.`.
+    Names that start with `_` or `.` are wanted if the whole name matches the pattern.
     """
     if _is_file(spark, path):
-        return _placed(spark.read.text(path))
+        return scan_files(spark, [path])
     lines = spark.read.option("recursiveFileLookup", True).text(path)
     name = _decoded(F.col("_metadata.file_name"))
-    return _placed(lines.where(name_matches(spark, name, pattern)))
+    visible = _placed(lines.where(name_matches(spark, name, pattern)))
+    hidden = hidden_files(spark, path, pattern)
+    return visible.unionByName(scan_files(spark, hidden)) if hidden else visible
+
+
+def _is_hidden(file: str) -> bool:
+    return file.rsplit("/", 1)[-1][:1] in ("_", ".")
+
+
+def _aliases(spark: SparkSession, files: list[str]) -> dict[str, str]:
+    """Other names for files whose own names Spark would pass over: alias to file.
+
+    They are links of a mount table in the session's file system settings, which all tasks
+    get. Nothing is copied or renamed.
+    """
+    mount = f"linkweave-{uuid.uuid4().hex}"
+    settings = spark.sparkContext._jsc.hadoopConfiguration()
+    of_path = spark._jvm.org.apache.hadoop.fs.Path
+    aliases = {}
+    for number, file in enumerate(files):
+        target = of_path(file)
+        system = target.getFileSystem(settings)
+        whole = system.makeQualified(target).toUri().toString()
+        # The end of the name tells how a file is compressed.
+        link = f"{number}-{target.getName().lstrip('_.')}"
+        settings.set(f"fs.viewfs.mounttable.{mount}.link./{link}", whole)
+        aliases[f"viewfs://{mount}/{link}"] = whole
+    return aliases
 
 
 def scan_files(spark: SparkSession, files: list[str]) -> DataFrame:
     """Lines of files given one by one, whatever their names."""
-    return _placed(spark.read.text(files))
+    plain = [file for file in files if not _is_hidden(file)]
+    parts = [_placed(spark.read.text(plain))] if plain else []
+    aliases = _aliases(spark, [file for file in files if _is_hidden(file)])
+    if aliases:
+        names = spark.createDataFrame(
+            [(alias.rsplit("/", 1)[-1], file) for alias, file in aliases.items()],
+            "file_name string, __file string",
+        )
+        lines = _placed(spark.read.text(list(aliases))).join(F.broadcast(names), "file_name")
+        parts.append(
+            lines.select(
+                _decoded(F.substring_index("__file", "/", -1)).alias("file_name"),
+                F.col("__file").alias("src_file"),
+                "src_block",
+                "src_line",
+                "value",
+            )
+        )
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _placed(lines: DataFrame) -> DataFrame:

@@ -27,14 +27,16 @@ def read_matrix(spark: SparkSession, path: str) -> DataFrame:
     return matrix
 
 
-def rename_single(spark: SparkSession, folder: str, target: str) -> str:
-    """Give the one part file of a folder a name of its own."""
+def rename_parts(spark: SparkSession, folder: str, target: str, name: str) -> list[str]:
+    """Move the part files of a folder to another one; `name` takes their numbers."""
     path = spark._jvm.org.apache.hadoop.fs.Path
     files = path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    (part,) = [s.getPath() for s in files.globStatus(path(f"{folder}/part-*"))]
-    files.mkdirs(path(target).getParent())
-    files.rename(part, path(target))
-    return target
+    files.mkdirs(path(target))
+    moved = []
+    for number, status in enumerate(files.globStatus(path(f"{folder}/part-*"))):
+        moved.append(f"{target}/{name.format(number)}")
+        files.rename(status.getPath(), path(moved[-1]))
+    return moved
 
 
 def write_dictionary(dictionary: DataFrame, path: str) -> DataFrame:

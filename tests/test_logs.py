@@ -32,7 +32,9 @@ def test_both_encodings(spark, example_files):
 def log_tree(tmp_path):
     root = tmp_path / "tree"
     (root / "sub" / "deep").mkdir(parents=True)
+    (root / "sub" / "_h" / ".i").mkdir(parents=True)
     names = ["a.tsv", "b.txt", "~c.tsv.bak", "_d.tsv", ".e.tsv", "sub/f.tsv", "sub/deep/g.tsv.1"]
+    names += ["sub/_h/.i/j.tsv", "sub/_k.tsv", "sub/_h/l.txt"]
     for name in names:
         (root / name).write_text(name + "\n")
     return root
@@ -41,11 +43,12 @@ def log_tree(tmp_path):
 @pytest.mark.parametrize(
     ("pattern", "expected"),
     [
-        (r".*tsv", {"a.tsv", "sub/f.tsv"}),
-        (".tsv", {"a.tsv", "sub/f.tsv", "sub/deep/g.tsv.1"}),
+        (r".*tsv", {"a.tsv", "sub/f.tsv", "_d.tsv", ".e.tsv", "sub/_h/.i/j.tsv", "sub/_k.tsv"}),
+        (".tsv", {"a.tsv", "sub/f.tsv", "sub/deep/g.tsv.1", "sub/_h/.i/j.tsv"}),
+        (r"_.*", {"_d.tsv", "sub/_k.tsv"}),
         (r".*\.bak", {"~c.tsv.bak"}),
         (".bak", set()),
-        ("b", {"b.txt"}),
+        ("b.", {"b.txt"}),
         ("*.tsv", set()),
     ],
 )
@@ -180,3 +183,11 @@ def test_update_options(spark, tmp_path):
     assert (tmp_path / "out" / "prefs" / "by-action" / "action_dir=buy.it").is_dir()
     assert all(r["rank"] == 1 for r in result["p_sims"].collect())
     assert result["s_recs"].count() == 1
+
+
+def test_hidden_names_below_an_odd_root(spark, tmp_path):
+    root = tmp_path / "a{b},[c] d*"
+    (root / "x").mkdir(parents=True)
+    (root / "x" / "_q.tsv").write_text("one\ntwo\n")
+    assert logs.scan_files(spark, logs.hidden_files(spark, str(root), ".*tsv")).count() == 2
+    assert logs.hidden_files(spark, str(tmp_path / "none"), ".*") == []
