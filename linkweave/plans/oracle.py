@@ -513,6 +513,22 @@ SQL |= {
     "update_similar": _with(
         *_NUMBERED, EVENT_B, LINKS, "SELECT item_id, other_item_id, n_both, score, rank FROM links",
     ),
+    "update_active_users": _with(
+        EVENTS, EVENT_B, EVENT_A,
+        "x AS (SELECT count(DISTINCT user_id) AS p FROM b)",
+        "y AS (SELECT count(DISTINCT user_id) AS s FROM a)",
+        """SELECT p AS n_users_primary, s AS n_users_secondary, p = s AS n_users_equal
+        FROM x CROSS JOIN y""",
+    ),
+    "update_counters": _with(
+        EVENTS,
+        """SELECT count(*) + count(*) FILTER (event_id % 10 = 0) AS n_lines,
+        count(*) FILTER (event_id % 10 = 0) AS n_bad_lines,
+        count(*) FILTER (action = 'purchase') AS n_primary,
+        count(*) FILTER (action = 'view') AS n_secondary,
+        count(*) FILTER (action NOT IN ('purchase', 'view')) AS n_other,
+        count(DISTINCT user_id) AS n_users, count(DISTINCT item_id) AS n_items FROM ev""",
+    ),
     "update_recs": _with(
         *_NUMBERED, EVENT_B, LINKS, PRIMARY_RECS, _best("pr", "score", SCORE_COLUMNS),
     ),
@@ -525,3 +541,5 @@ SQL |= {
     "update_item_links_docs": SQL["item_links_docs"],
     "update_user_history_docs": SQL["user_history_docs"],
 }
+
+SQL["update_second_run"] = SQL["update_recs"]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +13,7 @@ from linkweave.config import UpdateConfig
 from linkweave.functions import text
 from linkweave.operators import documents, ids, prefs, pruning, recommend, search, similar, vectors
 from linkweave.operators.skew import lookup
-from linkweave.plans import inputs
+from linkweave.plans import inputs, publish
 from linkweave.plans.inputs import EVENT_ROLES, ORDER_ROLES, event_log, order_log, part_brands
 from linkweave.plans.update import split_log, update
 from linkweave.session import scratch_path, settled
@@ -652,7 +653,29 @@ def _update_others(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.text(f"{config.output}/prefs/other").select(F.col("value").alias("line"))
 
 
+@query
+def update_counters(spark, sf_dir):
+    """Numbers that the writing jobs observe, from a log in which every tenth line is cut."""
+    config = _update_config(spark, sf_dir)
+    lines = event_log(spark, sf_dir).where(F.col("event_id") % 10 == 0)
+    lines.select(F.col("user_id").cast("string")).write.text(f"{config.input}/more")
+    return split_log(spark, replace(config, on_bad_line="drop"))["counters"]
+
+
+@query
+def update_second_run(spark, sf_dir):
+    """The published recommendations after a run over some events and one over all."""
+    config = _update_config(spark, sf_dir)
+    early = event_log(spark, sf_dir).where(F.col("event_id") % 3 > 0).orderBy("event_id")
+    path = scratch_path(spark, "first-logs")
+    early.select(F.concat_ws("\t", "user_id", "action", "item_id")).write.text(path)
+    update(spark, replace(config, input=path))
+    update(spark, config)
+    return publish.read_model(spark, config.output)["p_recs"]
+
+
 QUERIES |= {
+    "update_active_users": _published("active_users", update),
     "update_user_index": _published("users", split_log, {"ext_id": "bigint"}),
     "update_item_index": _published("items", split_log, {"ext_id": "int"}),
     "update_dims": _published("dims", split_log),

@@ -6,20 +6,28 @@ plan short, and a lost executor costs one step instead of the whole run.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from dataclasses import replace
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from linkweave.config import UpdateConfig
 from linkweave.functions.similarity import MEASURES, VALUE_MEASURES
 from linkweave.functions.text import action_dir_name
 from linkweave.operators import documents as docs
-from linkweave.operators import ids, prefs, recommend, similar
-from linkweave.session import settled
+from linkweave.operators import ids, prefs, recommend, similar, vectors
+from linkweave.plans import publish
+from linkweave.session import delete_path, settled
 from linkweave.sources import logs, tables
 
 
-def read_actions(spark: SparkSession, config: UpdateConfig) -> tuple[DataFrame, DataFrame]:
-    """The parsed log, and the lines set aside when `on_bad_line` is quarantine."""
+def read_actions(
+    spark: SparkSession, config: UpdateConfig, seen: Observation | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """The parsed log, and the lines set aside when `on_bad_line` is quarantine.
+
+    `seen` observes the numbers of lines and of bad ones as the log is read.
+    """
     lines = logs.scan_logs(spark, config.input, config.file_pattern)
     columns = (
         config.input_delim,
@@ -36,31 +44,48 @@ def read_actions(spark: SparkSession, config: UpdateConfig) -> tuple[DataFrame,
         "value_col": config.value_col,
     }
     parsed = logs.parse_logs(
-        lines, *columns, on_bad_line=config.on_bad_line, **options
+        lines, *columns, on_bad_line=config.on_bad_line, seen=seen, **options
     )
     return parsed, logs.bad_lines(lines, *columns, **options)
 
 
+def _one_row(spark: SparkSession, numbers: dict[str, int]) -> DataFrame:
+    schema = ", ".join(f"{name} bigint" for name in numbers)
+    return spark.createDataFrame([tuple(numbers.values())], schema).coalesce(1)
+
+
 def split_log(spark: SparkSession, config: UpdateConfig) -> dict[str, DataFrame]:
-    """Dictionaries, matrix sizes, numbered preferences by action, and the other lines."""
+    """Dictionaries, matrix sizes, numbered preferences by action, and the other lines.
+
+    All numbers of `counters` and `dims` are observed by the jobs that write the tables.
+    """
     out = config.output.rstrip("/")
-    parsed, bad = read_actions(spark, config)
+    seen, roles, n_users, n_items = (Observation() for _ in range(4))
+    parsed, bad = read_actions(spark, config, seen)
+    split = prefs.split_actions(parsed, config.primary_action, config.secondary_action)
+    counts = [
+        F.count_if(F.col("role") == role).alias(f"n_{role}")
+        for role in (prefs.PRIMARY, prefs.SECONDARY, prefs.OTHER)
+    ]
     log = tables.write_table(
-        prefs.split_actions(parsed, config.primary_action, config.secondary_action),
-        f"{out}/actions/log",
-        partition_by="role",
+        split.observe(roles, *counts), f"{out}/actions/log", partition_by="role"
     )
     users = tables.write_dictionary(
-        ids.assign_ids(log, "user_id", logs.line_order()), f"{out}/id-indexes/user-index"
+        ids.assign_ids(log, "user_id", logs.line_order()).observe(
+            n_users, F.count(F.lit(1)).alias("n_users")
+        ),
+        f"{out}/id-indexes/user-index",
     )
     items = tables.write_dictionary(
-        ids.assign_ids(log, "item_id", logs.line_order()), f"{out}/id-indexes/item-index"
-    )
-    dims = tables.write_table(
-        users.agg(F.count(F.lit(1)).alias("n_users")).withColumn(
-            "n_items", items.agg(F.count(F.lit(1))).scalar()
+        ids.assign_ids(log, "item_id", logs.line_order()).observe(
+            n_items, F.count(F.lit(1)).alias("n_items")
         ),
-        f"{out}/id-indexes/dims",
+        f"{out}/id-indexes/item-index",
+    )
+    sizes = n_users.get | n_items.get
+    dims = tables.write_table(_one_row(spark, sizes), f"{out}/id-indexes/dims")
+    counters = tables.write_table(
+        _one_row(spark, seen.get | roles.get | sizes), f"{out}/id-indexes/counters"
     )
     rest = ["ts"] if "ts" in log.columns else []
     wanted = log.where(F.col("role") != prefs.OTHER).select(
@@ -77,7 +102,10 @@ def split_log(spark: SparkSession, config: UpdateConfig) -> dict[str, DataFrame]
     tables.write_prefs_text(numbered, f"{out}/prefs/by-action", config.output_delim)
     others = log.where(F.col("role") == prefs.OTHER).select(F.col("raw").alias("value"))
     others.write.mode("overwrite").text(f"{out}/prefs/other")
-    result = {"log": log, "users": users, "items": items, "dims": dims, "prefs": numbered}
+    result = {
+        "log": log, "users": users, "items": items, "dims": dims, "counters": counters,
+        "prefs": numbered,
+    }
     if config.on_bad_line == "quarantine":
         result["bad_lines"] = tables.write_table(bad, f"{out}/actions/bad-lines")
     return result
@@ -208,18 +236,35 @@ def build_documents(
     }
 
 
-def update(spark: SparkSession, config: UpdateConfig) -> dict[str, DataFrame]:
-    """Run everything and return the written tables by name.
-
-    Only the outputs written here are replaced; the parent directory is left alone.
-    """
+def _build(spark: SparkSession, config: UpdateConfig) -> dict[str, DataFrame]:
+    """Everything, written below `config.output`."""
     out = config.output.rstrip("/")
     result = split_log(spark, config)
     result |= primary_model(result["prefs"], config)
     if config.cross:
         result |= cross_model(result["prefs"], result["p_history"], config)
+        result["active_users"] = tables.write_table(
+            vectors.active_user_counts(result["p_history"], result["s_history"]),
+            f"{out}/id-indexes/active-users",
+        )
     for name, table in build_documents(result, config).items():
         path = f"{out}/{name.replace('_', '-')}"
         tables.write_documents(table, path)
         result[name] = tables.read_documents(spark, path, table.schema)
     return result
+
+
+def update(spark: SparkSession, config: UpdateConfig) -> dict[str, DataFrame]:
+    """Run everything and return the published tables by name.
+
+    All is written to a staging folder of the output and then put in the place of the
+    former model (see `publish`): a run that fails leaves that model whole. Other things
+    in the output folder are left alone.
+    """
+    staging = publish.begin(spark, config.output)
+    try:
+        result = _build(spark, replace(config, output=staging))
+    except BaseException:
+        delete_path(spark, staging)
+        raise
+    return publish.publish(spark, config.output, staging, result)

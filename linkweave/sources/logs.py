@@ -8,7 +8,7 @@ from functools import reduce
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from linkweave.functions.text import field_at
@@ -202,19 +202,26 @@ def parse_logs(
     keep_empty_ids: bool = False,
     ts_type: str = "bigint",
     value_col: int = -1,
+    seen: Observation | None = None,
 ) -> DataFrame:
     """Actions (user_id, action, item_id[, ts][, value], place in the log, raw) from lines.
 
     The lines are in the column `value`. The delimiter is a regex, and fields are trimmed.
     A line that lacks a column, or has an empty id, a time that is no `ts_type` or a value
     that is no number, stops the job (`fail`) or is left out (`drop`, `quarantine`; see
-    `bad_lines` for the lines set aside).
+    `bad_lines` for the lines set aside). `seen` observes n_lines and n_bad_lines.
     """
     if on_bad_line not in ("fail", "drop", "quarantine"):
         raise ValueError(f"unknown on_bad_line {on_bad_line!r}")
     rows = _parsed(
         lines, delim, user_col, action_col, item_col, ts_col, keep_empty_ids, ts_type, value_col
     )
+    if seen is not None:
+        rows = rows.observe(
+            seen,
+            F.count(F.lit(1)).alias("n_lines"),
+            F.count_if(F.col("__bad")).alias("n_bad_lines"),
+        )
     if on_bad_line == "fail":
         complaint = F.raise_error(F.concat(F.lit("bad log line: "), F.col("raw")))
         good = F.when(F.col("__bad"), complaint.cast("boolean")).otherwise(F.lit(True))
