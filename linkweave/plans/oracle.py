@@ -543,3 +543,16 @@ SQL |= {
 }
 
 SQL["update_second_run"] = SQL["update_recs"]
+
+# The same rows from posting lists. Links are those by number of the items' dictionary.
+SQL["index_postings"] = _with(
+    EVENTS, EVENT_B, DICTIONARIES, _sims("llr"),
+    f"""l AS (SELECT * FROM (SELECT s.item_id, s.other_item_id, row_number() OVER (
+        PARTITION BY s.item_id ORDER BY score DESC, d.int_id DESC) AS rn
+      FROM sims s JOIN idd d ON d.ext_id = s.other_item_id) WHERE rn <= {DOCUMENT_LINKS})""",
+    """SELECT other_item_id AS word, item_id, count(*) OVER (PARTITION BY other_item_id) AS n_docs
+    FROM l""",
+)
+SQL["query_index_primary"] = SQL["query_history_primary"]
+SQL["query_index_cross"] = SQL["query_history_cross"]
+SQL["query_index_idf"] = SQL["query_history_idf"]

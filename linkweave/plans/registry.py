@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from linkweave.config import UpdateConfig
 from linkweave.functions import text
-from linkweave.operators import documents, ids, prefs, pruning, recommend, search, similar, vectors
+from linkweave.operators import documents, ids, postings, prefs, pruning, recommend, search, similar, vectors
 from linkweave.operators.skew import lookup
 from linkweave.plans import inputs, publish
 from linkweave.plans.inputs import EVENT_ROLES, ORDER_ROLES, event_log, order_log, part_brands
@@ -563,6 +563,45 @@ def query_history_idf(spark, sf_dir):
     return search.query_history([(bought, settled(_links(bought)))], TOP, idf=True)
 
 
+def _published_index(spark: SparkSession, docs: DataFrame, field: str) -> DataFrame:
+    """The index of a field, from documents that were written and read back."""
+    path = scratch_path(spark, "index-documents")
+    tables.write_documents(docs, path)
+    read = tables.read_documents(spark, path, docs.schema)
+    index = postings.build_index(read.withColumn("id", F.col("id").cast("int")), field)
+    return settled(index, "index")
+
+
+@query
+def index_postings(spark, sf_dir):
+    """The posting lists of the item-links documents, a row for each word's document."""
+    index = _published_index(spark, item_links_docs_single(spark, sf_dir), "b_b_links")
+    return index.select(
+        F.col("word").cast("int").alias("word"), F.explode("documents").alias("item_id"), "n_docs"
+    )
+
+
+@query
+def query_index_primary(spark, sf_dir):
+    index = _published_index(spark, item_links_docs_single(spark, sf_dir), "b_b_links")
+    return postings.query_index(event_history(spark, sf_dir), index, TOP)
+
+
+@query
+def query_index_cross(spark, sf_dir):
+    docs = ordered_links(spark, sf_dir)
+    viewed = event_history(spark, sf_dir, EVENT_ROLES[1])
+    return postings.query_index(viewed, _published_index(spark, docs, "links"), TOP)
+
+
+@query
+def query_index_idf(spark, sf_dir):
+    docs = settled(item_links_docs_single(spark, sf_dir))
+    index = _published_index(spark, docs, "b_b_links")
+    n_documents = docs.agg(F.countDistinct("id")).first()[0]
+    return postings.query_index(event_history(spark, sf_dir), index, TOP, n_documents)
+
+
 @query
 def query_adhoc_history(spark, sf_dir):
     clicked = event_history(spark, sf_dir, "click")
