@@ -9,8 +9,9 @@ whole in one phrase, and equal strings have the same trigger at the same place.
 The parse is the list of phrases of each text, the dictionary the distinct phrases. A
 phrase that occurs twice in the parse is repeated as a whole. The other phrases matter
 only beside a different phrase with the same trigger; the suffixes of those dictionary
-phrases are brought together by their distance from the trigger and their first 400
-bytes, and equal neighbours in that order are repeats.
+phrases are sorted into a suffix array, and neighbours in it with a common prefix of 400
+bytes are repeats. Where a trigger has too many phrases for one task, their strings meet
+by a hash of these bytes instead.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkweave.llm.text import mix, record_batches, sent_if_small
+from linkweave.llm.text import mix, record_batches
 from linkweave.operators.skew import lookup
 from linkweave.session import settled
 
@@ -259,36 +260,91 @@ def _runs(positions: np.ndarray) -> Iterator[tuple[int, int]]:
         yield int(run[0]), int(run[-1])
 
 
+def suffix_order(data: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Suffix array of the given starts by their first `length` bytes, and equal neighbours.
+
+    The second array tells of each suffix but the first whether its longest common prefix
+    with the one before it in the order reaches `length`. Ranks of 8 bytes are doubled to
+    ranks of 16, 32, ... bytes; two of the last ones that overlap give the order of `length`
+    bytes. Bytes are compared, not hashes.
+    """
+    padded = np.concatenate((data, np.zeros(length + 8, np.uint8))).astype(np.uint64)
+    size = min(8, length)
+    n = len(data) + length
+    rank = np.zeros(n, np.uint64)
+    for k in range(size):
+        rank = (rank << np.uint64(8)) | padded[k : k + n]
+    while 2 * size < length:
+        _, rank = np.unique(rank, return_inverse=True)
+        ahead = np.concatenate((rank[size:], np.zeros(size, rank.dtype)))
+        rank = (rank.astype(np.uint64) << np.uint64(32)) | ahead.astype(np.uint64)
+        size *= 2
+    _, rank = np.unique(rank, return_inverse=True)
+    both = (rank[starts].astype(np.uint64) << np.uint64(32)) | rank[starts + length - size].astype(np.uint64)
+    order = np.argsort(both, kind="stable")
+    return order, both[order[1:]] == both[order[:-1]]
+
+
+# Bytes of phrases whose suffixes are ordered together; those of one trigger are never parted.
+ORDERED_BYTES = 1 << 21
+
+
 def _repeats_of_trigger(length: int):
     """Repeats among the phrases of each trigger; rows come sorted by trigger."""
 
     def rows(batches):
-        hashes = Hashes.new()
-        held: dict[tuple[bytes, int], tuple[int, bytes]] = {}
-        current = None
+        # Phrases of the triggers that are complete, and of the one that is being read.
+        held: list[tuple[bytes, int, bytes]] = []
+        size, current = 0, None
+        phrases: dict[tuple[bytes, int], bytes] = {}
+
+        def complete():
+            nonlocal size, phrases
+            if len(phrases) > 1:
+                held.extend((key, first, data) for (key, first), data in phrases.items())
+                size += sum(map(len, phrases.values()))
+            phrases = {}
+
         for batch in batches:
             for row in batch.to_pylist():
                 if row["trigger"] != current:
-                    yield from _repeats(held, hashes, length)
-                    held, current = {}, row["trigger"]
-                held[row["text_key"], row["first"]] = (row["place"], row["bytes"])
-        yield from _repeats(held, hashes, length)
+                    complete()
+                    current = row["trigger"]
+                    if size >= ORDERED_BYTES:
+                        yield from _repeats(held, length)
+                        held, size = [], 0
+                phrases[row["text_key"], row["first"]] = row["bytes"]
+        complete()
+        yield from _repeats(held, length)
 
     return lambda batches: record_batches(rows(batches), _SPAN)
 
 
-def _repeats(held: dict, hashes: Hashes, length: int) -> Iterator[tuple[bytes, int, int]]:
-    if len(held) < 2:
+def _repeats(
+    phrases: list[tuple[bytes, int, bytes]], length: int
+) -> Iterator[tuple[bytes, int, int]]:
+    """Strings that two phrases share, as spans of their starts.
+
+    Equal strings have the same trigger at the same place, so they cannot lie in one phrase
+    twice, and phrases of different triggers share none.
+    """
+    if not phrases:
         return
-    of, start, codes = _suffix_codes(list(held.values()), hashes, length)
-    _, which, counts = np.unique(codes, return_inverse=True, return_counts=True)
-    repeated = counts[which] > 1
-    for number, (key, first) in enumerate(held):
+    data = np.frombuffer(b"".join(p for *_, p in phrases), np.uint8)
+    sizes = np.array([len(p) for *_, p in phrases])
+    begins = np.cumsum(sizes) - sizes
+    strings = sizes - length + 1
+    of = np.repeat(np.arange(len(phrases)), strings)
+    start = np.arange(len(of)) - np.repeat(np.cumsum(strings) - strings, strings)
+    order, same = suffix_order(data, begins[of] + start, length)
+    repeated = np.zeros(len(of), bool)
+    repeated[order[1:][same]] = True
+    repeated[order[:-1][same]] = True
+    for number in np.unique(of[repeated]).tolist():
         low, high = np.searchsorted(of, [number, number + 1])
-        found = start[low:high][repeated[low:high]]
-        if len(found):
-            for begin, end in _runs(found):
-                yield key, first + begin, first + end
+        key, first, _ = phrases[number]
+        for begin, end in _runs(start[low:high][repeated[low:high]]):
+            yield key, first + begin, first + end
 
 
 _CODE = pa.schema(
@@ -402,7 +458,7 @@ def repeated_strings(
     edges = settled(
         lookup(
             settled(
-                _join_small(_keyed(docs), wanted, "text_key")
+                _join_small(_keyed(docs), wanted, "text_key", lists="edges")
                 .select("text_key", "text", "edges")
                 .mapInArrow(
                     _cut_edges(length, k),
@@ -430,14 +486,19 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", text.alias("text"), F.unhex(F.md5(text)).alias("text_key"))
 
 
-# Rows of a table with lists that may be sent to all tasks.
-SENT_LISTS = 200_000
+# Entries of a table that may be sent to all tasks: at most 64 bytes each, 64 MB together.
+SENT_ENTRIES = 1_000_000
+
 
+def _join_small(
+    rows: DataFrame, table: DataFrame, on: str, how: str = "inner", lists: str | None = None
+) -> DataFrame:
+    """Join a table that has each key once: sent to all tasks if small, else by salted keys.
 
-def _join_small(rows: DataFrame, table: DataFrame, on: str, how: str = "inner") -> DataFrame:
-    """Join a table that has each key once: sent to all tasks if small, else by salted keys."""
-    limit = SENT_LISTS if on == "text_key" else 2_000_000
-    if table.limit(limit + 1).count() <= limit:
+    Small is meant in entries, which are a list's where the table has one.
+    """
+    entries = F.greatest(F.lit(1), F.size(lists)) if lists else F.lit(1)
+    if (table.agg(F.sum(entries)).first()[0] or 0) <= SENT_ENTRIES:
         return rows.join(F.broadcast(table), on, how)
     return lookup(rows, table, on, [c for c in ("doc_id", "first") if c in rows.columns], how)
 
@@ -500,7 +561,7 @@ def remove_repeats(
     """
     spans = repeated_strings(docs, length, k, task_phrases)
     return (
-        _join_small(_keyed(docs), spans, "text_key", "left")
+        _join_small(_keyed(docs), spans, "text_key", "left", "spans")
         .select("doc_id", "text", "spans")
         .mapInArrow(
             _digests(length),

@@ -185,3 +185,16 @@ def test_phrases_hold_each_string_once():
     starts = [s for a, b in zip(phrases.first, phrases.last, strict=True) for s in range(a, b + 1)]
     whole = [s for s in range(4000) for e in [ends[np.searchsorted(ends, s, side="right")]] if s + 40 <= e]
     assert starts == whole
+
+
+@pytest.mark.parametrize("length", [3, 8, 11, 20, 64, 400])
+def test_suffix_order(length):
+    chance = np.random.default_rng(length)
+    data = chance.integers(97, 97 + chance.integers(1, 4), 1500).astype(np.uint8)
+    data[700:1300] = data[100:700]
+    starts = np.flatnonzero(chance.random(1500 - length + 1) < 0.7)
+    order, same = suffix_dedup.suffix_order(data, starts, length)
+    text = data.tobytes()
+    suffixes = [text[k : k + length] for k in starts[order].tolist()]
+    assert suffixes == sorted(suffixes)
+    assert same.tolist() == [a == b for a, b in itertools.pairwise(suffixes)]
