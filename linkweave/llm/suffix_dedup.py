@@ -473,12 +473,36 @@ def repeated_strings(
         "edges",
     )
     spans = whole.unionAll(_edge_repeats(edges, length, task_phrases))
-    return settled(
-        spans.groupBy("text_key").agg(
-            F.sort_array(F.collect_set(F.struct("first", "last"))).alias("spans")
-        ),
-        "spans",
+    lists = spans.groupBy("text_key").agg(
+        F.sort_array(F.collect_set(F.struct("first", "last"))).alias("spans")
     )
+    schema = "text_key binary, spans array<struct<first:bigint,last:bigint>>"
+    return settled(lists.mapInArrow(_joined_spans, schema), "spans")
+
+
+def _joined_spans(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The spans of each text with neighbouring and overlapping ones put together."""
+    for batch in batches:
+        column = batch.column("spans")
+        lengths = np.diff(column.offsets.to_numpy())
+        flat = column.flatten()
+        first, last = (flat.field(k).to_numpy() for k in (0, 1))
+        of = np.repeat(np.arange(len(lengths)), lengths)
+        # Spans come in order within their text; what they reach so far, text by text.
+        step = int(last.max(initial=0)) + 2
+        reach = np.maximum.accumulate(last + of * step)
+        begins = np.ones(len(first), bool)
+        begins[1:] = (of[1:] != of[:-1]) | (first[1:] + of[1:] * step > reach[:-1] + 1)
+        at = np.flatnonzero(begins)
+        ends = np.append(at[1:], len(first)) - 1
+        spans = pa.StructArray.from_arrays(
+            [pa.array(first[at]), pa.array(reach[ends] - of[at] * step)], names=["first", "last"]
+        )
+        offsets = np.searchsorted(of[at], np.arange(len(lengths) + 1))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("text_key"), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), spans)],
+            names=["text_key", "spans"],
+        )
 
 
 def _keyed(docs: DataFrame) -> DataFrame:

@@ -198,3 +198,24 @@ def test_suffix_order(length):
     suffixes = [text[k : k + length] for k in starts[order].tolist()]
     assert suffixes == sorted(suffixes)
     assert same.tolist() == [a == b for a, b in itertools.pairwise(suffixes)]
+
+
+def test_joined_spans():
+    import pyarrow as pa
+
+    chance = random.Random(9)
+    texts = [
+        sorted({(a, a + chance.randint(0, 6)) for a in chance.sample(range(60), chance.randint(1, 9))})
+        for _ in range(40)
+    ]
+    kind = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))
+    lists = [[{"first": a, "last": b} for a, b in spans] for spans in texts]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([b"%d" % n for n in range(40)]), pa.array(lists, kind)], names=["text_key", "spans"]
+    )
+    (joined,) = suffix_dedup._joined_spans([batch.slice(3)])
+    for row, spans in zip(joined.to_pylist(), texts[3:], strict=True):
+        starts = {k for a, b in spans for k in range(a, b + 1)}
+        found = [(s["first"], s["last"]) for s in row["spans"]]
+        assert {k for a, b in found for k in range(a, b + 1)} == starts
+        assert all(b + 1 < c for (_, b), (c, _) in itertools.pairwise(found))
