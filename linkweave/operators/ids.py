@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from linkweave.operators.skew import hot_keys, lookup
+from linkweave.operators.skew import hot_keys, lookup, sent_whole
 from linkweave.session import settled
 
 # monotonically_increasing_id() keeps the partition above bit 33.
@@ -55,27 +55,31 @@ def matrix_dims(log: DataFrame) -> DataFrame:
 def encode(prefs: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame:
     """Replace the ids by their numbers, as (user_int, item_int, ...).
 
-    `prefs` is best a written table: its frequent ids are looked up first.
+    `prefs` and the dictionaries are best written tables: frequent ids are looked up first
+    where a dictionary is too large to be sent to all tasks.
     """
     rest = [c for c in prefs.columns if c not in ("user_id", "item_id")]
-    hot_users, hot_items = (hot_keys(prefs, c) for c in ("user_id", "item_id"))
-    coded = lookup(
-        prefs,
-        users.select(F.col("ext_id").alias("user_id"), F.col("int_id").alias("user_int")),
-        "user_id",
-        ["item_id"],
-        hot=hot_users,
-    )
-    coded = lookup(
-        coded,
-        items.select(F.col("ext_id").alias("item_id"), F.col("int_id").alias("item_int")),
-        "item_id",
-        ["user_int"],
-        hot=hot_items,
-    )
+    sides = {
+        column: dictionary.select(F.col("ext_id").alias(column), F.col("int_id").alias(number))
+        for column, number, dictionary in (
+            ("user_id", "user_int", users),
+            ("item_id", "item_int", items),
+        )
+    }
+    hot = _hot_of(prefs, sides)
+    coded = lookup(prefs, sides["user_id"], "user_id", ["item_id"], hot=hot["user_id"])
+    coded = lookup(coded, sides["item_id"], "item_id", ["user_int"], hot=hot["item_id"])
     return coded.select("user_int", "item_int", *rest)
 
 
+def _hot_of(df: DataFrame, sides: dict[str, DataFrame]) -> dict[str, DataFrame | None]:
+    """The frequent keys of each column whose dictionary is not sent to all tasks."""
+    return {
+        column: None if sent_whole(dictionary) else hot_keys(df, column)
+        for column, dictionary in sides.items()
+    }
+
+
 def decode(
     matrix: DataFrame,
     sides: dict[str, tuple[str, DataFrame]],
@@ -83,11 +87,14 @@ def decode(
     """Add the original ids of numbered columns.
 
     `sides` gives, for each of two numbered columns, the name of the column to add and the
-    dictionary. `matrix` is best a written table: its frequent ids are looked up first.
+    dictionary. `matrix` and the dictionaries are best written tables, as for `encode`.
     """
-    hot = {column: hot_keys(matrix, column) for column in sides}
-    for column, (name, dictionary) in sides.items():
-        names = dictionary.select(F.col("int_id").alias(column), F.col("ext_id").alias(name))
+    named = {
+        column: dictionary.select(F.col("int_id").alias(column), F.col("ext_id").alias(name))
+        for column, (name, dictionary) in sides.items()
+    }
+    hot = _hot_of(matrix, named)
+    for column, names in named.items():
         spread = [other for other in sides if other != column]
         matrix = lookup(matrix, names, column, spread, hot=hot[column])
     return matrix

@@ -83,28 +83,28 @@ def query_category(
 
     `categories` is (item_id, category), each item once; `preferred` is (user_id, category),
     each user once. The categories join the links and the histories, which are smaller than
-    the matches, and travel along in the ids.
+    the matches; of them the matches carry only the number of terms with the same one.
     """
     # An item has at most k links, so its category needs no care for frequent keys.
-    tagged_links = settled(
+    words = settled(
         links.join(categories, "item_id", "left").select(
-            F.struct("item_id", "category").alias("item_id"), "other_item_id"
+            F.col("other_item_id").alias("__word"), "item_id", "category"
         ),
         "tagged-links",
     )
-    tagged_history = settled(
+    query = settled(
         lookup(
             history.select("user_id", "item_id"), preferred, "user_id", ["item_id"], "left"
-        ).select(F.struct("user_id", "category").alias("user_id"), "item_id"),
+        ).select("user_id", F.col("item_id").alias("__word"), "category").distinct(),
         "tagged-history",
     )
-    found = matches(tagged_history, tagged_links)
-    same = F.col("user_id.category") == F.col("item_id.category")
-    scored = found.select(
-        F.col("user_id.user_id").alias("user_id"),
-        F.col("item_id.item_id").alias("item_id"),
-        (F.col("n_match") * F.when(same, F.lit(float(boost))).otherwise(F.lit(1.0))).alias("score"),
-    )
+    found = matrix_product(
+        query, words, "__word", "user_id", "item_id", "category", "category",
+        sums={"same": lambda mine, its: F.coalesce(mine == its, F.lit(False)).cast("bigint")},
+    )
+    # The categories of a user and an item are alike in all terms or in none.
+    factor = F.when(F.col("same") > 0, F.lit(float(boost))).otherwise(F.lit(1.0))
+    scored = found.select("user_id", "item_id", (F.col("n_terms") * factor).alias("score"))
     return top_k(scored, "user_id", [F.desc("score"), F.desc("item_id")], n, ["item_id"])
 
 

@@ -60,6 +60,17 @@ def hot_keys(df: DataFrame, key: str | list[str], hot_rows: int = HOT_ROWS) -> D
     )
 
 
+def sent_whole(table: DataFrame) -> bool:
+    """Whether Spark sends the table to all tasks, by its own size limit for joins.
+
+    The size is Spark's estimate before anything runs; that of a written table is the size
+    of its files.
+    """
+    limit = table.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    size = table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(size)) <= limit
+
+
 def lookup(
     df: DataFrame,
     table: DataFrame,
@@ -72,12 +83,15 @@ def lookup(
 
     Rows of each frequent key are dealt over buckets by the values of `spread`, as many
     as the key's rows ask for, and the table repeats only those keys. Unless `hot_keys` of
-    `df` are given, a first job finds them, and `df` is then best a written table. How
-    keys are dealt changes the work, never the result.
+    `df` are given, a first job finds them, and `df` is then best a written table; it is
+    left out for a table that Spark sends to all tasks, since `df` then stays where it is.
+    How keys are dealt changes the work, never the result.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"how must be inner or left, not {how!r}")
     if hot is None:
+        if sent_whole(table):
+            return df.join(table, on, how)
         hot = hot_keys(df, on)
     n_hot = hot.count()
     if not n_hot:

@@ -450,7 +450,7 @@ def blended_recs(spark, sf_dir):
 
 
 def _numbered_histories(spark, sf_dir, actions=EVENT_ROLES):
-    users, items = _dictionaries(spark, sf_dir)
+    users, items = map(settled, _dictionaries(spark, sf_dir))
     coded = [
         ids.encode(history, users, items).select(
             F.col("user_int").alias("user_id"), F.col("item_int").alias("item_id")

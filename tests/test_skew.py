@@ -7,7 +7,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from linkweave.operators import documents, prefs, product, ranking, similar, skew, vectors
+from linkweave import session
+from linkweave.operators import documents, ids, prefs, product, ranking, similar, skew, vectors
 
 
 def skewed_entries(seed, users=30, items=40):
@@ -91,6 +92,34 @@ def test_lookup(spark, entries, hot_rows, how):
     assert collections.Counter(rows) == collections.Counter(expected)
 
 
+@pytest.mark.parametrize("limit", ["10MB", "-1"])
+def test_ids_and_back(spark, entries, monkeypatch, limit):
+    """Dictionaries that are sent to all tasks, and ones that meet the ids by salted keys."""
+    looked_for = []
+
+    def counted(df, key, hot_rows=5):
+        looked_for.append(key)
+        return skew.hot_keys(df, key, hot_rows)
+
+    monkeypatch.setattr(ids, "hot_keys", counted)
+    dictionaries = [
+        session.settled(frame(spark, sorted({(x, 7 * x) for x in side}), ("ext_id", "int_id")))
+        for side in zip(*entries, strict=True)
+    ]
+    usual = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    try:
+        assert [skew.sent_whole(d) for d in dictionaries] == [limit != "-1"] * 2
+        coded = session.settled(ids.encode(frame(spark, entries), *dictionaries))
+        sides = dict(zip(("user_int", "item_int"), zip(("u", "i"), dictionaries), strict=True))
+        back = ids.decode(coded, sides).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", usual)
+    assert sorted((r.user_int, r.item_int) for r in back) == sorted((7 * u, 7 * i) for u, i in entries)
+    assert sorted((r.u, r.i) for r in back) == sorted(entries)
+    assert len(looked_for) == (0 if limit != "-1" else 4)
+
+
 def test_lookup_refuses_other_joins(spark, entries):
     df = frame(spark, entries)
     with pytest.raises(ValueError, match="inner or left"):
