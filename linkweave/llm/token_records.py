@@ -9,6 +9,7 @@ the n-th record is found with two short reads.
 
 from __future__ import annotations
 
+import json
 import re
 import struct
 import uuid
@@ -19,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.fs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -28,8 +29,13 @@ from linkweave.session import scratch_path, settled
 
 END_ID = 1
 
-# Input bytes per file; also what a task reads.
-FILE_BYTES = 16_000_000
+# Input bytes per file, which is also what a task reads: the least and the most. Between
+# them the input is cut into this many files.
+FILE_BYTES = (16_000_000, 1_000_000_000)
+FILES = 4_096
+
+# First characters of a text by which rows with the same doc_id are dealt over files.
+HEAD_CHARS = 64
 
 # Words whose ids a worker keeps; an entry takes about 200 bytes.
 CACHED_WORDS = 500_000
@@ -65,13 +71,53 @@ def unframe(record: bytes) -> bytes:
     return payload
 
 
+# How the vocabulary of `WordIds` prepares a text.
+NORMALIZER = {
+    "type": "Sequence",
+    "normalizers": [
+        {"type": "NFC"},
+        {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "},
+        {"type": "Lowercase"},
+    ],
+}
+PRE_TOKENIZER = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {
+            "type": "Split",
+            "pattern": {
+                "Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+            },
+            "behavior": "Removed",
+            "invert": True,
+        },
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
+
+
+def encodes_by_words(tokenizer: Tokenizer) -> bool:
+    """Whether the ids of a text are those of its words, one after the other."""
+    known = json.loads(tokenizer.to_str())
+    return (
+        known["normalizer"] == NORMALIZER
+        and known["pre_tokenizer"] == PRE_TOKENIZER
+        and known["model"]["type"] == "BPE"
+        and not known["model"]["dropout"]
+        and not known["truncation"]
+        and not known["padding"]
+        and not any(t["single_word"] or t["normalized"] for t in known["added_tokens"])
+    )
+
+
 class WordIds(dict):
     """Token ids of words, as bytes.
 
-    The vocabulary drops white space before it merges anything, so that the ids of a text
-    are those of its words one after the other. A word of visible ASCII and Latin-1 letters
-    is cut into its pieces here as the vocabulary's own pattern does, and each piece is
-    merged once; any other word goes through the whole tokenizer.
+    A vocabulary that prepares texts as `NORMALIZER` and `PRE_TOKENIZER` say drops white
+    space before it merges anything, so that the ids of a text are those of its words one
+    after the other. A word of visible ASCII and Latin-1 letters is cut into its pieces here
+    as the vocabulary's own pattern does, and each piece is merged once; any other word goes
+    through the whole tokenizer. So does each whole text if the vocabulary is another one.
     """
 
     # Fixed value: the pattern of the vocabulary's pieces, for words of these letters.
@@ -80,6 +126,7 @@ class WordIds(dict):
 
     def __init__(self, path: str, kind: str):
         self.tokenizer = Tokenizer.from_file(path)
+        self.by_words = encodes_by_words(self.tokenizer)
         special = self.tokenizer.get_added_tokens_decoder().values()
         self.special = re.compile("|".join(re.escape(t.content) for t in special) or "(?!)")
         self.kind = kind
@@ -118,6 +165,9 @@ class WordIds(dict):
                 self[text.encode()] = np.array(encoded.ids, self.kind).tobytes()
 
     def text(self, text: str | None) -> bytes:
+        if not self.by_words:
+            encoded = self.tokenizer.encode(text or "", add_special_tokens=False)
+            return np.array(encoded.ids, self.kind).tobytes()
         words = text.encode().split() if text else []
         new = {w for w in words if w not in self}
         if new:
@@ -139,12 +189,19 @@ def shared_ids(path: str, kind: str) -> WordIds:
 
 
 def _open(folder: str) -> tuple[pa.fs.FileSystem, str]:
-    """The file system of a shared folder, for use inside tasks."""
-    if ":" not in folder.split("/", 1)[0]:
-        folder = f"file://{folder}"
+    """The file system of a `qualified` folder, for use inside tasks."""
+    if folder.startswith("file:/") and not folder.startswith("file://"):
+        folder = f"file://{folder.removeprefix('file:')}"
     return pa.fs.FileSystem.from_uri(folder)
 
 
+def qualified(spark: SparkSession, folder: str) -> str:
+    """The folder with its scheme: one without is on the cluster's default file system."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return files.makeQualified(path).toString()
+
+
 _MANIFEST = pa.schema(
     [
         ("file", pa.int32()),
@@ -196,24 +253,26 @@ def write_records(
     folder: str,
     vocabulary: str,
     end_id: int = END_ID,
-    file_bytes: int = FILE_BYTES,
+    file_bytes: int | None = None,
 ) -> DataFrame:
     """Write all documents in ascending order of doc_id; gives the manifest of the files.
 
     (file, name, records, tokens, bytes, start), start being the tokens of all files
-    before. Null doc_ids come first; rows with the same doc_id are ordered by text. A
-    null text has the end id only.
+    before. Null doc_ids come first; rows with the same doc_id are ordered by text and may
+    be in several files. A null text has the end id only. Files hold about `file_bytes` of
+    text; unless given, that grows with the table within `FILE_BYTES`.
     """
     size = Tokenizer.from_file(vocabulary).get_vocab_size()
     kind = "<u2" if max(size, end_id + 1) <= 1 << 16 else "<u4"
     total = docs.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)))).first()[0] or 0
-    parts = int(total // file_bytes) + 1
-    spark = docs.sparkSession
-    files, target = _folder_of(spark, folder)
-    files.mkdirs(target)
+    least, most = FILE_BYTES
+    parts = int(total // (file_bytes or min(most, max(least, total // FILES)))) + 1
+    folder = qualified(docs.sparkSession, folder)
+    files, root = _open(folder)
+    files.create_dir(root, recursive=True)
     manifest = settled(
         docs.select("doc_id", "text")
-        .repartitionByRange(parts, "doc_id")
+        .repartitionByRange(parts, "doc_id", F.left("text", F.lit(HEAD_CHARS)))
         .sortWithinPartitions("doc_id", "text")
         .mapInArrow(
             _write_files(folder, vocabulary, kind, end_id),
@@ -227,11 +286,6 @@ def write_records(
     )
 
 
-def _folder_of(spark, folder: str):
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
-
-
 _READ = pa.schema(
     [
         ("doc_id", pa.int64()),
@@ -251,7 +305,7 @@ def read_ids(payload: bytes, kind: str) -> tuple[int | None, np.ndarray]:
 
 
 def read_record(folder: str, name: str, number: int, kind: str) -> tuple[int | None, np.ndarray]:
-    """The n-th record of a file, by its index."""
+    """The n-th record of a file, by its index; the folder is a `qualified` one."""
     files, root = _open(folder)
     with files.open_input_file(f"{root}/{name}.idx") as index:
         offset, size, _ = struct.unpack(_ENTRY, index.read_at(struct.calcsize(_ENTRY), number * struct.calcsize(_ENTRY)))
@@ -286,7 +340,7 @@ def read_records(manifest: DataFrame, folder: str) -> DataFrame:
     return (
         manifest.repartition("file")
         .mapInArrow(
-            _read_files(folder),
+            _read_files(qualified(manifest.sparkSession, folder)),
             "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint, name string, "
             "offset bigint",
         )

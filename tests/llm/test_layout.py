@@ -132,6 +132,37 @@ def test_words_are_encoded_as_in_the_whole_text():
         assert ids.text(text) == np.array(whole, "<u4").tobytes(), repr(text)
 
 
+def test_other_vocabularies_encode_whole_texts():
+    other = public_tokenizers.path("byte_bpe_50k.json")
+    ids, tokenizer = token_records.WordIds(other, "<u4"), Tokenizer.from_file(other)
+    assert not ids.by_words and token_records.WordIds(VOCABULARY, "<u4").by_words
+    for text in [*odd_texts(), None]:
+        whole = tokenizer.encode(text or "", add_special_tokens=False).ids
+        assert ids.text(text) == np.array(whole, "<u4").tobytes(), repr(text)
+
+
+def test_one_doc_id_in_many_files(spark, docs):
+    """Most rows without a doc_id: they are dealt over files and stay in order."""
+    rows = [(None if n % 4 else n, f"{n * 37 % 400} and more") for n in range(400)]
+    folder = scratch_path(spark, "records")
+    manifest = token_records.write_records(docs(rows), folder, VOCABULARY, file_bytes=500)
+    found = sorted(token_records.read_records(manifest, folder).collect(), key=lambda r: r.start)
+    assert len({r.name for r in found if r.doc_id is None}) > 2
+    tokenizer, start = Tokenizer.from_file(VOCABULARY), 0
+    wanted = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    for r, (doc_id, text) in zip(found, wanted, strict=True):
+        ids = [*tokenizer.encode(text, add_special_tokens=False).ids, 1]
+        crc = zlib.crc32(np.array(ids, "<u4").tobytes())
+        assert (r.doc_id, r.start, r.n_tokens, r.ids_crc32) == (doc_id, start, len(ids), crc)
+        start += len(ids)
+
+
+def test_folders_are_on_the_default_file_system(spark, tmp_path):
+    named = token_records.qualified(spark, str(tmp_path))
+    assert named == f"file:{tmp_path}"
+    assert token_records._open(named)[1] == str(tmp_path)
+
+
 def test_frames():
     record = token_records.frame(b"payload")
     assert struct.unpack_from("<Q", record)[0] == 7
