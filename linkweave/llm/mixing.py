@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from linkweave.llm.text import word_array
+from linkweave.llm.text import sent_if_small, word_array
 from linkweave.operators.skew import lookup
 from linkweave.session import settled
 
@@ -165,6 +165,17 @@ def mix_sources(
     any other. Rows equal in doc_id and size may change places. Documents without words
     are not taken. No rows give no rows; other columns are not read.
     """
+    mixed, _ = _mixed(docs, weights, repeats, slots)
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def _mixed(
+    docs: DataFrame,
+    weights: tuple[int, ...] = WEIGHTS,
+    repeats: int = REPEATS,
+    slots: int = SLOTS,
+) -> tuple[DataFrame, DataFrame]:
+    """The rows of `mix_sources` with `source_no`, and the sources by that number."""
     sized = settled(
         docs.select(
             "doc_id", "source", F.size(word_array(F.col("text"))).cast("bigint").alias("size")
@@ -226,33 +237,55 @@ def mix_sources(
         .withColumn("part", inside * F.coalesce("uses", F.lit(0)))
         .groupBy("doc_id", "size", "source_size", "target", "source_no", "start")
         .agg(F.sum("part").alias("taken"))
-        .select("doc_id", "size", "source_size", "target", "taken")
+        .select("doc_id", "size", "source_no", "source_size", "target", "taken")
     )
     untaken = streamed.where(F.col("size") == 0).select(
-        "doc_id", "size", "source_size", "target", F.lit(0).cast("bigint").alias("taken")
+        "doc_id", "size", "source_no", "source_size", "target", F.lit(0).cast("bigint").alias("taken")
     )
-    return taken.unionAll(untaken)
+    return taken.unionAll(untaken), known
 
 
 def repeat_documents(docs: DataFrame, **options) -> DataFrame:
     """The mix as rows: each document as often as its words are taken, rounded.
 
-    All columns are kept. Documents are known by doc_id: of rows that share one, each is
-    repeated as the mean of their counts asks for. Those taken less than half are left out.
+    All columns are kept, and those taken less than half are left out. Rows of a source
+    that share doc_id and size, null ids included, share the mean of their counts: each is
+    repeated the whole part of it, and once more for as many of them as the rest asks for,
+    by a hash of their texts. Rows equal in all of that are repeated alike. Texts without
+    words are not taken; no rows give no rows.
     """
-    mixed = mix_sources(docs, **options)
-    copies = (
-        mixed.groupBy("doc_id")
-        .agg(F.sum("taken").alias("taken"), F.sum("size").alias("size"))
-        .where(F.col("size") > 0)
+    mixed, known = _mixed(docs, **options)
+    counts = settled(
+        mixed.where(F.col("size") > 0)
+        .groupBy("source_no", "doc_id", "size")
+        .agg(F.sum("taken").alias("taken"), F.count(F.lit(1)).alias("__rows"))
+        .where(F.col("taken") > 0)
         .select(
+            F.col("source_no").alias("__no"),
             F.col("doc_id").alias("__doc"),
-            F.round(F.col("taken") / F.col("size")).cast("int").alias("__copies"),
-        )
+            F.col("size").alias("__size"),
+            (F.col("taken") / (F.col("size") * F.col("__rows"))).alias("__mean"),
+            "__rows",
+        ),
+        "counts",
+    )
+    sources = known.select(F.col("source").alias("__source"), F.col("source_no").alias("__source_no"))
+    rows = docs.withColumn("__words", F.size(word_array(F.col("text"))).cast("bigint")).join(
+        sent_if_small(sources), docs["source"].eqNullSafe(F.col("__source"))
+    )
+    joined = rows.join(
+        counts,
+        (F.col("__source_no") == F.col("__no"))
+        & docs["doc_id"].eqNullSafe(F.col("__doc"))
+        & (F.col("__words") == F.col("__size")),
+    )
+    parts = 1 << 20
+    chance = F.pmod(F.xxhash64("text"), F.lit(parts)) / F.lit(parts)
+    edge = F.when(F.col("__rows") == 1, F.lit(0.5)).otherwise(chance)
+    copies = F.floor(F.col("__mean") + edge).cast("int")
+    return (
+        joined.withColumn("__copies", copies)
         .where(F.col("__copies") > 0)
+        .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
+        .select(*[docs[c] for c in docs.columns])
     )
-    copies = settled(copies, "copies")
-    joined = docs.join(copies, docs["doc_id"].eqNullSafe(copies["__doc"]))
-    return joined.withColumn(
-        "__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))
-    ).select(*[docs[c] for c in docs.columns])

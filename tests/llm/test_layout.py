@@ -119,6 +119,22 @@ def test_mixing_as_rows(docs):
     assert mixing.mix_sources(docs([(1, None), (2, "")])).count() == 2
 
 
+def test_mixing_as_rows_without_ids(docs):
+    """Null and repeated ids in a scarce and a plentiful source, each with its own counts."""
+    rows = [(None if n % 3 else 5, f"t{n} " + "w " * (n % 7 + 9), "a" if n % 8 else "b") for n in range(1_600)]
+    sizes, taken = {"a": 0, "b": 0}, {"a": 0, "b": 0}
+    for _, text, source in rows:
+        sizes[source] += len(text.split())
+    times = {}
+    for r in mixing.repeat_documents(docs(rows)).collect():
+        taken[r.source] += len(r.text.split())
+        times[r.text] = times.get(r.text, 0) + 1
+    wanted = brute_targets(sizes)
+    assert wanted["a"] < sizes["a"] and wanted["b"] > sizes["b"]
+    assert all(abs(taken[s] - wanted[s]) <= 0.05 * wanted[s] for s in "ab"), (taken, wanted)
+    assert max(times.values()) <= 3
+
+
 def odd_texts():
     chance = np.random.default_rng(5)
     alphabet = [*"aA'sIİßΣςσ \t\n\x0b\x0c\r\x1c\x85  éé́́1२<>.,!-‍👩", "<|endoftext|>", "'s", "don't"]
