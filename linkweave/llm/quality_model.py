@@ -46,6 +46,9 @@ SEED = 7
 # Blocks in which the context vectors are added up.
 BLOCKS = 16
 
+# Words of a text whose neighbours are added up together; it bounds what a text takes.
+SLICE = 1 << 16
+
 
 def learns(doc_id: Column) -> Column:
     """Whether a document may be learned from; the rest are held out."""
@@ -80,20 +83,33 @@ def index_vectors(seed: int = SEED) -> np.ndarray:
     return vectors
 
 
+def _slices(forms: np.ndarray) -> Iterator[tuple[np.ndarray, int, int]]:
+    """A text's words in slices of at most SLICE, with up to REACH neighbours on either side.
+
+    (words, low, high): those from low to high are the slice's own.
+    """
+    for at in range(0, len(forms), SLICE):
+        first = max(0, at - REACH)
+        last = min(at + SLICE, len(forms))
+        yield forms[first : last + REACH], at - first, last - first
+
+
 def context_sums(texts: Iterable[np.ndarray], index: np.ndarray) -> np.ndarray:
     """Sum of the index vectors of neighbours, for each word form."""
     sums = np.zeros((FORMS, SIZE), np.float64)
     for forms in texts:
         if len(forms) < 2:
             continue
-        near = np.zeros((len(forms), SIZE), np.float32)
-        vectors = index[forms]
-        for step in range(1, min(REACH, len(forms) - 1) + 1):
-            near[step:] += vectors[:-step]
-            near[:-step] += vectors[step:]
-        order = np.argsort(forms, kind="stable")
-        starts = np.flatnonzero(np.r_[True, np.diff(forms[order]) != 0])
-        sums[forms[order][starts]] += np.add.reduceat(near[order], starts, axis=0)
+        for part, low, high in _slices(forms):
+            near = np.zeros((len(part), SIZE), np.float32)
+            vectors = index[part]
+            for step in range(1, min(REACH, len(part) - 1) + 1):
+                near[step:] += vectors[:-step]
+                near[:-step] += vectors[step:]
+            own, near = part[low:high], near[low:high]
+            order = np.argsort(own, kind="stable")
+            starts = np.flatnonzero(np.r_[True, np.diff(own[order]) != 0])
+            sums[own[order][starts]] += np.add.reduceat(near[order], starts, axis=0)
     return sums
 
 
@@ -243,15 +259,23 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = TRAINING_DOCUMENTS) ->
     """Word vectors from all documents, network from a bounded sample of labelled ones.
 
     Context vectors are added up by tasks; what comes to the driver is their sum and one
-    row of numbers for each training document.
+    row of numbers for each labelled doc_id, `limit` rows at most. A doc_id with several
+    texts is learned from once, by the one whose numbers are least.
     """
     rows = _training_rows(docs, labels, limit)
     index = index_vectors()
     total, _ = added_up(docs.select("text").mapInArrow(_sums_of_tasks(index), PARTS))
     sums = np.zeros((FORMS, SIZE)) if total is None else total.reshape(FORMS, SIZE)
     vectors = word_vectors(index, sums)
-    found = rows.mapInArrow(_features(vectors), "doc_id bigint, quality int, x array<float>").collect()
-    found.sort(key=lambda r: (r.doc_id, r.quality, r.x))
+    # One row for each doc_id, however often it is in the table: at most `limit` rows.
+    found = (
+        rows.mapInArrow(_features(vectors), "doc_id bigint, quality int, x array<float>")
+        .groupBy("doc_id")
+        .agg(F.min(F.struct("quality", "x")).alias("least"))
+        .select("doc_id", "least.*")
+        .collect()
+    )
+    found.sort(key=lambda r: r.doc_id)
     x = np.array([r.x for r in found], np.float64).reshape(len(found), vectors.shape[1] + 4)
     return vectors, fit_network(x, np.array([r.quality for r in found], np.float64))
 
@@ -299,8 +323,8 @@ def score_quality(
     from; held_out marks the others. Word vectors are of all documents, labelled or not,
     and use no label. The score uses nothing but the text. A null text
     counts as empty and is scored like any text; a document with several labels has the
-    greatest; labels other than 0 and 1 are ignored; a null doc_id is never held out and
-    never learned from. Without labels every score is 0.5. No rows give no rows; other
+    greatest; rows with the same doc_id are scored one by one and learned from once; labels
+    other than 0 and 1 are ignored; a null doc_id is never held out and never learned from. Without labels every score is 0.5. No rows give no rows; other
     columns are not read.
     """
     vectors, network = fit(docs, labels, limit)
