@@ -38,6 +38,12 @@ SLOT_RANGE = 1 << 14
 SECTORS = 1 << 10
 RANGE_DIGITS = 3
 
+# Documents alike in source, doc_id and size that become rows in one task.
+EQUAL_ROWS = 1 << 16
+
+# Sources whose table may be sent to all tasks; a row takes about 100 bytes.
+MAX_SENT_SOURCES = 200_000
+
 _BEFORE = (Window.unboundedPreceding, -1)
 
 
@@ -125,25 +131,43 @@ def schedule(shares: DataFrame, slots: int) -> DataFrame:
     )
 
 
-def _streams(rows: DataFrame) -> DataFrame:
-    """Add `start`: the words of a source that come before the document when shuffled.
+def _streams(equal: DataFrame) -> DataFrame:
+    """A row for each document with `start`: the words of its source before it when shuffled.
 
-    Sizes are added up by range of the hash first, so that a hot source is no single sort.
+    `equal` has the documents that are alike in source, doc_id and size as one row with their
+    number, `rows`. They lie side by side, so that their places follow from that number and
+    an id of any number of documents is sorted as one row for each of its sizes. Words are
+    added up by range of the hash first, so that a hot source is no single sort.
     """
     code = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-    hashed = rows.withColumn("code", code).withColumn("range", F.left("code", F.lit(RANGE_DIGITS)))
-    sums = hashed.groupBy("source_no", "range").agg(F.sum("size").alias("in_range"))
+    hashed = (
+        equal.withColumn("words", F.col("size") * F.col("rows"))
+        .withColumn("code", code)
+        .withColumn("range", F.left("code", F.lit(RANGE_DIGITS)))
+    )
+    sums = hashed.groupBy("source_no", "range").agg(F.sum("words").alias("in_range"))
     starts = sums.select(
         "source_no",
         "range",
         _before("in_range", Window.partitionBy("source_no").orderBy("range")).alias("base"),
     )
     inside = Window.partitionBy("source_no", "range").orderBy("code", "doc_id", "size")
-    return (
-        hashed.withColumn("inside", _before("size", inside))
+    placed = (
+        hashed.withColumn("inside", _before("words", inside))
         .join(starts, ["source_no", "range"])
         .withColumn("start", F.col("base") + F.col("inside"))
-        .drop("code", "range", "inside", "base")
+        .drop("code", "range", "inside", "base", "words")
+    )
+    # Stretches of equal documents are dealt to tasks before they become rows.
+    tasks = int(equal.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    first = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("rows") - 1, F.lit(EQUAL_ROWS)))
+    last = F.least(F.col("first") + EQUAL_ROWS, F.col("rows")) - 1
+    return (
+        placed.withColumn("first", first)
+        .repartition(tasks, "source_no", "start", "doc_id", "size", "first")
+        .withColumn("number", F.explode(F.sequence(F.col("first"), last)))
+        .withColumn("start", F.col("start") + F.col("number") * F.col("size"))
+        .drop("first", "number", "rows")
     )
 
 
@@ -212,14 +236,15 @@ def _mixed(
     # Block b of a source with n blocks is taken by the ranks b, b + n, b + 2n, ...
     uses = (
         schedule(shares, n_slots)
-        .join(F.broadcast(table.select("source_no", "blocks")), "source_no")
+        .join(sent_if_small(table.select("source_no", "blocks"), MAX_SENT_SOURCES), "source_no")
         .where(F.col("rank") < F.col("blocks") * repeats)
         .groupBy("source_no", F.pmod("rank", F.col("blocks")).alias("block_no"))
         .agg(F.count(F.lit(1)).alias("uses"))
     )
     known = table.select("source", "source_no", "source_size", "target", "blocks")
-    rows = sized.join(
-        F.broadcast(known), sized["source"].eqNullSafe(known["source"])
+    equal = sized.groupBy("source", "doc_id", "size").agg(F.count(F.lit(1)).alias("rows"))
+    rows = equal.join(
+        sent_if_small(known, MAX_SENT_SOURCES), equal["source"].eqNullSafe(known["source"])
     ).drop("source")
     streamed = settled(_streams(rows), "streams")
     # Block b holds the words from size * b / n on; the word at place p is in block

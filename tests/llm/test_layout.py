@@ -208,3 +208,14 @@ def test_records(spark, docs):
     doc_id, ids = token_records.read_record(folder, entry["name"], 1, entry["kind"])
     assert (doc_id, len(ids)) == (wanted[1][0], wanted[1][2])
     assert token_records.encode_documents(table.limit(0), VOCABULARY).count() == 0
+
+
+def test_mixing_of_a_hot_id(docs, monkeypatch):
+    """Null and repeated ids over many rows of one size, dealt in stretches, as one by one."""
+    rows = [(None, "w " * 9, "a")] * 300 + [(7, "w " * 4, "b")] * 200 + [(7, None, "b")] * 50
+    rows += [(n, "w " * (n % 5), "ab"[n % 2]) for n in range(100)]
+    found = []
+    for stretch in (1 << 16, 7, 1):
+        monkeypatch.setattr(mixing, "EQUAL_ROWS", stretch)
+        found.append(sorted(map(str, mixing.mix_sources(docs(rows)).collect())))
+    assert len(found[0]) == len(rows) and found[0] == found[1] == found[2]
