@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linkweave.functions.similarity import scaled, unscaled
-from linkweave.operators.product import matrix_product
+from linkweave.operators.product import LISTED_TERMS, matrix_product, task_count
 from linkweave.operators.ranking import top_k
 from linkweave.operators.skew import lookup, with_group_size
 from linkweave.session import settled
@@ -113,8 +113,12 @@ def query_cold_start(
 ) -> DataFrame:
     """Links of the item being looked at, biased to its category.
 
-    `links` has a score; the result is (seed_item_id, item_id, score, rank).
+    `links` has a score and is best a written table: its rows are counted first, and dealt
+    to as many tasks as they ask for. The result is (seed_item_id, item_id, score, rank).
     """
+    tasks = task_count(links, links.count(), LISTED_TERMS)
+    if tasks > task_count(links, 0):
+        links = links.repartition(tasks, "item_id")
     shown = links.join(seeds.select("item_id").distinct(), "item_id", "left_semi")
     shown = shown.select(F.col("item_id").alias("seed_item_id"), "other_item_id", "score")
     # A seed has at most k links; an item can be linked from any number of seeds.
