@@ -107,3 +107,27 @@ def test_users_over_batches(size):
     found = [tuple(r.values()) for b in search.best_counted(2.0, 3)(iter(batches)) for r in b.to_pylist()]
     assert found == [(1, 7, 2.0, 1), (1, 5, 2.0, 2), (1, 9, 1.0, 3), (None, 4, 2.0, 1), (3, 8, 2.0, 1)]
     assert not [*search.best_counted(2.0, 3)(iter([]))]
+
+
+def test_few_users_of_many_links(spark):
+    """A history smaller than the links leaves each user's matches in one task all the same."""
+    chance = random.Random(8)
+    links = sorted({(chance.randrange(300), w) for w in range(300) for _ in range(60)})
+    history = [(u, w) for u in range(3) for w in range(u, 300, 7)]
+    categories = [(i, "abc"[i % 3]) for i in range(300)]
+    preferred = [(u, "abc"[u]) for u in range(3)]
+    tables = [
+        spark.createDataFrame(history, "user_id bigint, item_id bigint"),
+        spark.createDataFrame(links, "item_id bigint, other_item_id bigint").repartition(8),
+        spark.createDataFrame(categories, "item_id bigint, category string"),
+        spark.createDataFrame(preferred, "user_id bigint, category string"),
+    ]
+    setting = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "false")
+    try:
+        found = search.query_category(*tables, n=N).collect()
+    finally:
+        spark.conf.set(setting, before)
+    assert len(found) == 3 * N
+    assert {tuple(r) for r in found} == best(history, links, categories, preferred, 2.0)
