@@ -172,6 +172,27 @@ def test_repeated_strings(docs, task_phrases):
     assert suffix_dedup.remove_repeats(docs(rows).limit(0), 20, 8).count() == 0
 
 
+def test_query_removes_long_passages_and_leaves_the_size_of_the_input(spark, docs, tmp_path):
+    """Passages of over 50 words in two texts each: from 400 bytes on they go, n_bytes stays."""
+    long = [" ".join(words(seed, 90)) for seed in range(100, 110)]
+    short = [" ".join(words(seed, 60)) for seed in range(200, 210)]
+    assert {len(p) for p in long} == {449} and {len(p) for p in short} == {299}
+    rows = []
+    for n in range(60):
+        before, after = (" ".join(words(1000 * k + n, 40 + n)) for k in (3, 4))
+        # Texts 0 to 19 hold the long passages, 20 to 39 the short ones, the rest none.
+        passage = [*long, *long, *short, *short, *[""] * 20][n]
+        rows.append((n, f"{before} {passage} {after}"))
+    docs(rows).write.parquet(f"{tmp_path}/documents.parquet")
+    from linkweave.llm.queries import LLM_QUERIES
+
+    found = sorted(LLM_QUERIES["op7_suffix_dedup"](spark, str(tmp_path)).collect())
+    assert list(map(tuple, found)) == brute_repeats(rows, 400)
+    assert [r.n_bytes for r in found] == [len(text) for _, text in rows]
+    assert all(449 <= r.n_removed < 470 and r.n_spans == 1 for r in found[:20])
+    assert not any(r.n_removed or r.n_spans for r in found[20:])
+
+
 def test_parts_of_long_texts_cover_every_string():
     text = bytes(range(256)) * 3
     starts = [base + s for base, part in suffix_dedup._parts(text, 20, 37) for s in range(len(part) - 19)]
