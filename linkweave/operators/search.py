@@ -19,7 +19,13 @@ from pyspark.sql.types import DoubleType, IntegerType, IntegralType, StructField
 from linkweave.functions.similarity import scaled, unscaled
 from linkweave.operators.product import LISTED_TERMS, listed_rows, matrix_product, task_count
 from linkweave.operators.ranking import top_k
-from linkweave.operators.skew import group_sizes, group_summary, lookup, with_group_size
+from linkweave.operators.skew import (
+    group_sizes,
+    group_summary,
+    joined_by_rows,
+    lookup,
+    with_group_size,
+)
 from linkweave.session import settled
 
 
@@ -230,13 +236,15 @@ def query_cold_start(
     tasks = task_count(links, links.count(), LISTED_TERMS)
     if tasks > task_count(links, 0):
         links = links.repartition(tasks, "item_id")
-    shown = links.join(seeds.select("item_id").distinct(), "item_id", "left_semi")
+    # Seeds and categories may be as many as there are items, in files of a few megabytes.
+    wanted = joined_by_rows(seeds.select("item_id").distinct())
+    shown = links.join(wanted, "item_id", "left_semi")
     shown = shown.select(F.col("item_id").alias("seed_item_id"), "other_item_id", "score")
     # A seed has at most k links; an item can be linked from any number of seeds.
     own = categories.select(
         F.col("item_id").alias("seed_item_id"), F.col("category").alias("__seed")
     )
-    shown = shown.join(own, "seed_item_id", "left")
+    shown = shown.join(joined_by_rows(own), "seed_item_id", "left")
     shown = lookup(
         shown,
         categories.select(
