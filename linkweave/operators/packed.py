@@ -247,3 +247,134 @@ def added_dots(least: float, chunk: int = CHUNK_TERMS) -> Callable[[Iterator], I
                     yield found
 
     return added
+
+
+def packed_tags(lists: DataFrame) -> DataFrame:
+    """Lists of whole numbers __cols with tags __ws, in __w, as bytes: see `listed_rows`.
+
+    The numbers of a list are sorted. Its __w is then (first, steps, width, nulls, tags,
+    places): the first number, the steps to the others and their width in bytes, how many
+    entries have no number, each tag once, and the places of its numbers in the list.
+    """
+    parts = lists.schema["__w"].dataType
+    tag = parts["__ws"].dataType.elementType.simpleString()
+    shared, block = (lists.schema[c].dataType.simpleString() for c in ("__shared", "__block"))
+    plain = lists.select(
+        "__shared",
+        "__block",
+        F.col("__w.__cols").cast("array<bigint>").alias("__cols"),
+        F.col("__w.__ws").alias("__ws"),
+    )
+    names = ("first", "steps", "width", "nulls", "tags", "places")
+    packed = plain.mapInArrow(
+        _tagged(),
+        f"__shared {shared}, __block {block}, first bigint, steps binary, width int, nulls int, "
+        f"tags array<{tag}>, places array<binary>",
+    )
+    return packed.select("__shared", "__block", F.struct(*names).alias("__w"))
+
+
+def _tagged() -> Callable[[Iterator], Iterator]:
+    """The function of Arrow batches for `packed_tags`."""
+    widths, pack, _, column, _ = number_bytes()
+
+    def ends(counts):
+        return pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32())
+
+    def tagged(batches):
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            cols, ws = batch.column("__cols"), batch.column("__ws").flatten().dictionary_encode()
+            sizes = np.diff(cols.offsets.to_numpy())
+            flat = cols.flatten()
+            valid = flat.is_valid().to_numpy(zero_copy_only=False)
+            ids = flat.fill_null(0).to_numpy(zero_copy_only=False)[valid]
+            of = np.repeat(np.arange(n), sizes)[valid]
+            order = np.lexsort((ids, of))
+            ids = ids[order]
+            code = ws.indices.fill_null(-1).to_numpy(zero_copy_only=False)[valid][order]
+            counts = np.bincount(of, minlength=n)
+            starts = np.cumsum(counts) - counts
+            some = counts > 0
+            inner = np.ones(len(ids), bool)
+            inner[starts[some]] = False
+            first = np.zeros(n, np.int64)
+            first[some] = ids[starts[some]]
+            steps = np.diff(ids, prepend=ids[:1]).view(np.uint64)[inner]
+            step_counts = np.maximum(counts - 1, 0)
+            width, more = np.ones(n, np.int64), step_counts > 0
+            width[more] = widths(steps, (np.cumsum(step_counts) - step_counts)[more])
+            # Places by list and tag.
+            place = np.arange(len(ids)) - np.repeat(starts, counts)
+            has = code >= 0
+            key = of[has] * max(1, len(ws.dictionary)) + code[has]
+            by_tag = np.argsort(key, kind="stable")
+            key, place = key[by_tag], place[has][by_tag]
+            group = np.flatnonzero(np.diff(key, prepend=-1))
+            owner, tag = np.divmod(key[group], max(1, len(ws.dictionary)))
+            group_counts = np.diff(group, append=len(key))
+            place_width = np.where(counts[owner] > 0x10000, 4, 2)
+            groups = ends(np.bincount(owner, minlength=n))
+            columns = [
+                batch.column("__shared"),
+                batch.column("__block"),
+                pa.array(first, pa.int64(), mask=~some),
+                column(*pack(steps, step_counts, width)),
+                pa.array(width, pa.int32()),
+                pa.array(sizes - counts, pa.int32()),
+                pa.ListArray.from_arrays(groups, ws.dictionary.take(pa.array(tag))),
+                pa.ListArray.from_arrays(
+                    groups, column(*pack(place.astype(np.uint64), group_counts, place_width))
+                ),
+            ]
+            names = ["__shared", "__block", "first", "steps", "width", "nulls", "tags", "places"]
+            yield pa.RecordBatch.from_arrays(columns, names)
+
+    return tagged
+
+
+def unpacked_tags(key: str, whole: pa.DataType) -> Callable[[Iterator], Iterator]:
+    """A function of Arrow batches (key, first, steps, width, nulls, same) of packed lists.
+
+    It gives (key, items, same): a list's numbers, of type `whole`, with a null for each
+    entry without one, and those at the places `same`, which are none where it is null.
+    """
+    _, _, unpack, _, parts = number_bytes()
+
+    def lists(values, counts):
+        ends = pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32())
+        return pa.ListArray.from_arrays(ends, values)
+
+    def unpacked(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            first, nulls = batch.column("first"), batch.column("nulls").to_numpy()
+            some = first.is_valid().to_numpy(zero_copy_only=False)
+            steps, counts = unpack(*parts(batch.column("steps")), batch.column("width").to_numpy())
+            counts = counts + some
+            starts = np.cumsum(counts) - counts
+            inner = np.ones(counts.sum(), bool)
+            inner[starts[some]] = False
+            ids = np.empty(len(inner), np.uint64)
+            ids[inner] = steps
+            ids[~inner] = first.drop_null().to_numpy().view(np.uint64)
+            total = np.concatenate([[np.uint64(0)], np.cumsum(ids)])
+            ids = (total[1:] - np.repeat(total[starts], counts)).view(np.int64)
+            places, same_counts = unpack(*parts(batch.column("same")), np.where(counts > 0x10000, 4, 2))
+            same = ids[np.repeat(starts, same_counts) + places.view(np.int64)]
+            absent = None
+            if nulls.any():
+                at = np.arange(len(ids)) + np.repeat(np.cumsum(nulls) - nulls, counts)
+                absent = np.ones(len(ids) + nulls.sum(), bool)
+                absent[at] = False
+                numbers = np.zeros(len(absent), np.int64)
+                numbers[at] = ids
+                ids, counts = numbers, counts + nulls
+            items = pa.array(ids, pa.int64(), mask=absent).cast(whole)
+            columns = [lists(items, counts), lists(pa.array(same, pa.int64()).cast(whole), same_counts)]
+            yield pa.RecordBatch.from_arrays([batch.column(key), *columns], [key, "items", "same"])
+
+    return unpacked

@@ -12,11 +12,20 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, IntegerType, IntegralType, StructField, StructType
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import (
+    DoubleType,
+    IntegerType,
+    IntegralType,
+    StringType,
+    StructField,
+    StructType,
+)
 
 from linkweave.functions.similarity import scaled, unscaled
+from linkweave.operators.packed import packed_tags, unpacked_tags
 from linkweave.operators.product import LISTED_TERMS, listed_rows, matrix_product, task_count
 from linkweave.operators.ranking import top_k
 from linkweave.operators.skew import (
@@ -93,8 +102,9 @@ def query_category(
 
     `categories` is (item_id, category), each item once; `preferred` is (user_id, category),
     each user once. The categories join the links and the histories, which are smaller than
-    the matches. Where items are whole numbers, a user's matches go to one task as lists and
-    are counted there; users with too many for one task have theirs added up as rows.
+    the matches. Where items are whole numbers and categories names or whole numbers, a
+    user's matches go to one task as lists and are counted there; users with too many for
+    one task have theirs added up as rows.
     """
     # An item has at most k links, so its category needs no care for frequent keys.
     words = settled(
@@ -109,7 +119,9 @@ def query_category(
         ).select("user_id", F.col("item_id").alias("__word"), "category").distinct(),
         "tagged-history",
     )
-    if not isinstance(words.schema["item_id"].dataType, IntegralType):
+    kinds = [table.schema["category"].dataType for table in (words, query)]
+    plain = kinds[0] == kinds[1] and isinstance(kinds[0], (StringType, IntegralType))
+    if not plain or not isinstance(words.schema["item_id"].dataType, IntegralType):
         return _best_added(query, words, boost, n)
     long = _long_queries(query, words)
     if long is None:
@@ -145,18 +157,31 @@ def _best_added(query: DataFrame, words: DataFrame, boost: float, n: int) -> Dat
 
 
 def _best_listed(query: DataFrame, words: DataFrame, boost: float, n: int) -> DataFrame:
-    """Best documents of each user, whose matches are counted in lists of whole numbers."""
+    """Best documents of each user, whose matches are counted in lists of whole numbers.
+
+    The lists travel as bytes, with the places of the user's category.
+    """
+
+    def places(mine: Column, its: Column) -> Column:
+        at = F.array_position(its["tags"], mine)
+        return F.when(at > 0, F.get(its["places"], (at - 1).cast("int")))
+
     rows = listed_rows(
-        query, words, "__word", "user_id", "item_id", "category", "category",
+        query, words, "__word", "user_id", "item_id", "category", "category", packed_tags,
         kept={
-            "items": lambda mine, items, its: items,
-            "same": lambda mine, items, its: F.filter(items, lambda _, at: F.get(its, at) == mine),
+            "first": lambda mine, its: its["first"],
+            "steps": lambda mine, its: its["steps"],
+            "width": lambda mine, its: its["width"],
+            "nulls": lambda mine, its: its["nulls"],
+            "same": places,
         },
     )
     of = {"user_id": query.schema["user_id"].dataType, "item_id": words.schema["item_id"].dataType}
+    unpacked = unpacked_tags("user_id", to_arrow_type(of["item_id"]))
+    count = best_counted(float(boost), n)
     of |= {"score": DoubleType(), "rank": IntegerType()}
     schema = StructType([StructField(c, t) for c, t in of.items()])
-    return rows.sortWithinPartitions("user_id").mapInArrow(best_counted(float(boost), n), schema)
+    return rows.sortWithinPartitions("user_id").mapInArrow(lambda batches: count(unpacked(batches)), schema)
 
 
 def best_counted(boost: float, n: int) -> Callable[[Iterator], Iterator]:
