@@ -62,6 +62,8 @@ def test_rows_meet_as_bytes(spark, monkeypatch, threshold, far, terms):
     plan = made[0]._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("MapInArrow") == 2 and "substring(__ids" in plan
     assert ("LeftAnti" in plan) == (terms == 600)
+    # The tasks that make the bytes, and those that read them, are set by the terms.
+    assert plan.count("RepartitionByExpression") >= 2
 
 
 def test_rows_with_ids_of_other_types(spark, monkeypatch):
